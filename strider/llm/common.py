@@ -145,9 +145,9 @@ def shingle_sets(texts, width: int = 5):
                 np.not_equal(s[1:], s[:-1], out=keep[1:])
                 yield s[keep]
             elif b > a:
-                s = np.uint64(b - a)
+                s = np.array([b - a], np.uint64)
                 for x in h[a:b]:
                     s = s * Q + x
-                yield mix(np.array([s], np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
+                yield mix(s ^ np.uint64(0x5851F42D4C957F2D))
             else:
                 yield np.empty(0, np.uint64)

@@ -25,7 +25,7 @@ from strider.llm.common import stage, words
 
 #: Thousandths; the least standard deviation that each feature is taken to have.
 FEATURES = ("f_len", "f_word", "f_sym", "f_rep")
-FLOOR = (300.0, 300.0, 150.0, 150.0)
+FLOOR = (300.0, 300.0, 150.0, 60.0)
 #: Fixed values for four features: chi-square quantiles at 0.75 and at 0.999.
 CHI_SHARE, CHI_CUT = 5.385, 18.467
 BINS = 200
@@ -73,14 +73,14 @@ def base_failed() -> Column:
 
 
 def statistics() -> list[Column]:
-    """The transformed statistics, in thousandths: log length, word length, symbols and repeats (logs of shares)."""
+    """The transformed statistics, in thousandths: log length, word length, log of the symbols' share, repeats' share."""
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     milli = lambda c: F.round(c * 1000).cast("long")
     return [
         milli(F.log1p(n)).alias("f_len"),
         milli(4 * F.log1p(F.col("word_chars") / n)).alias("f_word"),
         milli(F.log1p(100 * F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)))).alias("f_sym"),
-        milli(F.log1p(100 * (F.col("n_repeat_words") + 10 * F.col("n_dup_lines")) / n)).alias("f_rep"),
+        milli((F.col("n_repeat_words") + 5 * F.col("n_dup_lines")) / n).alias("f_rep"),
     ]
 
 

@@ -3,39 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from strider.llm import decontamination, jaccard_join, language_id, pieces, pii, quality_classifier, quality_rules, training_order, url_filters, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strider.llm import url_filters
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.judge(table(spark, sf_dir, "documents"))
+
+
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = training_order.materialise(table(spark, sf_dir, "documents"))
+    return training_order.read_shards(spark, path)
+
 
+def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"))
 
 
-def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strider.llm import decontamination
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strider.llm import quality_rules
+def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc.fixity(pages, warc.damaged(pages))
+
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
-def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strider.llm import pii
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
 
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+QUERIES = (
+    op1_language_id, op2_training_order, op3_url_reputation, op4_quality_classifier, op5_pieces,
+    op6_decontamination, op7_warc_fixity, op8_quality_rules, op9_jaccard_join, op10_pii,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_url_reputation, op6_decontamination, op8_quality_rules, op10_pii)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
