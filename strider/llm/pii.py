@@ -175,3 +175,12 @@ def digest(docs: DataFrame) -> DataFrame:
         F.sha2(listed(F.filter("pii", lambda x: x["kind"].isin(names))).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("pii")).alias("spans"),
     )
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """The documents with every span replaced; n_chars, where there is one, follows the new text."""
+    names = docs.columns
+    out = redact(find(docs, out="__pii"), spans="__pii")
+    if "n_chars" in names:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*names)
