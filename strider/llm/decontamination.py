@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strider.llm.common import ascii_lower, words
+from strider.llm.common import ascii_lower, stage, words
 
 BROADCAST_ROWS = 200_000
 
@@ -111,5 +111,5 @@ def all_runs_at(w: str, widths: list[int]) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", **kw) -> DataFrame:
     """The documents that hold no item of the benchmark."""
-    bad = leaks(docs, benchmark, id=id, **kw).select(F.col(id).alias("bad_id")).distinct()
+    bad = stage(leaks(docs, benchmark, id=id, **kw).select(F.col(id).alias("bad_id")).distinct(), "leaks")
     return docs.join(sized(bad), docs[id].eqNullSafe(bad["bad_id"]), "left_anti")
