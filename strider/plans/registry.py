@@ -1,11 +1,545 @@
-"""The registered queries of the trajectory engine."""
+"""The registered queries of the trajectory engine, each beside the SQL that gives the same rows.
+
+Every query runs the library's own operators over the whole fixture view (see fixtures); limits stand only where they are
+the feature. Doubles are rounded where two engines may add in another order.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+
+from strider.functions.columns import airline_of, clock_text, duration_text, haversine_km, in_any_box, text_or
+from strider.operators import decode, explore, flights, holds, legacy, movements, phases, quality, scope, timewin
+from strider.plans import fixtures as fx
+
+_QUERIES: dict[str, Callable] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql.strip()
+        return f
 
-def queries() -> dict:
-    return {}
+    return keep
+
+
+def queries() -> dict[str, Callable]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# ---- frames that queries share -----------------------------------------------------------------------------
+
+
+def _obs(spark, d) -> DataFrame:
+    return fx.observations(spark, d)
+
+
+def _base(spark, d) -> DataFrame:
+    return flights.aggregate_flights(_obs(spark, d))
+
+
+def _moves(spark, d) -> DataFrame:
+    return movements.airport_movements(_base(spark, d), fx.airports(spark, d))
+
+
+def _holds(spark, d) -> DataFrame:
+    return holds.to_flight_holds(_obs(spark, d), flights.movement_pivot(_moves(spark, d)), fx.airports(spark, d), fx.WIDE)
+
+
+def _flights(spark, d) -> DataFrame:
+    return flights.to_flights(_base(spark, d), flights.movement_pivot(_moves(spark, d)), _holds(spark, d))
+
+
+def _phases(spark, d) -> DataFrame:
+    return phases.to_flight_phases(_obs(spark, d), fx.WIDE)
+
+
+def r6(*names: str) -> list:
+    return [F.round(n, 6).alias(n) for n in names]
+
+
+# ---- decode and segmentation -------------------------------------------------------------------------------
+
+
+@query(f"WITH {fx.POINTS_SQL} SELECT icao, is_icao_address, event_time, ground_speed_kt, vertical_rate_fpm, callsign FROM cleaned")
+def value_nulling(spark, d):
+    return fx.cleaned(spark, d).select("icao", "is_icao_address", "event_time", "ground_speed_kt", "vertical_rate_fpm", "callsign")
+
+
+@query(f"WITH {fx.observations_sql(21_600)} SELECT icao, CAST(segment_no AS BIGINT) AS segment_no, COUNT(*) AS n, MIN(event_time) AS first_seen FROM obs GROUP BY 1, 2")
+def session_segments(spark, d):
+    df = timewin.segment_by_gap(fx.cleaned(spark, d), "icao", "event_time", 21_600)
+    return df.groupBy("icao", "segment_no").agg(F.count(F.lit(1)).alias("n"), F.min("event_time").alias("first_seen"))
+
+
+@query(f"WITH {fx.OBS_SQL} SELECT flight_id, icao, event_time, observation_seq, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, on_ground, altitude_ft, release_tag, release_date FROM obs")
+def observations_table(spark, d):
+    return _obs(spark, d).select("flight_id", "icao", "event_time", "observation_seq", *r6("latitude", "longitude"), "on_ground", "altitude_ft", "release_tag", "release_date")
+
+
+_TRACES = """
+WITH p AS (SELECT user_id, CAST(ts AS DATE) AS day, CAST(floor(epoch(ts)) AS BIGINT) // 3600 * 3600 AS hour, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_type, event_id FROM events),
+q AS (SELECT 'u' || user_id AS icao, hour, event_id,
+  CASE WHEN event_type <> 'signup' THEN CAST(k * 100 AS DOUBLE) END AS altitude_ft, event_type = 'signup' AS on_ground,
+  CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(k * 9 AS DOUBLE) END AS speed, CASE WHEN k % 4 = 0 THEN NULL ELSE CAST(k AS DOUBLE) END AS track_deg, CASE WHEN k % 5 <> 0 THEN 'C' || k END AS callsign,
+  CAST(40 + k AS DOUBLE) AS latitude FROM p),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY icao, hour ORDER BY
+  (altitude_ft IS NOT NULL)::INT + (speed IS NOT NULL)::INT + (track_deg IS NOT NULL)::INT + (callsign IS NOT NULL)::INT DESC, latitude, event_id) AS rn FROM q)
+SELECT icao, CAST(hour AS BIGINT) AS event_epoch, latitude, on_ground, altitude_ft, CASE WHEN speed > 700 THEN NULL ELSE speed END AS ground_speed_kt, track_deg, callsign FROM r WHERE rn = 1
+"""
+
+
+@query(_TRACES)
+def dedup_winner(spark, d):
+    """Raw traces, one row for each aircraft, through decode(): points fall on whole hours, so that many collide."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    text = lambda c: c.cast("string")
+    point = F.array(
+        text(F.floor(F.unix_timestamp("ts") / 3600) * 3600), text(40 + k), F.lit("5"), F.when(F.col("event_type") == "signup", "ground").otherwise(text(k * 100)),
+        F.when(k % 3 != 0, text(k * 9)), F.when(k % 4 != 0, text(k)), F.lit("0"), F.lit(None).cast("string"),
+        F.when(k % 5 != 0, F.concat(F.lit('{"flight": "C'), text(k), F.lit(' "}'))),
+    )
+    e = fx.table(spark, d, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("icao"), "event_id", point.alias("p"))
+    raw = e.groupBy("icao").agg(F.array_sort(F.collect_list(F.struct("event_id", "p"))).alias("t"))
+    none = F.lit(None).cast("string")
+    raw = raw.select("icao", none.alias("r"), none.alias("t"), none.alias("ownOp"), F.lit(0.0).alias("timestamp"), F.col("t.p").alias("trace"))
+    out = decode.decode(raw, path=F.lit("s/v2024.01.01-x/traces/00/a.json.gz"))
+    return out.select("icao", F.unix_timestamp("event_time").alias("event_epoch"), "latitude", "on_ground", "altitude_ft", "ground_speed_kt", "track_deg", "callsign")
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CASE WHEN event_type = 'click' THEN 'SWR' END AS airline FROM events")
+def json_props_extract(spark, d):
+    e = fx.table(spark, d, "events")
+    callsign = F.when(F.col("event_type") == "click", F.concat(F.lit("SWR"), (F.col("user_id") % 900 + 100).cast("string"))).otherwise("D-EABC")
+    return e.select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"), airline_of(callsign).alias("airline"))
+
+
+@query("SELECT user_id, COUNT(*) AS n FROM events GROUP BY 1 HAVING bool_or(CAST(json_extract_string(props, '$.k') AS INTEGER) BETWEEN 40 AND 42)")
+def exists_array_filter(spark, d):
+    """The spatial pre-filter on arrays, before they are exploded."""
+    k = F.get_json_object("props", "$.k")
+    raw = fx.table(spark, d, "events").groupBy("user_id").agg(F.collect_list(F.array(F.lit("0"), k, F.lit("7"))).alias("trace"))
+    return scope.near_scope(raw, [(40.0, 42.0, 6.0, 8.0)]).select("user_id", F.size("trace").cast("long").alias("n"))
+
+
+# ---- flights and movements ---------------------------------------------------------------------------------
+
+
+@query(f"WITH {fx.BASE_SQL} SELECT * EXCLUDE (first_latitude, first_longitude, last_latitude, last_longitude) FROM base")
+def session_aggregate(spark, d):
+    return _base(spark, d).drop("first_latitude", "first_longitude", "last_latitude", "last_longitude")
+
+
+@query(f"WITH {fx.BASE_SQL} SELECT flight_id, callsign, n_callsigns, CASE WHEN regexp_matches(callsign, '^[A-Z]{{3}}[0-9][0-9A-Z]*$') THEN callsign[1:3] END AS airline_icao FROM base")
+def session_first_callsign(spark, d):
+    return _base(spark, d).select("flight_id", "callsign", "n_callsigns", airline_of("callsign").alias("airline_icao"))
+
+
+@query(f"WITH {fx.AIRPORTS_SQL}, s AS (SELECT unnest([-1, 0, 1]) AS x) SELECT ident, CAST(floor(latitude_deg) + a.x AS BIGINT) AS cell_lat, CAST(floor(longitude_deg) + b.x AS BIGINT) AS cell_lon FROM airports, s a, s b")
+def airport_cells(spark, d):
+    return movements.airport_cells(fx.airports(spark, d)).select("ident", "cell_lat", "cell_lon")
+
+
+_MOVE = "flight_id, movement_type, event_time, altitude_ft, ident, iata_code, airport_name, airport_type, iso_country, elevation_ft, release_tag, release_date"
+
+
+@query(f"WITH {fx.MOVES_SQL} SELECT {_MOVE}, round(distance_km, 6) AS distance_km FROM moves")
+def movements_nearest(spark, d):
+    return _moves(spark, d).select(*_MOVE.split(", "), *r6("distance_km"))
+
+
+@query(f"WITH {fx.MOVES_SQL} SELECT movement_type, COUNT(*) AS n, COUNT(DISTINCT flight_id) AS flights FROM ends GROUP BY 1")
+def union_all_endpoints(spark, d):
+    return movements.endpoints(_base(spark, d)).groupBy("movement_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("flight_id").alias("flights"))
+
+
+@query(f"WITH {fx.MOVES_SQL} SELECT * EXCLUDE (departure_distance_km, arrival_distance_km) FROM pivoted")
+def movement_pivot(spark, d):
+    return flights.movement_pivot(_moves(spark, d)).drop("departure_distance_km", "arrival_distance_km")
+
+
+_FLIGHT = [c for c in flights.FLIGHT if not c.endswith(("latitude", "longitude", "distance_km"))]
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT {', '.join(_FLIGHT)} FROM flights")
+def flights_table(spark, d):
+    return _flights(spark, d).select(*_FLIGHT)
+
+
+_OPS = "operations_date, airport_ident, airport_iata, airport_name, airport_type, iso_country, arrivals, departures, total_operations, unique_aircraft, first_operation_time, last_operation_time, release_tag, release_date, metric_source"
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT {_OPS} FROM ops")
+def daily_operations(spark, d):
+    return movements.to_airport_operations(_moves(spark, d)).select(*_OPS.split(", "))
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT operations_date, airport_ident, arrivals, flights_with_detected_holds, hold_rate, CAST(floor(ad + 0.5) AS DOUBLE) AS avg_hold_duration_seconds FROM ops_h")
+def daily_operations_holds(spark, d):
+    ops = movements.to_airport_operations(_moves(spark, d), _holds(spark, d))
+    return ops.select("operations_date", "airport_ident", "arrivals", "flights_with_detected_holds", "hold_rate", "avg_hold_duration_seconds")
+
+
+@query(f"WITH {fx.MOVES_SQL} SELECT flight_id, COUNT(*) AS n FROM obs WHERE flight_id IN (SELECT flight_id FROM moves WHERE ident IN ('A003', 'A007', 'A011')) GROUP BY 1")
+def scope_semi(spark, d):
+    own = scope.Scope(airports=("A003", "A007", "A011"))
+    ids = scope.scope_flight_ids(_moves(spark, d), own)
+    return scope.restrict_to_flights(_obs(spark, d), ids).groupBy("flight_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {fx.MOVES_SQL} SELECT DISTINCT flight_id FROM obs WHERE flight_id NOT IN (SELECT flight_id FROM moves)")
+def orphans_anti(spark, d):
+    return quality.orphans(_obs(spark, d), _moves(spark, d))
+
+
+# ---- phases and holds --------------------------------------------------------------------------------------
+
+
+@query(f"WITH {fx.PHASES_SQL} SELECT flight_id, observation_seq, round(climb, 6) AS climb, phase FROM labelled")
+def phase_labels(spark, d):
+    return phases.label_observations(_obs(spark, d), fx.WIDE).select("flight_id", "observation_seq", F.round("smoothed_vertical_rate_fpm", 6).alias("climb"), "phase")
+
+
+@query(f"WITH {fx.PHASES_SQL} SELECT * EXCLUDE (run_no), CAST(ROW_NUMBER() OVER (PARTITION BY flight_id ORDER BY start_time) AS INTEGER) AS phase_seq FROM phases")
+def phase_intervals(spark, d):
+    return _phases(spark, d).drop("avg_ground_speed_kt", "avg_vertical_rate_fpm")
+
+
+@query(f"WITH {fx.PHASES_SQL} SELECT phase, COUNT(*) AS intervals, COUNT(DISTINCT flight_id) AS flights, quantile_disc(duration_seconds, 0.5) AS median_seconds, round(avg(n_observations), 1) AS avg_observations FROM phases GROUP BY 1")
+def phase_mix(spark, d):
+    return phases.phase_mix(_phases(spark, d))
+
+
+@query(f"WITH {fx.PHASES_SQL}, n AS (SELECT COUNT(*) AS n FROM phases GROUP BY flight_id) SELECT quantile_disc(n, 0.5) AS p50, quantile_disc(n, 0.9) AS p90, quantile_disc(n, 0.99) AS p99, MAX(n) AS most FROM n")
+def phase_fragmentation(spark, d):
+    return phases.fragmentation(_phases(spark, d))
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id, observation_seq, CAST(t AS DOUBLE) AS counted_turn, CAST(turned AS DOUBLE) AS turn_in_window_degrees FROM windowed")
+def turn_window(spark, d):
+    return holds.turn_in_window(_obs(spark, d), fx.WIDE).select("flight_id", "observation_seq", "counted_turn", "turn_in_window_degrees")
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id, hold_start, hold_end, duration_seconds, n_observations, min_altitude_ft, max_altitude_ft, max_sample_gap_seconds, release_date FROM candidates")
+def hold_candidates(spark, d):
+    df = holds.detect_hold_candidates(_obs(spark, d), fx.WIDE)
+    return df.select("flight_id", "hold_start", "hold_end", "duration_seconds", "n_observations", "min_altitude_ft", "max_altitude_ft", "max_sample_gap_seconds", "release_date")
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id, hold_seq, hold_start, hold_end, duration_seconds, arrival_airport_ident, arrival_airport_iata FROM holds")
+def flight_holds(spark, d):
+    return _holds(spark, d).select("flight_id", "hold_seq", "hold_start", "hold_end", "duration_seconds", "arrival_airport_ident", "arrival_airport_iata")
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT CASE WHEN arrival_airport_ident IS NULL THEN 'airport unknown' ELSE 'terminal area (<50 km)' END AS where_held, COUNT(*) AS holds FROM holds GROUP BY 1")
+def hold_distance_buckets(spark, d):
+    return holds.hold_distance_buckets(_holds(spark, d))
+
+
+@query("""WITH g AS (SELECT user_id, event_type, ts, event_id, CASE WHEN event_type = LAG(event_type) OVER w THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+r AS (SELECT *, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run_no FROM g)
+SELECT user_id, CAST(run_no AS BIGINT) AS run_no, MAX(event_type) AS event_type, COUNT(*) AS n FROM r GROUP BY 1, 2""")
+def run_collapse_event_type(spark, d):
+    df = timewin.number_runs(fx.table(spark, d, "events"), "user_id", "ts", "event_type")
+    return df.groupBy("user_id", "run_no").agg(F.max("event_type").alias("event_type"), F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY CAST(floor(epoch(ts)) AS BIGINT) RANGE BETWEEN 43200 PRECEDING AND 43200 FOLLOWING), 6) AS smooth FROM events""")
+def range_smooth_value(spark, d):
+    e = fx.table(spark, d, "events").withColumn("sec", F.unix_timestamp("ts"))
+    return e.select("event_id", F.round(F.avg("value").over(timewin.around("user_id", "sec", 43_200)), 6).alias("smooth"))
+
+
+# ---- as-of, intervals, thinning ----------------------------------------------------------------------------
+
+
+@query(f"WITH {fx.PHASES_SQL} SELECT l.flight_id, l.observation_seq, COALESCE(CASE WHEN l.event_time <= p.end_time THEN p.phase END, 'unknown') AS phase FROM labelled l ASOF LEFT JOIN phases p ON l.flight_id = p.flight_id AND l.event_time >= p.start_time")
+def asof_phase(spark, d):
+    o = _obs(spark, d).select("flight_id", "observation_seq", "event_time")
+    return explore.label_points_with_phase(o, _phases(spark, d)).select("flight_id", "observation_seq", "phase")
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT o.flight_id, o.observation_seq FROM obs o WHERE EXISTS (SELECT 1 FROM holds h WHERE h.flight_id = o.flight_id AND o.event_time BETWEEN h.hold_start AND h.hold_end)")
+def interval_points_in_holds(spark, d):
+    return explore.points_in_holds(_obs(spark, d), _holds(spark, d)).select("flight_id", "observation_seq")
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id, observation_seq, event_time FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY flight_id, sec // 21600 ORDER BY observation_seq) AS r FROM obs WHERE flight_id IN (SELECT flight_id FROM holds)) WHERE r = 1")
+def thin_time_bucket(spark, d):
+    return explore.track_sample(_obs(spark, d), _holds(spark, d), 21_600).select("flight_id", "observation_seq", "event_time")
+
+
+# ---- explorer and reports ----------------------------------------------------------------------------------
+
+
+@query(f"WITH {fx.HOLDS_SQL}, h AS (SELECT CAST(unnest(range(24)) AS INTEGER) AS hour) SELECT h.hour, (SELECT COUNT(*) FROM flights WHERE departure_airport_iata = 'CAN' AND hour(departure_time) = h.hour) AS departures, (SELECT COUNT(*) FROM flights WHERE arrival_airport_iata = 'CAN' AND hour(arrival_time) = h.hour) AS arrivals FROM h")
+def hourly_spine(spark, d):
+    return explore.hourly_traffic(_flights(spark, d), "CAN")
+
+
+@query(f"""WITH {fx.BASE_SQL}, c AS (SELECT registration AS value, COUNT(*) AS flights FROM base WHERE registration IS NOT NULL GROUP BY 1), r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY flights DESC, value) AS rn FROM c)
+SELECT value, flights FROM r WHERE rn <= 8 UNION ALL SELECT 'Other (' || COUNT(*) || ')', CAST(SUM(flights) AS BIGINT) FROM r WHERE rn > 8 HAVING COUNT(*) > 0""")
+def topn_folded_other(spark, d):
+    return explore.distribution(_base(spark, d), "registration", 8)
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id, icao, callsign FROM flights WHERE airline_icao = 'SWR' AND aircraft_type = 'T1' AND (upper(COALESCE(callsign, '')) LIKE '%R1%' OR upper(COALESCE(icao, '')) LIKE '%R1%')")
+def select_flights_filters(spark, d):
+    return explore.select_flights(_flights(spark, d), airline="SWR", aircraft_type="T1", callsign=" r1 ").select("flight_id", "icao", "callsign")
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT departure_airport_ident AS value, CAST(CASE departure_airport_ident WHEN 'A007' THEN 1 WHEN 'A003' THEN 2 ELSE 3 END AS INTEGER) AS rank FROM flights WHERE departure_airport_ident IS NOT NULL GROUP BY 1")
+def filter_options(spark, d):
+    return explore.options_for(_flights(spark, d), "departure_airport_ident", ("A007", "A003")).select("value", "rank")
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id FROM flights WHERE departure_airport_iata = 'CAN' OR arrival_airport_iata = 'CAN'")
+def airport_touching_flights(spark, d):
+    return explore.airport_flights(_flights(spark, d), "CAN").select("flight_id")
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT COUNT(*) AS flights, COUNT(DISTINCT icao) AS aircraft, COUNT(DISTINCT airline_icao) AS airlines, COUNT(DISTINCT aircraft_type) AS aircraft_types, COUNT(*) FILTER (WHERE has_detected_hold) AS with_holds FROM flights")
+def explorer_kpis(spark, d):
+    return explore.explorer_kpis(_flights(spark, d))
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT CAST(SUM(total_operations) AS BIGINT) AS operations, CAST(SUM(arrivals) AS BIGINT) AS arrivals, CAST(SUM(departures) AS BIGINT) AS departures, CAST(SUM(flights_with_detected_holds) AS BIGINT) AS holding_flights, round(SUM(flights_with_detected_holds) / SUM(arrivals), 6) AS hold_share FROM ops_h WHERE airport_ident = 'A003'")
+def airport_kpis(spark, d):
+    return explore.airport_kpis(movements.to_airport_operations(_moves(spark, d), _holds(spark, d)), "A003").drop("mean_hold_seconds")
+
+
+@query(f"""WITH {fx.HOLDS_SQL} SELECT flight_id, COALESCE(callsign, icao) AS callsign, COALESCE(departure_airport_iata, '—') AS dep,
+CASE WHEN duration_seconds >= 3600 THEN (duration_seconds // 3600) || 'h ' || lpad(CAST(duration_seconds % 3600 // 60 AS VARCHAR), 2, '0') || 'm'
+WHEN duration_seconds >= 60 THEN (duration_seconds // 60) || 'm ' || lpad(CAST(duration_seconds % 60 AS VARCHAR), 2, '0') || 's' ELSE duration_seconds || 's' END AS duration,
+COALESCE(strftime(departure_time, '%H:%M'), '—') AS clock FROM flights""")
+def flight_board(spark, d):
+    return _flights(spark, d).select(
+        "flight_id", text_or("callsign", F.col("icao")).alias("callsign"), text_or("departure_airport_iata").alias("dep"), duration_text("duration_seconds").alias("duration"), clock_text("departure_time").alias("clock")
+    )
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id, observation_seq, event_time FROM obs WHERE release_date IN (DATE '2024-01-03', DATE '2024-01-04') AND flight_id IN (SELECT MIN(flight_id) FROM flights UNION ALL SELECT MAX(flight_id) FROM flights)")
+def trajectory_fetch(spark, d):
+    from strider.sources.readers import load_trajectories
+
+    o = _obs(spark, d)
+    ends = o.agg(F.min("flight_id"), F.max("flight_id")).first()
+    return load_trajectories(o, list(ends), ["2024-01-03", "2024-01-04"]).select("flight_id", "observation_seq", "event_time")
+
+
+@query(f"WITH {fx.MOVES_SQL} SELECT flight_id, movement_type, event_time AS movement_time, ident AS airport_ident, iata_code AS airport_iata, airport_name, iso_country, release_date, '{explore.TRACK_DATA_SOURCE}' AS data_source FROM moves")
+def report_movements(spark, d):
+    return explore.with_source(explore.report_movements(_moves(spark, d)).drop("distance_km"))
+
+
+@query(f"""WITH {fx.HOLDS_SQL} SELECT (SELECT COUNT(*) FROM moves) AS operations, (SELECT COUNT(*) FROM moves WHERE movement_type = 'arrival') AS arrivals, (SELECT COUNT(*) FROM moves WHERE movement_type = 'departure') AS departures,
+(SELECT COUNT(DISTINCT icao) FROM flights) AS unique_aircraft, (SELECT COUNT(*) FROM flights) AS flights, COUNT(*) AS detected_holds, COUNT(DISTINCT flight_id) AS flights_with_holds, round(AVG(duration_seconds), 6) AS avg_hold_seconds,
+CAST(SUM(duration_seconds) AS BIGINT) AS total_hold_seconds, round(COUNT(DISTINCT flight_id) / (SELECT COUNT(*) FROM moves WHERE movement_type = 'arrival'), 6) AS hold_rate FROM holds""")
+def report_measures(spark, d):
+    return explore.measures(_moves(spark, d), _flights(spark, d), _holds(spark, d)).drop("avg_circuits")
+
+
+@query(f"WITH {fx.MOVES_SQL} SELECT CAST(hour(event_time) AS INTEGER) AS hour, COUNT(*) FILTER (WHERE movement_type = 'departure') AS departure, COUNT(*) FILTER (WHERE movement_type = 'arrival') AS arrival FROM moves GROUP BY 1")
+def hourly_by_direction(spark, d):
+    return explore.hourly_by_direction(_moves(spark, d))
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT airline_icao, COUNT(*) AS flights FROM flights WHERE airline_icao IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")
+def airline_top(spark, d):
+    return explore.airline_top(_flights(spark, d))
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT airline_icao, aircraft_type, COUNT(*) AS flights FROM flights WHERE airline_icao IS NOT NULL AND aircraft_type IS NOT NULL GROUP BY 1, 2")
+def airline_type_matrix(spark, d):
+    return explore.airline_type_matrix(_flights(spark, d))
+
+
+@query(f"WITH {fx.BASE_SQL} SELECT aircraft_type, COUNT(*) AS flights, COUNT(DISTINCT icao) AS aircraft, CAST(SUM(duration_seconds) AS BIGINT) AS seconds FROM base GROUP BY 1")
+def aircraft_usage(spark, d):
+    return explore.aircraft_usage(_base(spark, d))
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT duration_seconds // 3600 * 3600 AS from_seconds, COUNT(*) AS holds FROM holds GROUP BY 1")
+def duration_histogram(spark, d):
+    return explore.duration_histogram(_holds(spark, d), 3600)
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT arrival_airport_ident, COUNT(*) AS holds, round(avg(duration_seconds), 6) AS avg_seconds FROM holds GROUP BY 1")
+def circuits_by_airport(spark, d):
+    return explore.circuits_by_airport(_holds(spark, d)).drop("avg_circuits")
+
+
+@query(f"WITH {fx.OBS_SQL} SELECT COUNT(DISTINCT icao) AS aircraft, COUNT(DISTINCT callsign) AS callsigns, MIN(event_time) AS first_seen, MAX(event_time) AS last_seen FROM obs")
+def profile_totals(spark, d):
+    return explore.profile_totals(_obs(spark, d))
+
+
+@query(f"WITH {fx.OBS_SQL} SELECT on_ground, COUNT(*) AS reports FROM obs GROUP BY 1")
+def profile_by_ground(spark, d):
+    return explore.profile_by_ground(_obs(spark, d)).select("on_ground", "reports")
+
+
+@query(f"WITH {fx.OBS_SQL} SELECT aircraft_type, COUNT(*) AS reports, COUNT(DISTINCT icao) AS aircraft, MAX(altitude_ft) AS max_altitude_ft FROM obs GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def profile_by_type(spark, d):
+    return explore.profile_by_type(_obs(spark, d))
+
+
+@query(f"WITH {fx.OBS_SQL} SELECT icao, callsign, aircraft_type, event_time, ground_speed_kt, altitude_ft FROM obs WHERE NOT on_ground ORDER BY ground_speed_kt DESC NULLS LAST, icao, event_time LIMIT 5")
+def topk_fastest(spark, d):
+    return explore.fastest(_obs(spark, d))
+
+
+@query(f"WITH {fx.BASE_SQL}, {fx.AIRPORTS_SQL} SELECT count(*) AS pairs, round(sum({fx.km_sql('b.first_latitude', 'b.first_longitude', 'a.latitude_deg', 'a.longitude_deg')}), 2) AS km FROM base b JOIN airports a ON a.ident = 'A' || lpad(CAST(CAST(ltrim(b.icao, '~u') AS BIGINT) % 25 AS VARCHAR), 3, '0')")
+def haversine_pairs(spark, d):
+    b = _base(spark, d).withColumn("ident", F.concat(F.lit("A"), F.lpad((F.ltrim("icao", F.lit("~u")).cast("long") % 25).cast("string"), 3, "0")))
+    a = fx.airports(spark, d)
+    km = haversine_km(F.col("first_latitude"), F.col("first_longitude"), F.col("latitude_deg"), F.col("longitude_deg"))
+    return b.join(a, "ident").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.sum(km), 2).alias("km"))
+
+
+@query(f"WITH {fx.OBS_SQL} SELECT flight_id, COUNT(*) AS n FROM obs WHERE latitude BETWEEN 41 AND 42 AND longitude BETWEEN 6 AND 8 GROUP BY 1")
+def box_filter(spark, d):
+    return _obs(spark, d).where(in_any_box([(41.0, 42.0, 6.0, 8.0)], F.col("latitude"), F.col("longitude"))).groupBy("flight_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- quality -----------------------------------------------------------------------------------------------
+
+
+def _rules_sql(rules: dict, source: str, with_sql: str) -> str:
+    def duck(rule: str) -> str:
+        rule = rule.replace("flight_id LIKE CONCAT(icao, '_%')", "flight_id LIKE icao || '_%'").replace("DATE(", "date_trunc('day', ")
+        rule = rule.replace("UNIX_TIMESTAMP(last_seen_time) - UNIX_TIMESTAMP(first_seen_time)", "CAST(floor(epoch(last_seen_time)) AS BIGINT) - CAST(floor(epoch(first_seen_time)) AS BIGINT)")
+        return rule.replace("airline_icao RLIKE '^[A-Z]{3}$'", "regexp_matches(airline_icao, '^[A-Z]{3}$')")
+
+    each = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", COUNT(*) FILTER (WHERE {duck(r)}) AS failures FROM {source}" for n, r in rules.items())
+    return f"WITH {with_sql}, s AS (SELECT * FROM {source}) {each.replace(f'FROM {source}', 'FROM s')}"
+
+
+@query(_rules_sql(quality.OBSERVATION_RULES, "obs", fx.OBS_SQL))
+def quality_violations(spark, d):
+    return quality.violations(_obs(spark, d), quality.OBSERVATION_RULES)
+
+
+@query(_rules_sql(quality.FLIGHT_RULES, "flights", fx.HOLDS_SQL))
+def quality_flights(spark, d):
+    return quality.violations(_flights(spark, d), quality.FLIGHT_RULES)
+
+
+@query("SELECT CAST(SUM(n - 1) AS BIGINT) AS surplus FROM (SELECT COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)")
+def uniqueness_surplus(spark, d):
+    return quality.surplus(fx.table(spark, d, "lineitem"), ("l_orderkey", "l_linenumber"))
+
+
+@query(f"WITH {fx.BASE_SQL} SELECT (SELECT COUNT(*) FROM obs) AS observations, CAST(SUM(n_observations) AS BIGINT) AS in_flights FROM base")
+def conservation(spark, d):
+    o = _obs(spark, d)
+    n = o.agg(F.count(F.lit(1)).alias("observations")).withColumn("k", F.lit(1))
+    return n.join(flights.aggregate_flights(o).agg(F.sum("n_observations").alias("in_flights")).withColumn("k", F.lit(1)), "k").drop("k")
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT COUNT(*) AS flights, round(100.0 * COUNT(callsign) / COUNT(*), 1) AS callsign_pct, round(100.0 * COUNT(arrival_airport_ident) / COUNT(*), 1) AS arrival_airport_ident_pct, COUNT(*) FILTER (WHERE n_callsigns > 1) AS several_callsigns FROM flights")
+def coverage_pct(spark, d):
+    return flights.attribute_coverage(_flights(spark, d), ("callsign", "arrival_airport_ident"))
+
+
+@query(f"WITH {fx.BASE_SQL} SELECT flight_id, 'both' AS side FROM base WHERE n_observations % 7 = 0")
+def table_diff(spark, d):
+    b = _base(spark, d).select("flight_id", "n_observations", "max_altitude_ft")
+    other = b.withColumn("max_altitude_ft", F.when(F.col("n_observations") % 7 == 0, F.coalesce("max_altitude_ft", F.lit(0.0)) + 1).otherwise(F.col("max_altitude_ft")))
+    return explore.table_diff(b, other, ("flight_id",)).select("flight_id", "side")
+
+
+# ---- the first dashboard -----------------------------------------------------------------------------------
+
+
+def _states(spark, d) -> DataFrame:
+    """State vectors by callsign (one a user) from the events."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    u = F.col("user_id")
+    return fx.table(spark, d, "events").select(
+        F.col("ts").alias("timestamp"), (47 + k * 0.01).alias("latitude"), (8 + k * 0.01).alias("longitude"), F.floor(F.col("value") * 100).cast("double").alias("altitude"),
+        (k * 7 % 900).cast("double").alias("groundspeed"), (k - 50).cast("double").alias("vertical_rate"), F.concat(F.lit("SWR"), u.cast("string")).alias("callsign"),
+        (F.col("event_type") == "signup").alias("on_ground"), F.concat(F.lit("AL"), (u % 6).cast("string")).alias("airline"),
+    )
+
+
+_STATES_SQL = """s0 AS (SELECT ts AS timestamp, CAST(47 AS DOUBLE) + k * CAST(0.01 AS DOUBLE) AS latitude, CAST(8 AS DOUBLE) + k * CAST(0.01 AS DOUBLE) AS longitude, CAST(floor(value * 100) AS DOUBLE) AS altitude, CAST(k * 7 % 900 AS DOUBLE) AS groundspeed,
+  CAST(k - 50 AS DOUBLE) AS vertical_rate, 'SWR' || user_id AS callsign, event_type = 'signup' AS on_ground, 'AL' || (user_id % 6) AS airline FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)),
+s1 AS (SELECT *, epoch_us(timestamp) / 1e6 - LAG(epoch_us(timestamp) / 1e6) OVER w AS dt, sqrt(pow(latitude - LAG(latitude) OVER w, 2) + pow(longitude - LAG(longitude) OVER w, 2)) AS deg, abs(altitude - LAG(altitude) OVER w) AS alt
+  FROM s0 WHERE altitude > -1500 AND altitude < 60000 AND groundspeed >= 0 AND groundspeed < 800 WINDOW w AS (PARTITION BY callsign ORDER BY timestamp)),
+s2 AS (SELECT * FROM s1 WHERE dt IS NULL OR dt > 3600 OR (deg / dt < 0.003 AND alt / dt < 150)),
+s3 AS (SELECT *, AVG(vertical_rate) OVER (PARTITION BY callsign ORDER BY timestamp ROWS 39 PRECEDING) AS climb FROM s2),
+states AS (SELECT *, CASE WHEN on_ground OR (altitude < 600 AND groundspeed < 50) THEN 'TAXI' WHEN climb > 8.3 THEN 'CLIMB' WHEN climb < -8.3 THEN 'DESCENT' WHEN altitude < 18000 THEN 'LEVEL_OFF' ELSE 'CRUISE' END AS phase FROM s3),
+g AS (SELECT *, CASE WHEN epoch_us(timestamp) / 1e6 - LAG(epoch_us(timestamp) / 1e6) OVER w <= 86400 AND phase = LAG(phase) OVER w THEN 0 ELSE 1 END AS fresh FROM states WINDOW w AS (PARTITION BY callsign ORDER BY timestamp)),
+segs AS (SELECT *, SUM(fresh) OVER (PARTITION BY callsign ORDER BY timestamp ROWS UNBOUNDED PRECEDING) AS segment_id FROM g)"""
+
+
+@query(f"WITH {_STATES_SQL} SELECT callsign, timestamp, phase FROM states")
+def legacy_rolling_phase(spark, d):
+    return legacy.detect_phases(_states(spark, d)).select("callsign", "timestamp", "phase")
+
+
+@query(f"WITH {_STATES_SQL} SELECT callsign, CAST(segment_id AS BIGINT) AS segment_id, MAX(phase) AS phase, COUNT(*) AS n FROM segs GROUP BY 1, 2")
+def legacy_segments(spark, d):
+    df = legacy.segments(legacy.detect_phases(_states(spark, d)), 86_400)
+    return df.groupBy("callsign", "segment_id").agg(F.max("phase").alias("phase"), F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {_STATES_SQL}, e AS (SELECT callsign, arg_min(latitude, timestamp) AS la, arg_min(longitude, timestamp) AS lo, arg_min(altitude, timestamp) AS al, arg_max(latitude, timestamp) AS lb, arg_max(longitude, timestamp) AS lob, arg_max(altitude, timestamp) AS alb FROM s0 GROUP BY 1),
+f AS (SELECT *, la > 47.205 AND la < 47.705 AND lo > 8.205 AND lo < 8.705 AS si, lb > 47.205 AND lb < 47.705 AND lob > 8.205 AND lob < 8.705 AS ei, alb - al AS rise FROM e)
+SELECT callsign, CASE WHEN si AND NOT ei THEN 'DEPARTURE' WHEN ei AND NOT si THEN 'ARRIVAL' WHEN si THEN CASE WHEN rise > 500 THEN 'DEPARTURE' WHEN rise < -500 THEN 'ARRIVAL' ELSE 'UNKNOWN' END
+WHEN pow(la - 47.46, 2) + pow(lo - 8.55, 2) < 0.04 AND rise > 2000 THEN 'DEPARTURE' ELSE 'OVERFLIGHT' END AS direction FROM f""")
+def legacy_direction(spark, d):
+    return legacy.classify_direction(_states(spark, d), (47.205, 8.205, 47.705, 8.705))
+
+
+@query(f"WITH {_STATES_SQL}, h AS (SELECT CAST(unnest(range(24)) AS INTEGER) AS hour) SELECT h.hour, COUNT(DISTINCT callsign) AS flight_count FROM h LEFT JOIN s0 ON hour(s0.timestamp) = h.hour GROUP BY 1")
+def legacy_hourly(spark, d):
+    return legacy.hourly_callsigns(_states(spark, d))
+
+
+@query(f"WITH {_STATES_SQL}, t AS (SELECT airline, callsign, (epoch_us(MAX(timestamp)) - epoch_us(MIN(timestamp))) / 60e6 AS m FROM states WHERE phase = 'TAXI' GROUP BY 1, 2) SELECT airline, round(AVG(m), 4) AS avg_taxi, COUNT(DISTINCT callsign) AS flight_count FROM t GROUP BY 1 HAVING COUNT(DISTINCT callsign) > 2")
+def airline_efficiency(spark, d):
+    return legacy.airline_efficiency(legacy.detect_phases(_states(spark, d)))
+
+
+@query(f"WITH {_STATES_SQL} SELECT callsign, COUNT(*) AS seconds FROM states WHERE phase = 'LEVEL_OFF' GROUP BY 1 HAVING COUNT(*) > 30 ORDER BY 2 DESC, 1 LIMIT 15")
+def legacy_level_offs(spark, d):
+    return legacy.longest_level_offs(legacy.detect_phases(_states(spark, d)))
+
+
+@query(f"WITH {_STATES_SQL} SELECT COUNT(DISTINCT callsign) AS flights, round(100.0 * COUNT(DISTINCT CASE WHEN phase = 'LEVEL_OFF' THEN callsign END) / COUNT(DISTINCT callsign), 1) AS level_off_pct FROM states")
+def legacy_level_off_share(spark, d):
+    return legacy.level_off_share(legacy.detect_phases(_states(spark, d)))
+
+
+# ---- relational core on the star schema --------------------------------------------------------------------
+
+
+@query("""SELECT n_name, round(SUM(l_extendedprice * (1 - l_discount)), 2) AS revenue, COUNT(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1""")
+def revenue_by_nation(spark, d):
+    t = lambda n: fx.table(spark, d, n)
+    df = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    df = df.join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return df.groupBy("n_name").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count(F.lit(1)).alias("lines"))
+
+
+@query("""SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r <= 2""")
+def topk_per_group(spark, d):
+    w = W.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    return fx.table(spark, d, "orders").withColumn("r", F.row_number().over(w)).where("r <= 2").select("o_custkey", "o_orderkey", "o_totalprice")
+
+

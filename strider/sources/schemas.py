@@ -3,8 +3,15 @@
 from pyspark.sql import types as T
 
 
+KINDS = {
+    "string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(), "timestamp": T.TimestampType(),
+    "date": T.DateType(), "array<array<string>>": T.ArrayType(T.ArrayType(T.StringType())),
+}
+
+
 def struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """A schema from "name type, name type", without a session."""
+    return T.StructType([T.StructField(n, KINDS[k]) for n, k in (x.split() for x in spec.split(","))])
 
 
 RAW_TRACE = struct("icao string, r string, t string, ownOp string, timestamp double, trace array<array<string>>")

@@ -60,7 +60,7 @@ def write_table(df: DataFrame, path: str, day: str | None = None, full_rebuild:
     other = df.where(~F.col(DAY).eqNullSafe(day_literal(day)))
     if not other.isEmpty():
         raise WrongDay(f"rows outside {day}")
-    if exists(spark, path):
+    if live_files(spark, path)[0]:
         there = spark.read.parquet(path).schema
         if not _same_fields(there, df.schema):
             raise ValueError("the schema differs from the table's; only a full rebuild may change it")
