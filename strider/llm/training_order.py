@@ -19,12 +19,10 @@ id is stored as the least int64 and read back as null; an empty table makes no s
 from __future__ import annotations
 
 import base64
-import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +36,8 @@ from strider.llm.common import mix, new_path, stage
 LENGTH, PER_SHARD, KEY, ROUNDS = 512, 4096, 20240229, 6
 END = 50_256
 RANKS = "byte_bpe_50k.tiktoken"
-#: White space that the word before or after it, or the text's end, may treat as more than a single blank.
-LOOSE = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]")
 HEAD = struct.Struct("<qqii")
 NULL_ID = -(2**63)
-CACHE = 300_000
 
 
 def stride(length: int = LENGTH) -> int:
@@ -77,39 +72,17 @@ _ENCODERS: dict = {}
 
 
 class Encoder:
-    """Byte-level BPE of a rank file. A run of blanks and the word after it never share a token with what precedes, so
-    such units are encoded once while they stay in a bounded cache."""
+    """Byte-level BPE of a rank file; nothing in a text is a special token."""
 
-    def __init__(self, data: bytes, cache: int = CACHE):
+    def __init__(self, data: bytes):
         import public_tokenizers
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
         self.own = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.most, self.cache = cache, {}
-
-    def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        if LOOSE.search(text):
-            return self.own.encode_ordinary(text)
-        out: list = []
-        cache = self.cache
-        if len(cache) > self.most:
-            cache.clear()
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append(self.line_end())
-            units = line.replace(" ", "\n ").split("\n")
-            for u in set(units).difference(cache):
-                cache[u] = self.own.encode_ordinary(u)
-            out.extend(map(cache.__getitem__, units))
-        return list(chain.from_iterable(out))
-
-    def line_end(self) -> list[int]:
-        if "\n" not in self.cache:
-            self.cache["\n"] = self.own.encode_ordinary("\n")
-        return self.cache["\n"]
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.own.encode_to_numpy(text, disallowed_special=()).astype("<u2") if text else np.empty(0, "<u2")
 
 
 def encoder(key: str, sent) -> Encoder:
@@ -139,7 +112,7 @@ def sequences(docs: DataFrame, id: str = "doc_id", text: str = "text", length: i
                 ids, rows, used, flat = batch.column(0).to_pylist(), [], [], []
                 parts = []
                 for i, t in zip(ids, batch.column(1).to_pylist()):
-                    x = np.array([*own.encode(t), END], "<u2")
+                    x = np.append(own.encode(t), np.array([END], "<u2"))
                     n = -(-len(x) // length)
                     padded = np.full(n * length, END, "<u2")
                     padded[: len(x)] = x

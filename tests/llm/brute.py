@@ -16,7 +16,7 @@ def shingles(text, width=5):
 
 
 def components(rows):
-    """doc_id -> (set size, component, links to other texts) for (doc_id, text) rows with distinct ids."""
+    """doc_id -> (set size, component) for (doc_id, text) rows with distinct ids."""
     sets = {i: shingles(t) for i, t in rows}
     root = {i: i for i in sets}
 
@@ -35,12 +35,9 @@ def components(rows):
         for x in s:
             by_shingle.setdefault(x, []).append(s)
     pairs = {frozenset((a, b)) for v in by_shingle.values() for a, b in combinations(v, 2)}
-    links = {s: 0 for s in one}
     for p in pairs:
         a, b = p
         if 100 * len(a & b) >= 75 * len(a | b):
-            links[a] += 1
-            links[b] += 1
             x, y = sorted((find(one[a][0]), find(one[b][0])))
             root[y] = x
     for ids in one.values():
@@ -50,7 +47,7 @@ def components(rows):
     least = {}
     for i in sets:
         least[find(i)] = min(least.get(find(i), i), i)
-    return {i: (len(s), least[find(i)], links.get(s, 0)) for i, s in sets.items()}
+    return {i: (len(s), least[find(i)]) for i, s in sets.items()}
 
 
 def base_counts(text):
