@@ -39,9 +39,9 @@ class Kind:
 
 
 KINDS = (
-    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "@", 0.9, ("mail", "email", "contact", "write")),
+    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.9, ("mail", "email", "contact", "write")),
     Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", 0.6, ("ip", "host", "server", "address")),
-    Kind("card", r"[0-9](?:[\x20-]?[0-9])+", "", 0.8, ("card", "visa", "credit", "payment", "karte", "carte", "tarjeta")),
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "", 0.8, ("card", "visa", "credit", "payment", "karte", "carte", "tarjeta")),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.7, ("phone", "tel", "call", "mobile", "fax", "telefon")),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "", 0.8, ("iban", "account", "bank", "konto", "compte", "cuenta"), False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.3, ("ssn", "social", "security", "tax"), False),
