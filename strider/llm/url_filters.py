@@ -7,8 +7,9 @@ domain toward its suffix, host toward its domain. A host is blocked where the po
 standard deviations that its bad rate is above `max_bad`.
 
 Defined results: a null url, or one without `://`, has an empty host and path, fits no rule and takes the reputation of
-the empty host; a host without labelled pages takes its domain's posterior, and so on up; without any label the prior
-mean `base_rate` holds and nothing is blocked by the method. Repeated rows are judged each; extra columns are dropped.
+the empty host; a host without labelled pages takes the prior its domain gives, else its suffix's, else that of all (wide,
+where members differ, so that its bound is low); without any label the prior mean `base_rate` holds and nothing is blocked
+by the method. Repeated rows are judged each; extra columns are dropped.
 """
 
 from __future__ import annotations
@@ -83,38 +84,41 @@ def shrink(groups: DataFrame, parent: str, mean: Column, floor: float, most: flo
 
 def reputation(
     labelled: DataFrame, base_rate: float = 0.5, base_strength: float = 2.0, floor: float = 1.0, most: float = 200.0
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """From (host, bad 0/1) to posteriors (alpha, beta) of the bad rate by host, domain and suffix, and for all.
+) -> tuple[DataFrame, DataFrame, DataFrame, tuple[float, float]]:
+    """From (host, bad 0/1): posteriors (alpha, beta) by host, and by domain, suffix and for all the prior (alpha, beta)
+    that each gives to a member without labels.
 
     Each level is one partial aggregation of the level below, so a hot host costs one row per task.
     """
     hosts = labelled.groupBy("host").agg(F.sum("bad").cast("double").alias("bad"), F.count(F.lit(1)).cast("double").alias("n"))
     hosts = stage(hosts.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "bad", "n"), "hosts")
     domains = stage(hosts.groupBy("domain", "suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")), "domains")
-    suffixes = domains.groupBy("suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).withColumn("root", F.lit(0))
-    root = suffixes.groupBy("root").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    root = root.select(
-        "root",
-        (F.col("bad") + base_rate * base_strength).alias("alpha"),
-        (F.col("n") - F.col("bad") + (1 - base_rate) * base_strength).alias("beta"),
-    )
-
-    def below(groups: DataFrame, key: str, parent: str, above: DataFrame) -> DataFrame:
-        up = above.select(F.col(parent).alias("up"), (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("pm"))
-        joined = groups.join(up, groups[parent] == up["up"]).drop("up")
-        prior = shrink(joined, parent, F.col("pm"), floor, most)
-        joined = joined.join(prior, joined[parent] == prior[f"{parent}_"])
-        return joined.select(
-            key,
-            *([parent] if parent != "root" else []),
-            (F.col("bad") + F.col("pm") * F.col("strength")).alias("alpha"),
-            (F.col("n") - F.col("bad") + (1 - F.col("pm")) * F.col("strength")).alias("beta"),
-        )
-
-    by_suffix = stage(below(suffixes, "suffix", "root", root), "by_suffix")
-    by_domain = stage(below(domains, "domain", "suffix", by_suffix), "by_domain")
-    by_host = below(hosts, "host", "domain", by_domain)
-    return by_host, by_domain, by_suffix, root
+    suffixes = stage(domains.groupBy("suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")), "suffixes")
+    bad, n = suffixes.agg(F.coalesce(F.sum("bad"), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0.0))).first()
+    mean = (bad + base_rate * base_strength) / (n + base_strength)
+    fitted = shrink(suffixes.withColumn("all", F.lit(0)), "all", F.lit(mean), floor, most).first()
+    strength = fitted["strength"] if fitted else base_strength
+
+    def below(groups: DataFrame, pm: Column, s: Column, *keep: str) -> DataFrame:
+        """Posteriors of groups under the prior of mean pm and size s."""
+        return groups.select(*keep, (F.col("bad") + pm * s).alias("alpha"), (F.col("n") - F.col("bad") + (1 - pm) * s).alias("beta"))
+
+    def prior(parents: DataFrame, key: str, groups: DataFrame) -> DataFrame:
+        """What each parent gives its members: its posterior mean m, at the strength fitted over the groups below it."""
+        up = parents.select(F.col(key).alias("up"), (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("m"))
+        joined = groups.join(up, groups[key] == up["up"])
+        fit = shrink(joined.select(key, "bad", "n", F.col("m").alias("pm")), key, F.col("pm"), floor, most)
+        out = up.join(fit, up["up"] == fit[f"{key}_"])
+        return out.select(F.col("up").alias(f"{key}_k"), F.col("m"), F.col("strength").alias("s"))
+
+    by_suffix = below(suffixes, F.lit(mean), F.lit(strength), "suffix")
+    suffix_prior = stage(prior(by_suffix, "suffix", domains), "suffix-prior")
+    d = domains.join(suffix_prior, domains["suffix"] == suffix_prior["suffix_k"])
+    domain_prior = stage(prior(below(d, F.col("m"), F.col("s"), "domain"), "domain", hosts), "domain-prior")
+    h = hosts.join(domain_prior, hosts["domain"] == domain_prior["domain_k"])
+    by_host = below(h, F.col("m"), F.col("s"), "host")
+    split = lambda df, key: df.select(F.col(f"{key}_k").alias(key), (F.col("m") * F.col("s")).alias("alpha"), ((1 - F.col("m")) * F.col("s")).alias("beta"))
+    return by_host, split(domain_prior, "domain"), split(suffix_prior, "suffix"), (mean * strength, (1 - mean) * strength)
 
 
 def judge(
@@ -140,7 +144,7 @@ def judge(
     )
     if labelled is None:
         labelled = base.where(F.col("ruled").isNotNull()).select("host", (F.col("ruled") == "block").cast("int").alias("bad"))
-    by_host, by_domain, by_suffix, root = reputation(labelled)
+    by_host, by_domain, by_suffix, (alpha, beta) = reputation(labelled)
 
     # One row for each host that is asked for: the pages' own join is then a single one, on host alone.
     asked = base.where(F.col("ruled").isNull()).groupBy("host").count().select("host", domain_of(h).alias("domain"), suffix_of(h).alias("suffix"))
@@ -152,12 +156,9 @@ def judge(
             "left",
         ).drop(f"{level}_k")
 
-    asked = asked.withColumn("root", F.lit(0))
-    for source, key, level in ((by_host, "host", "h"), (by_domain, "domain", "d"), (by_suffix, "suffix", "s"), (root, "root", "r")):
+    for source, key, level in ((by_host, "host", "h"), (by_domain, "domain", "d"), (by_suffix, "suffix", "s")):
         asked = take(asked, source, key, level)
-    alpha = F.coalesce("h_a", "d_a", "s_a", "r_a", F.lit(1.0))
-    beta = F.when(F.col("h_a").isNotNull(), F.col("h_b")).otherwise(F.coalesce("d_b", "s_b", "r_b", F.lit(1.0)))
-    asked = asked.select(F.col("host").alias("asked_host"), alpha.alias("alpha"), beta.alias("beta"))
+    asked = asked.select(F.col("host").alias("asked_host"), F.coalesce("h_a", "d_a", "s_a", F.lit(alpha)).alias("alpha"), F.coalesce("h_b", "d_b", "s_b", F.lit(beta)).alias("beta"))
     mean = F.col("alpha") / (F.col("alpha") + F.col("beta"))
     sd = F.sqrt(mean * (1 - mean) / (F.col("alpha") + F.col("beta") + 1))
     asked = asked.select("asked_host", F.round(mean, 6).alias("bad_rate"), F.round(mean - confidence * sd, 6).alias("bad_bound"))
