@@ -76,11 +76,11 @@ def _grams(texts: list[str], longest: int):
     count = np.diff(np.append(first, len(keys)))
     keys = keys[first]
     doc, length = keys >> (63 - room), (keys >> (longest * bits)) & ((1 << (63 - room - longest * bits)) - 1)
-    back = np.concatenate([[0], seen]).astype(np.int64)
+    back = np.concatenate([[32], seen]).astype(np.int64)
     gram = np.zeros(len(keys), np.int64)
     for j in range(longest):
-        symbol = back[(keys >> (bits * (longest - 1 - j))) & ((1 << bits) - 1)]
-        gram = (gram << 21) | symbol
+        place = longest - 1 - j
+        gram = (gram << 21) | np.where(place < length, back[(keys >> (bits * place)) & ((1 << bits) - 1)], 0)
     return doc, (gram, length), count
 
 
@@ -97,10 +97,6 @@ def _runs(texts: list[str | None], most: int = 1 << 19) -> Iterator[tuple[int, l
         yield first, part
 
 
-def _name(gram: int, length: int) -> str:
-    return "".join(chr((gram >> (21 * j)) & 0x1FFFFF) if (gram >> (21 * j)) & 0x1FFFFF else " " for j in range(length - 1, -1, -1))
-
-
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", size: int = SIZE, longest: int = LONGEST) -> dict[str, list[int]]:
     """Each language's n-grams by rank, from (text, lang): counts are summed in each task, then over tasks."""
 
