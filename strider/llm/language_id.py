@@ -38,8 +38,9 @@ def _letters() -> np.ndarray:
 def _grams(texts: list[str], longest: int):
     """All n-grams of a run of texts: (document, code points packed 21 bits each, count), sorted by document and n-gram."""
     alpha = _letters()
-    codes = np.frombuffer("\x00".join(texts).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    ends = np.cumsum(np.fromiter((len(t.lower()) + 1 for t in texts), np.int64, len(texts)))
+    texts = [f"\x00{t.lower()}\x00" for t in texts]
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
     letter = alpha[codes]
     # Blanks between words are one blank each; symbols get small numbers that keep the order of code points.
     keep = letter.copy()
@@ -66,7 +67,7 @@ def _grams(texts: list[str], longest: int):
             key = (key << bits) | s[j : j + m]
             if 0 < j < n - 1:
                 inner |= s[j : j + m] == 0
-        good &= ~inner & ((s[:m] > 0) | (s[n - 1 :] > 0)) if n > 1 else s > 0
+        good &= ~inner if n > 2 else (s[:m] > 0) | (s[n - 1 :] > 0)
         # A longer n-gram sorts after a shorter one; its length stands above its symbols.
         out.append((doc[:m][good] << (63 - room)) | (n << (longest * bits)) | key[good])
     keys = np.sort(np.concatenate(out)) if out else np.empty(0, np.int64)
