@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strider.llm import decontamination, jaccard_join, language_id, pieces, pii, quality_classifier, quality_rules, training_order, url_filters, warc
+from strider.llm import decontamination, jaccard_join, language_id, oracles, pieces, pii, quality_classifier, quality_rules, training_order, url_filters, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,4 +64,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_reputation": oracles.OP3, "op6_decontamination": oracles.OP6, "op9_jaccard_join": oracles.OP9}
