@@ -49,6 +49,6 @@ SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN bound > 0.6 THEN 'bl
 OP9 = f"""WITH RECURSIVE s AS ({_shingles("documents", "doc_id")}), n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY 1),
 c AS (SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.width = b.width AND a.doc_id < b.doc_id GROUP BY 1, 2),
 e AS (SELECT x, y FROM c JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
-both AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
-reach AS (SELECT doc_id, doc_id AS m FROM documents UNION SELECT r.doc_id, b.y FROM reach r JOIN both b ON r.m = b.x)
+ways AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach AS (SELECT doc_id, doc_id AS m FROM documents UNION SELECT r.doc_id, b.y FROM reach r JOIN ways b ON r.m = b.x)
 SELECT r.doc_id, coalesce(MAX(n.n), 0) AS n_shingles, MIN(r.m) AS component_id FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY 1"""
