@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -45,6 +46,12 @@ def unstage(df: DataFrame) -> None:
         p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of frames that nothing refers to any more; it acts when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, UPPER, LOWER)

@@ -9,13 +9,17 @@ shingles, so linked sets share a signature; n1 is SLACK times k + 1, so that thi
 which alone are signed.
 
 Groups of a signature are not joined with themselves. Every member is linked with the group's least first (a star), the
-pairs verified and labelled; then only pairs of members with different labels remain, and they are taken from groups of at
-most GROUP members. A set with too few signatures in such groups for the counting argument (more than k) is called
-loose: copies of a large family, texts made mostly of a common passage, and small sets with empty parts. Loose sets are
+pairs settled and labelled; then only pairs of members with different labels remain, and they are taken from groups with at
+most GROUP labels, however many members. A set with too few signatures in such groups for the counting argument is called
+loose: texts made mostly of a common passage, and small sets with empty parts. Loose sets are
 joined among themselves by prefix filtering on their rarest shingles, again star first; no pair is lost to a limit.
 
-Exact copies collapse before any of this, in each task (a set signs once a task) and then over all. Verification counts
-common shingles of whole texts. Components are found by star contraction over staged edges, never on the driver.
+A candidate pair is settled in two steps. Each set has a parity sketch, one bit for each of about two hash buckets an
+element: the parity of the elements in that bucket. Sketches differ in at most as many bits as the sets differ in shingles,
+so a pair whose sketches differ in more bits than a link allows is none, and only the rest read their texts. The texts'
+common shingles are then counted exactly.
+
+Exact copies collapse before any of this, in each task (a set signs once a task) and then over all. Components are found by star contraction over staged edges, never on the driver.
 
 Defined results: words are A-Z-lower-cased runs without white space; a text of fewer than five words is one shingle; null
 texts and texts without words have size 0 and link with nothing; rows with equal ids count as one document and take the
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strider.llm.common import mix, shingle_sets, stage, unstage
+from strider.llm.common import mix, release, shingle_sets, stage, unstage
 
 NUM, DEN = 75, 100  # link when DEN * intersection >= NUM * union
 SLACK, GROUP, WIDTH = 1.1, 32, 5
@@ -85,8 +89,22 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return a, b
 
 
+def parity(s: np.ndarray) -> bytes:
+    """A set's parity sketch: a power of two of bits, at least twice the set's size."""
+    m = max(64, 1 << (2 * len(s) - 1).bit_length())
+    return np.packbits((np.bincount((mix(s ^ np.uint64(0x9A17)) & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def parity_distance(a: bytes, b: bytes) -> int:
+    """In how many bits two sketches differ, the longer one folded to the length of the other."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def signed(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """One pass over the texts: a row (0, spread key, set, doc, n, second hash, spare, text hash) for each document and rows
+    """One pass over the texts: a row (0, spread key, set, doc, n, second hash, spare, text hash, sketch) for each document and rows
     (1, signature, set) for each distinct set of a task."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,11 +113,13 @@ def signed(docs: DataFrame, id: str, text: str) -> DataFrame:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 ids, hashes = batch.column(0).to_pylist(), batch.column(2)
-                keys, sets, doc_rows = [], [], []
+                keys, sets, doc_rows, sketches = [], [], [], []
                 for i, s in zip(ids, shingle_sets(batch.column(1).to_pylist(), WIDTH)):
                     a, b = fingerprint(s)
                     spare = 1 << 30
+                    sketches.append(None)
                     if len(s) and a not in seen:
+                        sketches[-1] = parity(s)
                         if len(seen) >= SEEN:
                             seen.clear()
                         seen.add(a)
@@ -123,11 +143,12 @@ def signed(docs: DataFrame, id: str, text: str) -> DataFrame:
                     pa.concat_arrays([pa.array(b, pa.int64()), pa.nulls(m, pa.int64())]),
                     pa.concat_arrays([pa.array(spare, pa.int32()), pa.nulls(m, pa.int32())]),
                     pa.concat_arrays([hashes.combine_chunks() if isinstance(hashes, pa.ChunkedArray) else hashes, pa.nulls(m, pa.int64())]),
+                    pa.concat_arrays([pa.array(sketches, pa.binary()), pa.nulls(m, pa.binary())]),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, ["kind", "key", "set", "doc", "n", "second", "spare", "text_hash"])
+                yield pa.RecordBatch.from_arrays(cols, ["kind", "key", "set", "doc", "n", "second", "spare", "text_hash", "sketch"])
 
     rows = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
-    return rows.mapInArrow(run, "kind byte, key long, set long, doc long, n int, second long, spare int, text_hash long")
+    return rows.mapInArrow(run, "kind byte, key long, set long, doc long, n int, second long, spare int, text_hash long, sketch binary")
 
 
 # ---- pairs -------------------------------------------------------------------------------------------------
@@ -139,7 +160,10 @@ def few(df: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id: str, text: str, name: str) -> DataFrame:
-    """Of staged (a, b) pairs of sets those that link, from the whole texts of one document for each set."""
+    """Of staged (a, b) pairs of sets those that link: first by sketches, then from the whole texts of one document for each set."""
+    pairs = stage(maybe(pairs, sets), f"{name}-maybe")
+    if pairs.isEmpty():
+        return pairs
     need = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
     one = stage(sets.join(need, "set").select("set", "rep", "rep_hash"), f"{name}-need")
     texts = stage(texts_of(one, docs, id, text), f"{name}-texts")
@@ -177,6 +201,21 @@ def texts_of(sets: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
     return found.where(F.xxhash64("t") == F.col("rep_hash")).groupBy("set").agg(F.first("t").alias("t"))
 
 
+def maybe(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Drop the pairs that sizes and sketches rule out."""
+    own = sets.select("set", "n", "sketch")
+    p = pairs.join(own.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka")), "a")
+    p = p.join(own.select(F.col("set").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb")), "b").select("a", "b", "na", "nb", "ka", "kb")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            sizes = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            keep = pa.array([parity_distance(x, y) <= most_apart(m, n) for (m, n), x, y in zip(sizes, batch.column(4).to_pylist(), batch.column(5).to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    return p.mapInArrow(run, "a long, b long")
+
+
 def sizes_fit(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Drop pairs whose sizes alone rule a link out."""
     n = sets.select("set", "n")
@@ -197,13 +236,22 @@ def labels_of(links: DataFrame) -> DataFrame:
     return down.join(up, down["label"] == up["m2"], "left").select("member", F.least("label", F.coalesce("l2", "label")).alias("label"))
 
 
-def across(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): members of one group with different labels; groups come as (key, set) with few members or few labels."""
+def labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, set, label, labels): the distinct members of groups with more than one label, and how many labels the group has.
+    One shuffle; within a group rows stream in order of label and set."""
+    labels = few(labels)
     g = groups.join(labels, groups["set"] == labels["member"], "left").select("key", "set", F.coalesce("label", "set").alias("label"))
-    mixed = g.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    g = g.join(mixed, "key")
-    left = g.select("key", F.col("set").alias("a"), F.col("label").alias("la"))
-    right = g.select("key", F.col("set").alias("b"), F.col("label").alias("lb"))
+    whole = W.partitionBy("key")
+    order = whole.orderBy("label", "set")
+    g = g.withColumn("again", F.lag("set").over(order).eqNullSafe(F.col("set"))).withColumn("fresh", (~F.lag("label").over(order).eqNullSafe(F.col("label"))).cast("int"))
+    g = g.withColumn("labels", F.sum("fresh").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    return g.where("labels > 1 AND NOT again").select("key", "set", "label", "labels")
+
+
+def across(mixed: DataFrame) -> DataFrame:
+    """(a, b): members of one group with different labels."""
+    left = mixed.select("key", F.col("set").alias("a"), F.col("label").alias("la"))
+    right = mixed.select("key", F.col("set").alias("b"), F.col("label").alias("lb"))
     return left.join(right, "key").where("a < b AND la <> lb").select("a", "b").distinct()
 
 
@@ -259,47 +307,47 @@ def link(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataF
     """(documents, sets, links): (doc, n, set, second), (set, n, rep, spare), and linked pairs (a, b) of distinct sets."""
     w = W.partitionBy("key")
     rows = signed(docs, id, text)
-    rows = rows.withColumn("lo", F.min("set").over(w)).withColumn("hi", F.max("set").over(w)).where("kind = 0 OR lo <> hi").drop("lo", "hi")
+    rows = rows.withColumn("least", F.min("set").over(w)).withColumn("hi", F.max("set").over(w)).where("kind = 0 OR least <> hi").drop("hi")
     rows = stage(rows, "signed")
-    documents = rows.where("kind = 0").select("doc", "n", "set", "spare", "text_hash")
+    release(docs.sparkSession)  # the signatures' shuffle files are not needed any more
+    documents = rows.where("kind = 0").select("doc", "n", "set", "spare", "text_hash", "sketch")
     one = F.min(F.struct("doc", "text_hash"))  # a text that has the set
-    sets = documents.where("n > 0 AND doc IS NOT NULL").groupBy("set").agg(F.max("n").alias("n"), one.alias("one"), F.min("spare").alias("spare"))
-    sets = stage(sets.select("set", "n", F.col("one.doc").alias("rep"), F.col("one.text_hash").alias("rep_hash"), "spare"), "sets")
+    sets = documents.where("n > 0 AND doc IS NOT NULL").groupBy("set").agg(F.max("n").alias("n"), one.alias("one"), F.min("spare").alias("spare"), F.max("sketch").alias("sketch"))
+    sets = stage(sets.select("set", "n", F.col("one.doc").alias("rep"), F.col("one.text_hash").alias("rep_hash"), "spare", "sketch"), "sets")
 
-    members = rows.where("kind = 1").select("key", "set").distinct()
-    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("set").alias("least")).withColumnRenamed("key", "m_key")
-    groups = stage(members.join(size, members["key"] == size["m_key"]).select("key", "set", "least", "m"), "groups")
+    groups = rows.where("kind = 1").select("key", "set", "least")  # a set may stand in a group once for each task
     stars = stage(sizes_fit(star(groups), sets), "stars")
     first = verify(stars, sets, docs, id, text, "stars")
-    more = across(groups.where(F.col("m") <= GROUP), labels_of(first)).join(stars, ["a", "b"], "left_anti")
-    second = verify(stage(sizes_fit(more, sets), "across"), sets, docs, id, text, "across")
-    links = first.unionByName(second)
+    mixed = stage(labelled(groups, labels_of(first)), "mixed")
+    release(docs.sparkSession)
+    more = across(mixed.where(F.col("labels") <= GROUP)).join(stars, ["a", "b"], "left_anti")
+    links = first.unionByName(verify(stage(sizes_fit(more, sets), "across"), sets, docs, id, text, "across"))
+    release(docs.sparkSession)
 
-    hot = groups.where(F.col("m") > GROUP).groupBy("set").agg(F.count(F.lit(1)).alias("hot")).withColumnRenamed("set", "hot_set")
+    hot = mixed.where(F.col("labels") > GROUP).groupBy("set").agg(F.count(F.lit(1)).alias("hot")).withColumnRenamed("set", "hot_set")
     loose = sets.join(hot, sets["set"] == hot["hot_set"], "left").where(F.col("spare") - F.coalesce("hot", F.lit(0)) <= 0)
     loose = stage(loose.select("set", "rep", "rep_hash"), "loose-sets")
     if not loose.isEmpty():
         groups = loose_groups(loose, docs, id, text)
         fresh = stage(sizes_fit(star(groups).join(links, ["a", "b"], "left_anti"), sets), "loose-stars")
         links = links.unionByName(verify(fresh, sets, docs, id, text, "loose-stars"))
-        more = across(groups, labels_of(links)).join(fresh, ["a", "b"], "left_anti")
+        more = across(stage(labelled(groups, labels_of(links)), "loose-mixed")).join(fresh, ["a", "b"], "left_anti")
         links = links.unionByName(verify(stage(sizes_fit(more, sets), "loose-across"), sets, docs, id, text, "loose-across"))
     return documents, sets, links
 
 
 def join(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The contract's columns: doc_id, n_shingles, component_id, and how many other texts the document's text links to."""
+    """The contract's columns: doc_id, n_shingles, component_id. Links inside a component are only followed as far as it takes to
+    connect it, so their number is not returned."""
     documents, sets, links = link(docs, id, text)
     found = components(links)
     part = sets.join(found, sets["set"] == found["member"], "left").select("set", "rep", F.coalesce("component", "set").alias("c"))
-    degree = links.select("a", "b").distinct()
-    degree = degree.select(F.col("a").alias("s")).unionByName(degree.select(F.col("b").alias("s"))).groupBy("s").agg(F.count(F.lit(1)).alias("n_links"))
     least = part.groupBy("c").agg(F.min("rep").alias("component_id")).withColumnRenamed("c", "least_c")
-    part = part.join(least, part["c"] == least["least_c"]).join(degree, part["set"] == degree["s"], "left").select(F.col("set").alias("p_set"), "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    out = documents.join(part, documents["set"] == part["p_set"], "left")
+    part = part.join(least, part["c"] == least["least_c"]).select(F.col("set").alias("p_set"), "component_id")
+    out = documents.select("doc", "n", "set").join(part, documents["set"] == part["p_set"], "left")
     return out.select(
         F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"),
     )
 
 
