@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strider.llm.common import mix, new_path, stage
+from strider.llm.common import mix, new_path, release, stage, unstage
 
-LENGTH, PER_SHARD, KEY, ROUNDS = 512, 4096, 20240229, 6
+LENGTH, PER_SHARD, KEY, ROUNDS, SLICES = 512, 4096, 20240229, 6, 8
 END = 50_256
 RANKS = "byte_bpe_50k.tiktoken"
 HEAD = struct.Struct("<qqii")
@@ -133,14 +133,20 @@ def sequences(docs: DataFrame, id: str = "doc_id", text: str = "text", length: i
 # ---- shards ------------------------------------------------------------------------------------------------
 
 
-def placed(staged: DataFrame, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> tuple[DataFrame, int]:
-    """(shard, slot, record) of staged sequences, and their number."""
+def number(staged: DataFrame) -> tuple[np.ndarray, int]:
+    """The first number of each task's sequences, and how many there are in all."""
     counts = {r[0]: r[1] for r in staged.groupBy("task").agg(F.count(F.lit(1))).collect()}  # one row a task
     offsets = np.zeros(max(counts, default=-1) + 1, np.int64)
     total = 0
     for t in sorted(counts):
         offsets[t], total = total, total + counts[t]
+    return offsets, total
+
+
+def placed(staged: DataFrame, offsets: np.ndarray, total: int, shards: tuple[int, int], length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
+    """(shard, slot, record) of the staged sequences that belong to a range of shards."""
     sent = staged.sparkSession.sparkContext.broadcast(offsets)
+    low, high = shards[0] * per_shard, shards[1] * per_shard
     kind = np.dtype([("slot", "<i8"), ("doc", "<i8"), ("part", "<i4"), ("used", "<i4"), ("tokens", "u1", 2 * length)])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,13 +154,15 @@ def placed(staged: DataFrame, length: int = LENGTH, per_shard: int = PER_SHARD,
             for at in range(0, whole.num_rows, 4096):
                 b = whole.slice(at, 4096)
                 slot = permute(sent.value[b.column(0).to_numpy()] + b.column(1).to_numpy(), total, key)
+                here = (slot >= low) & (slot < high)
+                b, slot = pa.RecordBatch.from_arrays([c.filter(pa.array(here)) for c in b.columns], schema=b.schema), slot[here]
                 rec = np.empty(b.num_rows, kind)
                 rec["slot"], rec["doc"], rec["part"], rec["used"] = slot, b.column(2).to_numpy(), b.column(3).to_numpy(), b.column(4).to_numpy()
                 rec["tokens"] = np.frombuffer(b"".join(b.column(5).to_pylist()), np.uint8).reshape(b.num_rows, 2 * length)
                 record = pa.FixedSizeBinaryArray.from_buffers(pa.binary(kind.itemsize), len(rec), [None, pa.py_buffer(rec.view(np.uint8))]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(slot // per_shard), pa.array(slot), record], ["shard", "slot", "record"])
 
-    return staged.mapInArrow(run, "shard long, slot long, record binary"), total
+    return staged.mapInArrow(run, "shard long, slot long, record binary")
 
 
 def done_shards(spark: SparkSession, path: str) -> list[int]:
@@ -166,14 +174,21 @@ def done_shards(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.partition("=")[2]) for n in names if n.startswith("shard="))
 
 
-def write_shards(records: DataFrame, path: str, total: int, per_shard: int = PER_SHARD, resume: bool = True) -> None:
-    """One file for each range of slots, its records in order."""
-    spark = records.sparkSession
-    if resume and (done := done_shards(spark, path)):
-        records = records.where(~F.col("shard").isin(done))
-    n = max(1, -(-total // per_shard))
-    out = records.repartition(n, "shard").sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
-    out.write.mode("append").option("lineSep", "\r\n").partitionBy("shard").text(path)
+def write_shards(staged: DataFrame, path: str, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY, slices: int = SLICES, resume: bool = True) -> None:
+    """One file for each range of slots, its records in order. Shards are written in `slices` ranges one after another, so
+    that only one range's shuffle is on disk at a time; with resume, ranges whose shards are all there are passed over."""
+    spark = staged.sparkSession
+    offsets, total = number(staged)
+    n = -(-total // per_shard)
+    done = set(done_shards(spark, path)) if resume else set()
+    step = max(1, -(-n // slices))
+    for at in range(0, n, step):
+        upto = min(n, at + step)
+        if missing := [k for k in range(at, upto) if k not in done]:
+            records = placed(staged, offsets, total, (missing[0], missing[-1] + 1), length, per_shard, key).where(F.col("shard").isin(missing))
+            out = records.repartition(len(missing), "shard").sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
+            out.write.mode("append").option("lineSep", "\r\n").partitionBy("shard").text(path)
+            release(spark)
 
 
 def unpacked(records, size: int, per_shard: int):
@@ -200,6 +215,6 @@ def materialise(docs: DataFrame, path: str | None = None, length: int = LENGTH,
     spark = docs.sparkSession
     path = path or new_path(spark, "shards")
     staged = stage(sequences(docs, length=length), "sequences")
-    records, total = placed(staged, length, per_shard, key)
-    write_shards(records, path, total, per_shard)
+    write_shards(staged, path, length, per_shard, key)
+    unstage(staged)
     return path

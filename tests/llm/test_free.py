@@ -193,12 +193,11 @@ def test_shards_hold_every_sequence_once(spark, tmp_path):
 def test_resume_writes_the_missing_shards_only(spark, tmp_path):
     path = f"file://{tmp_path}/shards"
     staged = training_order.stage(training_order.sequences(frame(spark, [words(1, 3000)]), length=64), "x")
-    records, total = training_order.placed(staged, 64, 16)
-    training_order.write_shards(records, path, total, 16)
+    training_order.write_shards(staged, path, 64, 16)
     kept = {p: p.read_bytes() for p in (tmp_path / "shards").glob("shard=*/part-*")}
     gone = sorted(kept)[0]
     gone.unlink(), gone.with_name(f".{gone.name}.crc").unlink(missing_ok=True), gone.parent.rmdir()
-    training_order.write_shards(records, path, total, 16)
+    training_order.write_shards(staged, path, 64, 16)
     again = {p.parent.name: p.read_bytes() for p in (tmp_path / "shards").glob("shard=*/part-*")}
     assert again == {p.parent.name: b for p, b in kept.items()}
     assert training_order.read_shards(spark, training_order.materialise(frame(spark, []), f"file://{tmp_path}/none")).count() == 0
