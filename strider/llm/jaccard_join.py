@@ -40,7 +40,7 @@ from strider.llm.common import mix, release, shingle_sets, stage, unstage
 
 NUM, DEN = 75, 100  # link when DEN * intersection >= NUM * union
 SLACK, GROUP, WIDTH = 1.1, 32, 5
-SEEN = 200_000
+SEEN, BLOCK = 200_000, 128
 BROADCAST_ROWS = 500_000
 
 
@@ -230,14 +230,13 @@ def star(groups: DataFrame) -> DataFrame:
 
 
 def labels_of(links: DataFrame) -> DataFrame:
-    """(member, label): the least set that a set is linked with, or that one's; only a hint to skip settled pairs."""
-    down = links.groupBy(F.col("b").alias("member")).agg(F.min("a").alias("label"))
-    up = down.select(F.col("member").alias("m2"), F.col("label").alias("l2"))
-    return down.join(up, down["label"] == up["m2"], "left").select("member", F.least("label", F.coalesce("l2", "label")).alias("label"))
+    """(member, label): the component that the links so far put a set in; pairs inside one are settled."""
+    return components(links).withColumnRenamed("component", "label")
 
 
 def labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, set, label, labels): the distinct members of groups with more than one label, and how many labels the group has.
+    """(key, set, label, labels, block, blocks): the distinct members of groups with more than one label, and how many labels
+    and blocks of BLOCK members the group has.
     One shuffle; within a group rows stream in order of label and set."""
     labels = few(labels)
     g = groups.join(labels, groups["set"] == labels["member"], "left").select("key", "set", F.coalesce("label", "set").alias("label"))
@@ -245,7 +244,8 @@ def labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
     order = whole.orderBy("label", "set")
     g = g.withColumn("again", F.lag("set").over(order).eqNullSafe(F.col("set"))).withColumn("fresh", (~F.lag("label").over(order).eqNullSafe(F.col("label"))).cast("int"))
     g = g.withColumn("labels", F.sum("fresh").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
-    return g.where("labels > 1 AND NOT again").select("key", "set", "label", "labels")
+    g = g.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK)).withColumn("blocks", F.floor((F.count(F.lit(1)).over(whole) - 1) / BLOCK) + 1)
+    return g.where("labels > 1 AND NOT again").select("key", "set", "label", "labels", "block", "blocks")
 
 
 def across(mixed: DataFrame) -> DataFrame:
@@ -255,6 +255,44 @@ def across(mixed: DataFrame) -> DataFrame:
     return left.join(right, "key").where("a < b AND la <> lb").select("a", "b").distinct()
 
 
+def close_pairs(sets: np.ndarray, labels: np.ndarray, sizes: np.ndarray, sketches: list[bytes], first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of members `first` x `second` the pairs with different labels that sizes and sketches leave open."""
+    lengths = np.array([len(k) for k in sketches])
+    out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for x in np.unique(lengths[first]):
+        for y in np.unique(lengths[second]):
+            i, j = first[lengths[first] == x], second[lengths[second] == y]
+            p, q = (np.frombuffer(b"".join(sketches[k] for k in at), np.uint8).reshape(len(at), n) for at, n in ((i, x), (j, y)))
+            while p.shape[1] > q.shape[1]:
+                p = p[:, : p.shape[1] // 2] ^ p[:, p.shape[1] // 2 :]
+            while q.shape[1] > p.shape[1]:
+                q = q[:, : q.shape[1] // 2] ^ q[:, q.shape[1] // 2 :]
+            m, n = sizes[i][:, None], sizes[j][None, :]
+            open_ = (np.minimum(m, n) * DEN >= np.maximum(m, n) * NUM) & (labels[i][:, None] != labels[j][None, :])
+            rows, cols = np.nonzero(open_)
+            far = np.bitwise_count(p[rows] ^ q[cols]).sum(axis=1, dtype=np.int64) > (sizes[i][rows] + sizes[j][cols]) * (DEN - NUM) // (DEN + NUM)
+            a, b = sets[i][rows[~far]], sets[j][cols[~far]]
+            out_a.append(np.minimum(a, b))
+            out_b.append(np.maximum(a, b))
+    return np.concatenate(out_a), np.concatenate(out_b)
+
+
+def across_blocks(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """The same pairs as across(), those already dropped that sketches rule out, for groups of any size: a group is cut into
+    blocks of BLOCK members, each cell of two blocks is a small group of its own, and only open pairs leave it."""
+    own = sets.select(F.col("set").alias("own"), "n", "sketch")
+    m = mixed.join(own, mixed["set"] == own["own"]).select("key", "set", "label", "n", "sketch", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    m = m.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+
+    def cell(t: pa.Table) -> pa.Table:
+        s, label, n = (t.column(c).to_numpy().astype(np.int64) for c in ("set", "label", "n"))
+        block, low, high = t.column("block").to_numpy(), t.column("low")[0].as_py(), t.column("high")[0].as_py()
+        a, b = close_pairs(s, label, n, t.column("sketch").to_pylist(), np.flatnonzero(block == low), np.flatnonzero(block == high))
+        return pa.table({"a": a, "b": b})
+
+    return m.groupBy("key", "low", "high").applyInArrow(cell, "a long, b long").where("a < b").distinct()
+
+
 def loose_groups(loose: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
     """(key, set, least): sets that share a shingle of their prefixes, shingles ordered from the rarest among the loose."""
     texts = texts_of(loose, docs, id, text)
@@ -331,7 +369,7 @@ def link(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataF
         groups = loose_groups(loose, docs, id, text)
         fresh = stage(sizes_fit(star(groups).join(links, ["a", "b"], "left_anti"), sets), "loose-stars")
         links = links.unionByName(verify(fresh, sets, docs, id, text, "loose-stars"))
-        more = across(stage(labelled(groups, labels_of(links)), "loose-mixed")).join(fresh, ["a", "b"], "left_anti")
+        more = across_blocks(stage(labelled(groups, labels_of(links)), "loose-mixed"), sets).join(fresh, ["a", "b"], "left_anti")
         links = links.unionByName(verify(stage(sizes_fit(more, sets), "loose-across"), sets, docs, id, text, "loose-across"))
     return documents, sets, links
 
