@@ -302,20 +302,18 @@ def loose_groups(loose: DataFrame, docs: DataFrame, id: str, text: str) -> DataF
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 for k, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), WIDTH)):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), k, np.int64)), pa.array(s.view(np.int64))], ["set", "key"])
+                    cols = [pa.array(np.full(len(s), k, np.int64)), pa.array(s.view(np.int64)), pa.array(np.full(len(s), len(s), np.int32))]
+                    yield pa.RecordBatch.from_arrays(cols, ["set", "key", "size"])
 
-    rows = stage(texts.mapInArrow(run, "set long, key long").distinct(), "loose")
-    df = rows.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1").withColumnRenamed("key", "df_key")
+    rows = stage(texts.mapInArrow(run, "set long, key long, size int"), "loose")
     # A shingle of one loose set alone stands first in the order; only its number matters.
-    known = rows.join(df, rows["key"] == df["df_key"]).select("set", "key", "df")
-    sizes = rows.groupBy("set").agg(F.count(F.lit(1)).alias("size")).withColumnRenamed("set", "size_set")
-    shared = known.groupBy("set").agg(F.count(F.lit(1)).alias("shared")).withColumnRenamed("set", "shared_set")
-    ranked = known.withColumn("rank", F.row_number().over(W.partitionBy("set").orderBy("df", "key")))
-    ranked = ranked.join(sizes, ranked["set"] == sizes["size_set"]).join(shared, ranked["set"] == shared["shared_set"])
+    by_key, by_set = W.partitionBy("key"), W.partitionBy("set")
+    known = rows.withColumn("df", F.count(F.lit(1)).over(by_key)).where("df > 1")
+    ranked = known.withColumn("rank", F.row_number().over(by_set.orderBy("df", "key"))).withColumn("shared", F.count(F.lit(1)).over(by_set))
     prefix = F.col("size") - F.ceil(F.col("size") * NUM / DEN).cast("int") + 1
     kept = ranked.where(F.col("rank") + F.col("size") - F.col("shared") <= prefix).select("key", "set")
-    least = kept.groupBy("key").agg(F.min("set").alias("least"), F.count(F.lit(1)).alias("m")).where("m > 1").withColumnRenamed("key", "l_key")
-    return stage(kept.join(least, kept["key"] == least["l_key"]).select("key", "set", "least"), "loose-groups")
+    kept = kept.withColumn("least", F.min("set").over(by_key)).withColumn("m", F.count(F.lit(1)).over(by_key)).where("m > 1")
+    return stage(kept.select("key", "set", "least"), "loose-groups")
 
 
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
