@@ -19,6 +19,10 @@ element: the parity of the elements in that bucket. Sketches differ in at most a
 so a pair whose sketches differ in more bits than a link allows is none, and only the rest read their texts. The texts'
 common shingles are then counted exactly.
 
+That finds every component, and enough links to connect each. The other links of a component are between its members, so
+all of them are settled afterwards: a component's sets are cut into blocks by size, every two blocks whose sizes can link
+are a cell, and a cell counts the common shingles of all its pairs at once. No pair inside a component is left out.
+
 Exact copies collapse before any of this, in each task (a set signs once a task) and then over all. Components are found by star contraction over staged edges, never on the driver.
 
 Defined results: words are A-Z-lower-cased runs without white space; a text of fewer than five words is one shingle; null
@@ -41,6 +45,7 @@ from strider.llm.common import mix, release, shingle_sets, stage, unstage
 NUM, DEN = 75, 100  # link when DEN * intersection >= NUM * union
 SLACK, GROUP, WIDTH = 1.1, 32, 5
 SEEN, BLOCK = 200_000, 128
+ELEMENTS = 1_000_000  # shingles of a block of whole texts, about
 BROADCAST_ROWS = 500_000
 
 
@@ -339,8 +344,9 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     return edges.select(F.col("u").alias("member"), F.col("v").alias("component"))
 
 
-def link(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, sets, links): (doc, n, set, second), (set, n, rep, spare), and linked pairs (a, b) of distinct sets."""
+def spanning(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, sets, links): (doc, n, set, second), (set, n, rep, spare), and linked pairs (a, b) of distinct sets, as many as
+    connect every component, not all of them."""
     w = W.partitionBy("key")
     rows = signed(docs, id, text)
     rows = rows.withColumn("least", F.min("set").over(w)).withColumn("hi", F.max("set").over(w)).where("kind = 0 OR least <> hi").drop("hi")
@@ -372,10 +378,110 @@ def link(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataF
     return documents, sets, links
 
 
-def join(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The contract's columns: doc_id, n_shingles, component_id. Links inside a component are only followed as far as it takes to
-    connect it, so their number is not returned."""
-    documents, sets, links = link(docs, id, text)
+# ---- all links ---------------------------------------------------------------------------------------------
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """How many elements each of the left sets has in common with each of the right ones."""
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in (*left, *right)])
+    value = np.concatenate([*left, *right])
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    column = np.cumsum(np.concatenate([[False], value[1:] != value[:-1]]))
+    shared = np.bincount(column)[column] > 1
+    column, owner = column[shared], owner[shared]
+    column = np.cumsum(np.concatenate([[False], column[1:] != column[:-1]])) if len(column) else column
+    out = np.zeros((len(left), len(right)), np.int64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        i, j = np.searchsorted(column, (low, low + width))
+        dense = np.zeros((len(left) + len(right), int(column[j - 1]) - low + 1), np.float32)  # sums to `width` are exact
+        dense[owner[i:j], column[i:j] - low] = 1
+        out += (dense[: len(left)] @ dense[len(left) :].T).astype(np.int64)
+    return out
+
+
+def counted(documents: DataFrame, sets: DataFrame) -> DataFrame:
+    """Sets with their copies, the number of distinct documents that have the set."""
+    copies = documents.where("n > 0 AND doc IS NOT NULL").select("doc", "set").distinct().groupBy("set").agg(F.count(F.lit(1)).alias("copies"))
+    return stage(sets.select("set", "n", "rep", "rep_hash").join(copies, "set"), "counted")
+
+
+def members(links: DataFrame, sets: DataFrame) -> DataFrame:
+    """(c, set, n, rep, rep_hash, copies, m, block): the sets of each component of two or more, m in number, in blocks by size."""
+    found = components(links)
+    found = found.unionByName(found.select(F.col("component").alias("member"), "component").distinct())
+    g = found.join(sets, found["member"] == sets["set"]).select(F.col("component").alias("c"), "set", "n", "rep", "rep_hash", "copies")
+    whole = W.partitionBy("c")
+    order = whole.orderBy("n", "set").rowsBetween(W.unboundedPreceding, W.currentRow)
+    block = F.floor((F.row_number().over(whole.orderBy("n", "set")) - 1) / BLOCK) + F.floor(F.sum("n").over(order) / ELEMENTS)
+    return stage(g.withColumn("m", F.count(F.lit(1)).over(whole)).withColumn("block", block), "members")
+
+
+def cells(parts: DataFrame, docs: DataFrame, id: str, text: str, run, schema: str, name: str) -> DataFrame:
+    """run(members, rows, columns) of the linked pairs of every two blocks of a component whose sizes can link, staged."""
+    many = parts.where("m > 2")  # two sets that are a component are linked
+    size = stage(many.groupBy("c", "block").agg(F.min("n").alias("least"), F.max("n").alias("most")), f"{name}-blocks")
+    low, high = (size.select(F.col("c").alias(f"c_{x}"), F.col("block").alias(x), F.col("least").alias(f"least_{x}"), F.col("most").alias(f"most_{x}")) for x in ("low", "high"))
+    near = low.join(high, F.col("c_low") == F.col("c_high")).where(f"low <= high AND least_high * {NUM} <= most_low * {DEN}").select("c_low", "low", "high")
+    near = near.withColumn("own", F.explode(F.array_distinct(F.array("low", "high"))))
+    texts = stage(texts_of(many, docs, id, text).withColumnRenamed("set", "t_set"), f"{name}-texts")
+    own = many.join(texts, many["set"] == texts["t_set"])
+    rows = own.join(near, (own["c"] == near["c_low"]) & (own["block"] == near["own"])).select("c", "low", "high", "block", "set", "copies", "t")
+
+    def cell(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        block, a, b = t.column("block").to_numpy(), t.column("low")[0].as_py(), t.column("high")[0].as_py()
+        key, hashes = t.column("set").to_numpy(), list(shingle_sets(t.column("t").to_pylist(), WIDTH))
+        i, j = np.flatnonzero(block == a), np.flatnonzero(block == b)
+        n = np.array([len(s) for s in hashes], np.int64)
+        common = common_counts([hashes[x] for x in i], [hashes[x] for x in j])
+        good = DEN * common >= NUM * (n[i][:, None] + n[j][None, :] - common)
+        if a == b:
+            good &= key[i][:, None] < key[j][None, :]
+        x, y = np.nonzero(good)
+        return run(t, i[x], j[y])
+
+    out = stage(rows.groupBy("c", "low", "high").applyInArrow(cell, schema), name)
+    unstage(texts)
+    return out
+
+
+def twos(parts: DataFrame) -> DataFrame:
+    """(a, b): the components of two sets."""
+    return parts.where("m = 2").groupBy("c").agg(F.min("set").alias("a"), F.max("set").alias("b")).select("a", "b")
+
+
+def link(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, sets, links) as from spanning(), but with all linked pairs (a, b) of distinct sets, a < b, once each."""
+    documents, sets, links = spanning(docs, id, text)
+    parts = members(links, counted(documents, sets))
+
+    def run(t: pa.Table, x: np.ndarray, y: np.ndarray) -> pa.Table:
+        key = t.column("set").to_numpy()
+        return pa.table({"a": np.minimum(key[x], key[y]), "b": np.maximum(key[x], key[y])})
+
+    return documents, sets, twos(parts).unionByName(cells(parts, docs, id, text, run, "a long, b long", "all-links"))
+
+
+def links_by_set(links: DataFrame, sets: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(l_set, copies, linked): of each set its copies, and the documents with a set that is linked with it. Cells add up
+    their own, so no row is made for a pair."""
+    parts = members(links, sets)
+
+    def run(t: pa.Table, x: np.ndarray, y: np.ndarray) -> pa.Table:
+        copies, total = t.column("copies").to_numpy(), np.zeros(t.num_rows, np.int64)
+        np.add.at(total, x, copies[y])
+        np.add.at(total, y, copies[x])
+        return pa.table({"set": t.column("set"), "linked": total})
+
+    many = cells(parts, docs, id, text, run, "set long, linked long", "all-linked")
+    two = parts.where("m = 2").withColumn("linked", F.sum("copies").over(W.partitionBy("c")) - F.col("copies")).select("set", "linked")
+    linked = many.unionByName(two).groupBy("set").agg(F.sum("linked").alias("linked"))
+    return sets.join(linked, "set", "left").select(F.col("set").alias("l_set"), "copies", F.coalesce("linked", F.lit(0)).alias("linked"))
+
+
+def labelled_documents(documents: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, set) of each row, from links that connect the components."""
     found = components(links)
     part = sets.join(found, sets["set"] == found["member"], "left").select("set", "rep", F.coalesce("component", "set").alias("c"))
     least = part.groupBy("c").agg(F.min("rep").alias("component_id")).withColumnRenamed("c", "least_c")
@@ -383,11 +489,27 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     out = documents.select("doc", "n", "set").join(part, documents["set"] == part["p_set"], "left")
     return out.select(
         F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"), "set",
     )
 
 
+def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id: what needs no more than the spanning links."""
+    return labelled_documents(*spanning(docs, id, text)).drop("set")
+
+
+def join(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links: a document's links are the other documents at Jaccard >= threshold, exact
+    copies among them. An id with several texts counts once for each of its sets; rows with a null id are not counted, and
+    have n_links only where they have a component."""
+    documents, sets, links = spanning(docs, id, text)
+    per_set = links_by_set(links, counted(documents, sets), docs, id, text)
+    out = labelled_documents(documents, sets, links).join(per_set, F.col("set") == F.col("l_set"), "left")
+    n_links = F.col("copies") + F.col("linked") - F.col("doc_id").isNotNull().cast("long")
+    return out.select("doc_id", "n_shingles", "component_id", F.when(F.col("n_shingles") > 0, n_links).otherwise(F.lit(0)).alias("n_links"))
+
+
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component stays, that with the least id; so do those without words."""
-    stay = join(docs, id, text).where("n_shingles = 0 OR doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("stay_id")).distinct()
+    stay = classes(docs, id, text).where("n_shingles = 0 OR doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("stay_id")).distinct()
     return docs.join(stay, docs[id].eqNullSafe(stay["stay_id"]), "left_semi")

@@ -46,6 +46,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
+def op9_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
@@ -55,7 +59,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     op1_language_id, op2_training_order, op3_url_reputation, op4_quality_classifier, op5_pieces,
-    op6_decontamination, op7_warc_fixity, op8_quality_rules, op9_jaccard_join, op10_pii,
+    op6_decontamination, op7_warc_fixity, op8_quality_rules, op9_jaccard_join, op9_jaccard_links, op10_pii,
 )
 
 
