@@ -123,7 +123,7 @@ def signed(docs: DataFrame, id: str, text: str) -> DataFrame:
                     a, b = fingerprint(s)
                     spare = 1 << 30
                     sketches.append(None)
-                    if len(s) and a not in seen:
+                    if len(s) and i is not None and a not in seen:  # a row without an id stands for no set
                         sketches[-1] = parity(s)
                         if len(seen) >= SEEN:
                             seen.clear()

@@ -47,3 +47,13 @@ def test_links_of_copies_and_null_ids(spark):
     got = sorted((r.doc_id or 0, r.n_shingles, r.n_links) for r in jaccard_join.join(docs).collect() if r.doc_id or r.n_shingles > 30)
     assert got == [(0, 36, 3), (1, 36, 2), (1, 36, 2), (2, 36, 2), (3, 37, 2), (4, 0, 0)]
     assert jaccard_join.join(frame(spark, EDGE).limit(0)).count() == 0
+
+
+def test_a_null_id_before_its_copy_loses_no_link(spark):
+    text = words(8, 60)
+    rows = [(None, text), (1, text), (2, text + " more"), (None, "a b"), (3, "a b"), (4, "a b c d e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    sets = jaccard_join.spanning(docs)[1].collect()
+    assert len(sets) == 4 and all(r.sketch is not None and r.spare < 1 << 30 for r in sets)
+    got = sorted((r.doc_id or 0, r.component_id, r.n_links) for r in jaccard_join.join(docs).collect())
+    assert got == [(0, 1, 2), (0, 3, 1), (1, 1, 1), (2, 1, 1), (3, 3, 0), (4, 4, 0)]
