@@ -2,9 +2,11 @@
 
 Tokens are runs of letters, digits or other signs (lower-cased A-Z), plus marks for capitals-only words and for a word
 that repeats the one before. Each token has a fixed sparse ternary index vector drawn from its hash; a token's word
-vector is its index vector plus the sum of its neighbours' index vectors over the training texts, scaled to length one.
+vector is its index vector plus the sum of its neighbours' index vectors over all texts, scaled to length one: these are
+counts without labels, so every document adds to them, and the vocabulary is every token that occurs `least` times or more.
 The sums are integers, so they are the same in whatever order tasks finish. Tokens outside the vocabulary use their index
-vector. A document pools the mean and the root mean square of its tokens' vectors, with a few shape numbers; a numpy
+vector. Up to BROADCAST_TOKENS vectors are broadcast, those of the most frequent tokens where there are more; the texts' other
+tokens are joined with the rest. A document pools the mean and the root mean square of its tokens' vectors, with a few shape numbers; a numpy
 network (tanh layer, then logistic) is fitted on labelled rows, and a temperature fitted on a part kept aside scales its
 logit. At most `max_docs` labelled documents are fitted on, those first by a hash of their id; scores use whole texts.
 
@@ -18,14 +20,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strider.llm.common import batches, mix, span_hashes, stage
+from strider.llm.common import batches, mix, release, span_hashes, stage, unstage
 from strider.llm.language_id import held_out
 
 MAX_DOCS = 6_000
-MAX_VOCAB = 20_000
+BROADCAST_TOKENS = 1_500_000  # vectors that a model holds; how many there are is not bounded
+HELD, CELL = 200_000, 100_000  # rows that a task sums up at a time, and rows of a group, about
+RANGES = 8  # of tokens, one range's shuffle on disk at a time
 DIM, NONZERO, WINDOW, HIDDEN = 48, 6, 2, 24
 CAPITALS, REPEATED = np.uint64(0xA11CA95), np.uint64(0x2E9EA7)
 
@@ -66,64 +71,253 @@ def index_vectors(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_vectors(texts: DataFrame, max_vocab: int = MAX_VOCAB, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted token hashes, unit vectors) of the `max_vocab` most frequent tokens that occur `least` times or more."""
+def pack(rows: np.ndarray) -> list[bytes]:
+    """Integer rows as bytes: int8 where all of a row fits, else int64."""
+    small = (np.abs(rows) <= 127).all(axis=1)
+    narrow = rows.astype(np.int8)
+    return [narrow[i].tobytes() if small[i] else rows[i].astype(np.int64).tobytes() for i in range(len(rows))]
+
+
+def unpack(packed: pa.Array) -> np.ndarray:
+    """The int64 rows of pack()."""
+    data = packed.to_pylist()
+    wide = np.fromiter((len(b) != DIM for b in data), bool, len(data))
+    out = np.empty((len(data), DIM), np.int64)
+    out[~wide] = np.frombuffer(b"".join(b for b in data if len(b) == DIM), np.int8).reshape(-1, DIM)
+    out[wide] = np.frombuffer(b"".join(b for b in data if len(b) != DIM), np.int64).reshape(-1, DIM)
+    return out
+
+
+def unit(rows: np.ndarray) -> np.ndarray:
+    v = rows.astype(np.float64)
+    return (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
+
+class Sums:
+    """Counts and vectors by token, summed as parts come in."""
+
+    def __init__(self):
+        self.parts, self.rows, self.tokens = [], 0, 0
+
+    def add(self, w: np.ndarray, n: np.ndarray, v: np.ndarray) -> None:
+        self.parts.append((w, n, v))
+        self.rows += len(w)
+        self.tokens += int(n.sum())
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        w, n, v = (np.concatenate(x) for x in zip(*self.parts)) if self.parts else (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, DIM), np.int64))
+        if len(self.parts) > 1:
+            order = np.argsort(w, kind="stable")
+            w = w[order]
+            first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+            w, n, v = w[first], np.add.reduceat(n[order], first), np.add.reduceat(v[order], first, axis=0)
+        self.parts, self.rows = [(w, n, v)], len(w)
+        return w, n, v
+
+
+def neighbours(part: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens, counts, summed index vectors of the tokens within WINDOW) of a run of texts."""
+    h, at, *_ = tokens(part)
+    words, spot = np.unique(h, return_inverse=True)
+    if not len(h):
+        return words, np.empty(0, np.int64), np.empty((0, DIM), np.int32)
+    index = index_vectors(words)[spot]
+    doc = np.repeat(np.arange(len(part)), np.diff(at))
+    near = np.zeros((len(h), DIM), np.int8)  # 2 * WINDOW terms of -1, 0 or 1
+    for gap in range(1, WINDOW + 1):
+        same = (doc[gap:] == doc[:-gap]).astype(np.int8)[:, None]
+        near[gap:] += index[:-gap] * same
+        near[:-gap] += index[gap:] * same
+    order = np.argsort(spot, kind="stable")
+    count = np.bincount(spot, minlength=len(words))
+    starts = np.concatenate([[0], np.cumsum(count)[:-1]])
+    return words, count.astype(np.int64), np.add.reduceat(near[order], starts, axis=0, dtype=np.int32)
+
+
+def word_vectors(texts: DataFrame, least: int = 3) -> DataFrame:
+    """(w, v, level), staged: every token of the texts that occurs `least` times or more, its packed sum of vectors, and four times
+    the logarithm of its count."""
+
+    def rows_of(w: np.ndarray, n: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(w), 20_000):
+            cut = slice(i, i + 20_000)
+            yield pa.RecordBatch.from_arrays([pa.array(w[cut].view(np.int64)), pa.array(n[cut]), pa.array(pack(v[cut]), pa.binary())], ["w", "n", "v"])
 
     def gather(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums()
         for batch in it:
-            for _, part in batches(batch.column(0).to_pylist(), 1 << 19):
-                h, at, *_ = tokens(part)
-                if not len(h):
-                    continue
-                words, spot = np.unique(h, return_inverse=True)
-                index = index_vectors(words).astype(np.int32)
-                doc = np.repeat(np.arange(len(part)), np.diff(at))
-                total = np.zeros((len(words), DIM), np.int32)
-                for gap in range(1, WINDOW + 1):
-                    same = doc[gap:] == doc[:-gap]
-                    a, b = spot[:-gap][same], spot[gap:][same]
-                    np.add.at(total, a, index[b])
-                    np.add.at(total, b, index[a])
-                count = np.bincount(spot, minlength=len(words))
-                cols = [pa.array(words.view(np.int64)), pa.array(count.astype(np.int64))]
-                cols += [pa.array(total[:, j].astype(np.int64)) for j in range(DIM)]
-                yield pa.RecordBatch.from_arrays(cols, ["w", "n", *[f"v{j}" for j in range(DIM)]])
-
-    fields = "w long, n long, " + ", ".join(f"v{j} long" for j in range(DIM))
-    rows = texts.select("text").mapInArrow(gather, fields).groupBy("w").agg(F.sum("n").alias("n"), *[F.sum(f"v{j}").alias(f"v{j}") for j in range(DIM)])
-    top = rows.where(F.col("n") >= least).orderBy(F.desc("n"), "w").limit(max_vocab).toArrow()  # bounded by max_vocab
-    h = top.column("w").to_numpy().view(np.uint64)
-    v = np.stack([top.column(f"v{j}").to_numpy() for j in range(DIM)], axis=1).astype(np.float64) if len(h) else np.zeros((0, DIM))
-    own = index_vectors(h).astype(np.float64) * top.column("n").to_numpy()[:, None] if len(h) else v
-    v = v + own
-    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-    order = np.argsort(h)
-    return h[order], v[order].astype(np.float32)
-
-
-def features(texts: list[str | None], vocab: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+            for _, part in batches(batch.column(0).to_pylist(), 1 << 20):
+                sums.add(*neighbours(part))
+                if sums.rows > 2 * HELD and len(sums.merge()[0]) > HELD or sums.tokens > 1 << 28:  # so that int32 holds the sums
+                    yield from rows_of(*sums.merge())
+                    sums = Sums()
+        yield from rows_of(*sums.merge())
+
+    def total(t: pa.Table) -> pa.Table:
+        sums = Sums()
+        for b in t.to_batches(max_chunksize=50_000):
+            sums.add(b.column("w").to_numpy().view(np.uint64), b.column("n").to_numpy(), unpack(b.column("v")))
+            if sums.rows > HELD:
+                sums.merge()
+        sums.add(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, DIM), np.int64))
+        w, n, v = sums.merge()
+        often = n >= least
+        w, n, v = w[often], n[often], v[often]
+        return pa.table({"w": pa.array(w.view(np.int64)), "v": pa.array(pack(v + index_vectors(w).astype(np.int64) * n[:, None]), pa.binary()), "level": np.floor(4 * np.log2(n)).astype(np.int32)})
+
+    rows = stage(texts.select("text").mapInArrow(gather, "w long, n long, v binary"), "token-sums")
+    groups = max(1, -(-rows.count() // (CELL * RANGES)))
+    part, out = F.pmod(F.col("w"), F.lit(groups * RANGES)), None
+    for k in range(RANGES):
+        one = stage(rows.where(part % RANGES == k).groupBy(part.alias("g")).applyInArrow(total, "w long, v binary, level int"), "word-vectors")
+        out = one if out is None else out.unionByName(one)
+        release(texts.sparkSession)
+    unstage(rows)
+    return out
+
+
+def held(vectors: DataFrame) -> tuple["Vectors", DataFrame | None]:
+    """The vectors of the most frequent tokens, at most BROADCAST_TOKENS, and the frame of the others if there are any."""
+    cut, total, more = -1, 0, False
+    for r in vectors.groupBy("level").count().orderBy(F.desc("level")).collect():  # at most 253 levels
+        total += r["count"]
+        if total > BROADCAST_TOKENS:
+            cut, more = r["level"], True
+            break
+    got = vectors.where(F.col("level") > cut).select("w", "v").toArrow().combine_chunks()  # bounded by BROADCAST_TOKENS
+    own = Vectors(got.column("w").to_numpy(), pa.concat_arrays(got.column("v").chunks) if len(got) else pa.array([], pa.binary()))
+    return own, vectors.where(F.col("level") <= cut).select("w", "v") if more else None
+
+
+class Vectors:
+    """Unit vectors of the tokens of a collected (w, v), kept as the integers they came as."""
+
+    def __init__(self, w: np.ndarray, v: pa.Array):
+        order = np.argsort(w.view(np.uint64))
+        self.known, size = w.view(np.uint64)[order], pa.compute.binary_length(v).to_numpy()[order]
+        packed = v.take(pa.array(order))
+        self.wide = size != DIM
+        self.place = np.where(self.wide, np.cumsum(self.wide), np.cumsum(~self.wide)).astype(np.int32) - 1
+        self.small = np.frombuffer(b"".join(packed.filter(pa.array(~self.wide)).to_pylist()), np.int8).reshape(-1, DIM)
+        self.large = unit(np.frombuffer(b"".join(packed.filter(pa.array(self.wide)).to_pylist()), np.int64).reshape(-1, DIM))
+
+    def __len__(self) -> int:
+        return len(self.known)
+
+    def of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(known, vectors) of distinct tokens; those that are not known have their index vector."""
+        spot = np.minimum(np.searchsorted(self.known, h), max(0, len(self) - 1))
+        known = self.known[spot] == h if len(self) else np.zeros(len(h), bool)
+        out = index_vectors(h).astype(np.float32) / np.sqrt(NONZERO)
+        at, wide = spot[known], self.wide[spot[known]] if len(self) else np.zeros(0, bool)
+        rows = np.empty((len(at), DIM), np.float32)
+        if len(at):
+            rows[~wide], rows[wide] = unit(self.small[self.place[at[~wide]]]), self.large[self.place[at[wide]]]
+        out[known] = rows
+        return known, out
+
+
+MARKS = index_vectors(np.array([CAPITALS, REPEATED], np.uint64)).astype(np.float32) / np.sqrt(NONZERO)
+
+
+def shapes(part: list[bytes]):
+    """Of a run of texts: token hashes, offsets, texts that have tokens, and (capitals, repeats, signs, digits) shares of those."""
+    h, at, capital, again, kind = tokens(part)
+    full = np.flatnonzero(np.diff(at) > 0)
+    if not len(full):
+        return h, at, full, np.empty((0, 4), np.float32)
+    size = np.diff(at)[full].astype(np.float32)
+    return h, at, full, np.stack([np.add.reduceat(x.astype(np.float32), at[:-1][full]) / size for x in (capital, again, kind == 3, kind == 2)], axis=1)
+
+
+def pooled(mean: np.ndarray, square: np.ndarray, known: np.ndarray, size: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    """The features of texts from means over their tokens and shape numbers."""
+    mean = mean + shape[:, :1] * MARKS[0] + shape[:, 1:2] * MARKS[1]
+    return np.concatenate([mean, np.sqrt(square), shape, known[:, None], np.log1p(size)[:, None] / 10], axis=1)
+
+
+def features(texts: list[str | None], vectors: Vectors) -> np.ndarray:
     """Pooled vectors and shape numbers of each text."""
     out = np.zeros((len(texts), 2 * DIM + 6), np.float32)
-    marks = index_vectors(np.array([CAPITALS, REPEATED], np.uint64)).astype(np.float32) / np.sqrt(NONZERO)
     for first, part in batches(texts, 1 << 18):
-        h, at, capital, again, kind = tokens(part)
-        n = np.diff(at).astype(np.float32)
-        full = np.flatnonzero(n > 0)
+        h, at, full, shape = shapes(part)
         if not len(full):
             continue
-        spot = np.minimum(np.searchsorted(vocab, h), max(0, len(vocab) - 1))
-        known = vocab[spot] == h if len(vocab) else np.zeros(len(h), bool)
-        v = np.empty((len(h), DIM), np.float32)
-        v[known] = vectors[spot[known]]
-        strange, back = np.unique(h[~known], return_inverse=True)
-        v[~known] = (index_vectors(strange).astype(np.float32) / np.sqrt(NONZERO))[back]
-        starts, size = at[:-1][full], n[full][:, None]
-        each = lambda x: np.add.reduceat(x.astype(np.float32), starts)[:, None] / size
-        caps, reps = each(capital), each(again)
-        mean = np.add.reduceat(v, starts, axis=0) / size + caps * marks[0] + reps * marks[1]
-        square = np.sqrt(np.add.reduceat(v * v, starts, axis=0) / size)
-        shape = np.concatenate([caps, reps, each(kind == 3), each(kind == 2), each(known), np.log1p(size) / 10], axis=1)
-        out[first + full] = np.concatenate([mean, square, shape], axis=1)
+        words, back = np.unique(h, return_inverse=True)
+        known, own = vectors.of(words)
+        v, starts, size = own[back], at[:-1][full], np.diff(at)[full].astype(np.float32)
+        mean, square = (np.add.reduceat(x, starts, axis=0) / size[:, None] for x in (v, v * v))
+        out[first + full] = pooled(mean, square, np.add.reduceat(known[back].astype(np.float32), starts) / size, size, shape)
+    return out
+
+
+def keyed(text: str) -> list:
+    return [F.xxhash64(F.col(text)).alias("t1"), F.xxhash64(F.lit(1), F.col(text)).alias("t2")]
+
+
+def joined_features(docs: DataFrame, vectors: Vectors, rest: DataFrame, text: str, then, field: str) -> DataFrame:
+    """(t1, t2, then(features)) of each distinct text: tokens that are not among `vectors` find theirs in `rest` by a join. Copies
+    of a text count in its means alike, which leaves them as they are."""
+
+    # A row for each token of a text that is not held, and one with the shape numbers and the sums over its held tokens.
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            key = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1)
+            for first, part in batches(batch.column(2).to_pylist(), 1 << 18):
+                h, at, full, shape = shapes(part)
+                doc = np.repeat(np.arange(len(part)), np.diff(at))
+                whole = np.zeros((len(part), 5 + 2 * DIM), np.float32)
+                if len(full):
+                    words, back = np.unique(h, return_inverse=True)
+                    known, own = vectors.of(words)
+                    own[~known] = 0
+                    v, starts = own[back], at[:-1][full]
+                    whole[full] = np.concatenate([shape, np.add.reduceat(known[back].astype(np.float32), starts)[:, None], np.add.reduceat(v, starts, axis=0), np.add.reduceat(v * v, starts, axis=0)], axis=1)
+                    h, doc = h[~known[back]], doc[~known[back]]
+                order = np.lexsort([h, doc])
+                h, doc = h[order], doc[order]
+                new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])) if len(h) else np.empty(0, np.int64)
+                n = np.diff(np.append(new, len(h)))
+                k = key[first + np.concatenate([doc[new], np.arange(len(part))])]
+                w = pa.concat_arrays([pa.array(h[new].view(np.int64)), pa.nulls(len(part), pa.int64())])
+                sizes = np.concatenate([n, np.diff(at)]).astype(np.int64)
+                flat = pa.concat_arrays([pa.nulls(len(new), pa.binary()), pa.array([x.tobytes() for x in whole], pa.binary())])
+                yield pa.RecordBatch.from_arrays([pa.array(k[:, 0]), pa.array(k[:, 1]), w, pa.array(sizes), flat], ["t1", "t2", "w", "n", "sums"])
+
+    # Copies of a text give the same rows; one of each is enough, and keeps what comes together small.
+    rows = docs.select(*keyed(text), F.col(text).alias("t")).mapInArrow(run, "t1 long, t2 long, w long, n long, sums binary")
+    staged = stage(rows, "text-tokens")
+    groups = max(1, -(-staged.count() // CELL))
+    rows = staged.groupBy("t1", "t2", "w").agg(F.max("n").alias("n"), F.first("sums").alias("sums"))
+
+    def cell(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("t1", "ascending"), ("t2", "ascending"), ("w", "ascending")]).combine_chunks()
+        a, b, n = (t.column(c).to_numpy() for c in ("t1", "t2", "n"))
+        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        owner = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(a))))
+        token = ~t.column("w").is_null().to_numpy()
+        one, at = np.flatnonzero(~token), np.flatnonzero(token)  # a text's own row comes last among its rows
+        sums = np.frombuffer(b"".join(t.column("sums").take(pa.array(one)).to_pylist()), np.float32).reshape(len(one), -1)
+        size = np.maximum(n[one], 1).astype(np.float32)
+        known, mean, square = sums[:, 4].copy(), sums[:, 5 : 5 + DIM].copy(), sums[:, 5 + DIM :].copy()
+        if len(at):
+            found = pa.array(t.column("v").take(pa.array(at)).to_pylist(), pa.binary())
+            have = ~found.is_null().to_numpy(zero_copy_only=False)
+            own = index_vectors(t.column("w").take(pa.array(at)).to_numpy().astype(np.int64).view(np.uint64)).astype(np.float32) / np.sqrt(NONZERO)
+            if have.any():
+                own[have] = unit(unpack(found.filter(pa.array(have))))
+            starts = np.flatnonzero(np.concatenate([[True], owner[at][1:] != owner[at][:-1]]))
+            full, weight = owner[at][starts], n[at].astype(np.float32)
+            known[full] += np.add.reduceat(have * weight, starts)
+            mean[full] += np.add.reduceat(own * weight[:, None], starts, axis=0)
+            square[full] += np.add.reduceat(own * own * weight[:, None], starts, axis=0)
+        x = pooled(mean / size[:, None], square / size[:, None], known / size, size, sums[:, :4])
+        x[n[one] == 0] = 0
+        return pa.table({"t1": a[new], "t2": b[new], "x": then(x)})
+
+    both = rows.join(rest, "w", "left").select("t1", "t2", "w", "n", "sums", "v")
+    out = stage(both.groupBy(F.pmod(F.col("t1"), F.lit(groups)).alias("g")).applyInArrow(cell, f"t1 long, t2 long, x {field}"), "text-features")
+    unstage(staged)
     return out
 
 
@@ -170,11 +364,10 @@ class Network:
 
 
 class Model:
-    def __init__(self, vocab: np.ndarray, vectors: np.ndarray, network: Network):
-        self.vocab, self.vectors, self.network = vocab, vectors, network
+    """A network, the vectors it stands on, and the frame of those that are not held."""
 
-    def probability(self, texts: list[str | None]) -> np.ndarray:
-        return self.network.probability(features(texts, self.vocab, self.vectors).astype(np.float64))
+    def __init__(self, vectors: Vectors, rest: DataFrame | None, network: Network):
+        self.vectors, self.rest, self.network = vectors, rest, network
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, target: str = "quality") -> Model:
@@ -182,28 +375,41 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, target: st
     wanted = labels.select(F.col("doc_id").alias("l_id"), F.col(target).cast("int").alias("y")).where("y IS NOT NULL AND l_id IS NOT NULL")
     wanted = wanted.orderBy(F.xxhash64(F.lit(4), "l_id"), "l_id", "y").limit(max_docs)
     rows = stage(docs.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "y"), "labelled")
-    vocab, vectors = word_vectors(rows)
-
-    def pool(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            x = features(batch.column(1).to_pylist(), vocab, vectors)
-            flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), flat], ["doc_id", "y", "x"])
-
-    got = rows.mapInArrow(pool, "doc_id long, y int, x array<float>").toArrow()  # bounded by max_docs
+    vectors, rest = held(word_vectors(docs))
+    if rest is None:
+
+        def pool(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in it:
+                x = features(batch.column(1).to_pylist(), vectors)
+                flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), flat], ["doc_id", "y", "x"])
+
+        pooled_rows = rows.mapInArrow(pool, "doc_id long, y int, x array<float>")
+    else:
+        found = joined_features(rows, vectors, rest, "text", lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32())), "array<float>")
+        pooled_rows = rows.select("doc_id", "y", *keyed("text")).join(found, ["t1", "t2"]).select("doc_id", "y", "x")
+    got = pooled_rows.toArrow()  # bounded by max_docs
     x = np.stack(got.column("x").to_numpy()).astype(np.float64) if len(got) else np.zeros((0, 2 * DIM + 6))
     ids, y = got.column("doc_id").to_numpy(), got.column("y").to_numpy().astype(np.float64)
     order = np.lexsort([*x[:, :3].T, y, ids])
-    return Model(vocab, vectors, Network(x[order], y[order]))
+    return Model(vectors, rest, Network(x[order], y[order]))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Add score and predicted to the kept columns; one narrow pass, no shuffle."""
+    """Add score and predicted to the kept columns: one narrow pass, or a join with the texts' features where not all of the
+    model's vectors are held."""
+    network, vectors = model.network, model.vectors
+    if model.rest is not None:
+        found = joined_features(docs, vectors, model.rest, text, lambda x: pa.array(network.probability(x.astype(np.float64)), pa.float64()), "double")
+        found = found.select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), F.col("x").alias("score"))
+        t1, t2 = keyed(text)
+        out = docs.select(*keep, t1.alias("__k1"), t2.alias("__k2")).join(found, (F.col("__k1") == F.col("__t1")) & (F.col("__k2") == F.col("__t2")))
+        return out.select(*keep, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
     df = docs.select(*keep, F.col(text).alias("__text"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            p = model.probability(batch.column(len(keep)).to_pylist())
+            p = network.probability(features(batch.column(len(keep)).to_pylist(), vectors).astype(np.float64))
             cols = [*batch.columns[: len(keep)], pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cols, [*keep, "score", "predicted"])
 

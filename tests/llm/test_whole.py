@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strider.llm import jaccard_join
+from strider.llm import jaccard_join, quality_classifier
+from strider.llm.common import batches
 from tests.llm import brute
 from tests.llm.test_free import corpus
 from tests.llm.test_native import EDGE, frame, words
@@ -57,3 +58,48 @@ def test_a_null_id_before_its_copy_loses_no_link(spark):
     assert len(sets) == 4 and all(r.sketch is not None and r.spare < 1 << 30 for r in sets)
     got = sorted((r.doc_id or 0, r.component_id, r.n_links) for r in jaccard_join.join(docs).collect())
     assert got == [(0, 1, 2), (0, 3, 1), (1, 1, 1), (2, 1, 1), (3, 3, 0), (4, 4, 0)]
+
+
+# ---- op4: corpus counts over all documents -------------------------------------------------------------------
+
+
+def test_word_vectors_cover_every_text(spark, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "HELD", 50)
+    monkeypatch.setattr(quality_classifier, "CELL", 60)
+    texts = [words(i, 80, 40) for i in range(40)] + EDGE + ["ab " * 700]
+    got = quality_classifier.word_vectors(frame(spark, texts).repartition(3)).toArrow()
+    found = dict(zip(got.column("w").to_numpy().view(np.uint64).tolist(), quality_classifier.unpack(got.column("v").combine_chunks()).tolist()))
+    count, near = {}, {}
+    for t in texts:
+        h = quality_classifier.tokens([b for _, p in batches([t]) for b in p])[0] if t else []
+        index = quality_classifier.index_vectors(np.array(h, np.uint64)).astype(int)
+        for i, w in enumerate(h):
+            count[int(w)] = count.get(int(w), 0) + 1
+            around = [index[j] for j in range(max(0, i - 2), min(len(h), i + 3))]  # itself among them
+            near[int(w)] = near.get(int(w), 0) + sum(around)
+    assert found == {w: near[w].tolist() for w in count if count[w] >= 3}
+
+
+def rated(spark):
+    texts = [words(i, 60, 300) for i in range(60)] + [" ".join(w.upper() + "!!" for w in words(500 + i, 60, 300).split()) for i in range(60)]
+    texts += [*EDGE, texts[0], *["unseen words of texts without labels"] * 3]
+    return frame(spark, texts), spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, quality int")
+
+
+def test_unlabelled_texts_and_rare_tokens_have_vectors(spark):
+    docs, labels = rated(spark)
+    known, _ = quality_classifier.fit(docs, labels).vectors.of(np.unique(quality_classifier.tokens([b"unseen words of texts without labels"])[0]))
+    assert known.all() and not hasattr(quality_classifier, "MAX_VOCAB")
+
+
+@pytest.mark.parametrize("most", [0, 150])
+def test_joined_vectors_score_like_broadcast_ones(spark, monkeypatch, most):
+    docs, labels = rated(spark)
+    want = {r.doc_id: r.score for r in quality_classifier.judge(docs, labels).collect()}
+    monkeypatch.setattr(quality_classifier, "BROADCAST_TOKENS", most)
+    monkeypatch.setattr(quality_classifier, "CELL", 500)
+    vectors, rest = quality_classifier.held(quality_classifier.word_vectors(docs))
+    assert len(vectors) <= most and (len(vectors) > 0) == (most > 0) and rest.count() > 0
+    got = {r.doc_id: r.score for r in quality_classifier.judge(docs, labels).collect()}
+    assert got.keys() == want.keys() and len(got) == docs.count() and all(abs(got[i] - want[i]) < 1e-3 for i in want)
+    assert quality_classifier.keep_good(docs, labels).columns == docs.columns
