@@ -3,8 +3,8 @@
 A language's profile is its `size` most frequent letter n-grams (n = 1..`longest`, words padded with a blank), by rank.
 A document's own profile is made the same way from its whole text; its distance to a language is the sum, over the
 document's profile, of the difference between the two ranks, or `size` where the language lacks the n-gram. The language
-with the least distance wins. Profiles come from at most `max_docs` labelled documents, those first by a hash of their
-id: the bound on what is fitted; every document is predicted from its whole text.
+with the least distance wins. Profiles come from at most `max_docs` labelled documents of each language, those with a letter
+that come first by a hash of their id: the bound on what is fitted, under which no language is left without a profile; every document is predicted from its whole text.
 
 Scoring is vectorised over runs of about a megabyte of text: n-grams are packed integers, one sort counts them.
 
@@ -173,11 +173,18 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text"
     return df.mapInArrow(run, f"{fields}, lang_pred string, score double")
 
 
-def training_rows(docs: DataFrame, in_fold: Column, max_docs: int = MAX_DOCS, id: str = "doc_id", lang: str = "lang") -> DataFrame:
-    """The at most `max_docs` labelled documents of the fold that come first by a hash of their id."""
-    ids = docs.where(in_fold & F.col(lang).isNotNull()).select(F.col(id).alias("t_id"), F.xxhash64(F.lit(5), id).alias("t_h"))
-    ids = ids.distinct().orderBy("t_h", "t_id").limit(max_docs)
-    return docs.where(in_fold).join(F.broadcast(ids), docs[id] == ids["t_id"], "left_semi")
+def training_rows(docs: DataFrame, in_fold: Column, max_docs: int = MAX_DOCS, id: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
+    """Of each language the at most `max_docs` labelled documents of the fold, of those with a letter, that come first by a hash of their id."""
+    from pyspark.sql import Window as W
+
+    able = docs.where(in_fold & F.col(id).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    ids = able.select(F.col(id).alias("t_id"), F.col(lang).alias("t_lang"), F.xxhash64(F.lit(5), id).alias("t_h"))
+    # About twice as many as wanted, by the hash alone, are ranked, so that no task gets a whole language.
+    most = ids.groupBy(F.col("t_lang").alias("c_lang")).agg(F.count(F.lit(1)).alias("c"), F.min("t_h").alias("least"))
+    cut = F.when(F.col("c") > 2 * max_docs, (F.lit(2.0**64) * (2 * max_docs) / F.col("c") - F.lit(2.0**63)).cast("long")).otherwise(F.lit(2**63 - 1))
+    ids = ids.join(F.broadcast(most), F.col("t_lang") == F.col("c_lang")).where(F.col("t_h") <= F.greatest(cut, "least")).select("t_id", "t_lang", "t_h").distinct()
+    ids = ids.withColumn("k", F.row_number().over(W.partitionBy("t_lang").orderBy("t_h", "t_id"))).where(F.col("k") <= max_docs)
+    return able.join(F.broadcast(ids), (F.col(id) == F.col("t_id")) & (F.col(lang) == F.col("t_lang")), "left_semi")
 
 
 def held_out(id: Column, parts: int, which: int) -> Column:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strider.llm import jaccard_join, quality_classifier
+from strider.llm import jaccard_join, language_id, quality_classifier
 from strider.llm.common import batches
 from tests.llm import brute
 from tests.llm.test_free import corpus
@@ -103,3 +103,18 @@ def test_joined_vectors_score_like_broadcast_ones(spark, monkeypatch, most):
     got = {r.doc_id: r.score for r in quality_classifier.judge(docs, labels).collect()}
     assert got.keys() == want.keys() and len(got) == docs.count() and all(abs(got[i] - want[i]) < 1e-3 for i in want)
     assert quality_classifier.keep_good(docs, labels).columns == docs.columns
+
+
+# ---- op1: every language is learned --------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("most", [1, 5, 1000])
+def test_every_language_has_its_sample(spark, most):
+    rows = [(i, f"word {i}", "en") for i in range(400)] + [(400 + i, "1 2 3" if i % 2 else None, "xx") for i in range(60)] + [(500 + i, f"mot {i}", "fr") for i in range(7)]
+    rows += [(508, "1 2", "xx"), (509, "\u65e5\u672c", "xx"), (None, "x", "en"), (510, "x", None)] + [(511, "same id", "de")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.training_rows(docs, F.lit(True), most)
+    assert {r.lang: r.n for r in got.groupBy("lang").agg(F.countDistinct("doc_id").alias("n")).collect()} == {"en": min(most, 400), "fr": min(most, 7), "xx": 1, "de": 1}
+    assert set(language_id.learn(got)) == {"en", "fr", "xx", "de"}
+    first = docs.where("lang = 'en' AND doc_id IS NOT NULL").orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(most)
+    assert {r.doc_id for r in got.where("lang = 'en'").collect()} == {r.doc_id for r in first.collect()}
