@@ -1,18 +1,26 @@
 """N-gram Jaccard join by PartEnum signatures, exact: links at Jaccard >= threshold and their components.
 
-Sets of shingles are put in size bands [l, r] with r about l / threshold. Two sets that link have sizes in one band or in
-neighbours, so each set signs for its own band and the next. Sets of sizes a and b that link
-differ in at most (a + b) (1 - t) / (1 + t) shingles, k for the band's upper size. The domain is dealt by hash into n1
-parts, and a set's signatures are the hashes of its projections on every part (first-level PartEnum with n2 = 1 and
-k2 = 0, where n1 (k2 + 1) >= k + 1: the fewest signatures the method allows). At most as many parts can differ as
-shingles, so linked sets share a signature; n1 is SLACK times k + 1, so that this holds for the parts that are not empty,
-which alone are signed.
-
-Groups of a signature are not joined with themselves. Every member is linked with the group's least first (a star), the
-pairs settled and labelled; then only pairs of members with different labels remain, and they are taken from groups with at
-most GROUP labels, however many members. A set with too few signatures in such groups for the counting argument is called
-loose: texts made mostly of a common passage, and small sets with empty parts. Loose sets are
-joined among themselves by prefix filtering on their rarest shingles, again star first; no pair is lost to a limit.
+Sizes are cut into cells; a cell's band is the cell and the sizes above it that can still link with one of its sizes. A pair
+is looked for in the band of its smaller set, so a set signs for its own cell and, if it stands low in that, for the one
+below. Sets of sizes a and b that link differ in at most (a + b) (1 - t) / (1 + t) shingles; k is that bound for a band.
+The domain is dealt by hash into n1 first-level parts of n2 = 3 second-level parts each, and for every first-level part all
+subsets of n2 - k2 = 2 of its parts are enumerated: a signature is the hash of a set's projection on one subset. As
+n1 (k2 + 1) >= k + 1, one first-level part differs in at most k2 = 1 shingle, and one of its subsets is met by both sets.
+More than that: a pair at distance d shares at least 2 n1 - d signatures. n1 is SLACK times what is needed, so that some of
+them may be empty (these are not signed) or hot.
+
+Signatures are compared in packed form: a task signs a run of sets, pairs what meets within the run with the run's least
+set, and sends on each signature once, packed by partition. So a signature that a third of all sets has travels once a
+run. A partition is sorted and yields the signatures that more than one run has, again as a star around the least.
+
+Groups of a signature are never joined with themselves as they come. The stars are settled and labelled first; then only
+pairs of members with different labels remain. They are taken from signatures whose members have at most GROUP labels, so
+that a signature makes at most GROUP pairs a member. A set that has not enough such signatures for the counting argument is
+loose (texts made mostly of a common passage, families of thousands of near copies, small sets with empty subsets). Loose
+sets are joined among themselves by their rarest shingles (prefix filtering); an entry carries the shingles that it can
+still share, and with that the largest partner it can have, so entries without any partner of a fitting size leave
+their group. Around the entry nearest to a group's common part again a star is settled first; what then still has different
+labels is compared by sketches in cells of two blocks of BLOCK members. No pair is lost to a limit.
 
 A candidate pair is settled in two steps. Each set has a parity sketch, one bit for each of about two hash buckets an
 element: the parity of the elements in that bucket. Sketches differ in at most as many bits as the sets differ in shingles,
@@ -20,78 +28,122 @@ so a pair whose sketches differ in more bits than a link allows is none, and onl
 common shingles are then counted exactly.
 
 That finds every component, and enough links to connect each. The other links of a component are between its members, so
-all of them are settled afterwards: a component's sets are cut into blocks by size, every two blocks whose sizes can link
-are a cell, and a cell counts the common shingles of all its pairs at once. No pair inside a component is left out.
+link() and join() settle all of them afterwards: a component's sets are cut into blocks by size, every two blocks whose
+sizes can link are a cell, and a cell counts the common shingles of all its pairs at once.
 
-Exact copies collapse before any of this, in each task (a set signs once a task) and then over all. Components are found by star contraction over staged edges, never on the driver.
+Exact copies collapse before any of this, in each task (a set signs once a task) and then over all. Components are found by
+star contraction over staged edges, never on the driver. Shingles and sets are told apart by 64-bit hashes.
 
 Defined results: words are A-Z-lower-cased runs without white space; a text of fewer than five words is one shingle; null
-texts and texts without words have size 0 and link with nothing; rows with equal ids count as one document and take the
-component of the first (by set); rows with a null id get a null component unless they have links.
+texts and texts without words have size 0 and link with nothing; rows with equal ids are judged each by their own text; rows
+with a null id stand for no set: their component is that of the documents with their text, null where there are none;
+further columns are not read by join() and kept by keep_one(), whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strider.llm.common import mix, release, shingle_sets, stage, unstage
+from strider.llm.common import mix, shingle_sets, stage, unstage
 
 NUM, DEN = 75, 100  # link when DEN * intersection >= NUM * union
-SLACK, GROUP, WIDTH = 1.1, 32, 5
-SEEN, BLOCK = 200_000, 128
+STEP, SLACK, GROUP, WIDTH = 1.75, 1.1, 32, 5
+N2, K2 = 3, 1
+SEEN, BLOCK = 200_000, 2048
+SIX = np.uint64((1 << 48) - 1)
+RUN = 1_000_000  # signatures of a run, about
 ELEMENTS = 1_000_000  # shingles of a block of whole texts, about
 BROADCAST_ROWS = 500_000
 
 
-def bands(limit: int, num: int = NUM, den: int = DEN) -> list[int]:
-    """Upper sizes of the bands: each band's sets have at most den/num times the size of its least."""
+def cells_of(limit: int, num: int = NUM, den: int = DEN, step: float = STEP) -> list[tuple[int, int, int]]:
+    """(least, largest, top) of each cell of sizes: its sets, and the largest that one of them can link with."""
     out, low = [], 1
     while low <= limit:
-        out.append(max(low, low * den // num))
-        low = out[-1] + 1
+        high = max(low, int(low * step))
+        out.append((low, high, high * den // num))
+        low = high + 1
     return out
 
 
-UPPER = np.array(bands(1 << 40), np.int64)
+LOW, HIGH, TOP = (np.array(x, np.int64) for x in zip(*cells_of(1 << 40)))
 
 
-def parts_of(band: int, num: int = NUM, den: int = DEN, slack: float = SLACK) -> tuple[int, int]:
-    """(k, n1) of a band: the most differing shingles of a link, and the number of parts."""
-    k = int(2 * int(UPPER[band]) * (den - num) // (den + num))
-    return k, int(np.ceil((k + 1) * slack)) if k > 2 else k + 1
-
-
-def most_apart(a: int, b: int, num: int = NUM, den: int = DEN) -> int:
+def most_apart(a, b, num: int = NUM, den: int = DEN):
     """The most shingles in which linked sets of sizes a and b differ."""
     return (a + b) * (den - num) // (den + num)
 
 
-def signatures(s: np.ndarray, band: int) -> tuple[np.ndarray, int]:
-    """A set's signatures for a band, and its spare: how many it has beyond the parts in which a linked set can differ."""
-    n1 = parts_of(band)[1]
-    part = (mix(s ^ np.uint64(0xA5A5A5A5 + band)) % np.uint64(n1)).astype(np.int64)
-    total = np.zeros(n1, np.uint64)
-    np.add.at(total, part, mix(s + np.uint64(0x51ED270B)))
-    full = np.flatnonzero(np.bincount(part, minlength=n1))
-    largest = min(int(UPPER[band]), len(s) * DEN // NUM)  # of the sets of this band that it can link with
-    sig = mix(total[full] ^ mix(full.astype(np.uint64) + (np.uint64(band + 1) << np.uint64(40))))
-    return sig, len(full) - most_apart(len(s), largest)
-
-
-def fingerprint(s: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit hashes of a whole set; size 0 gives 0."""
+def first_level(slack: float = SLACK) -> np.ndarray:
+    """n1 of each band: n1 (K2 + 1) exceeds the most differing shingles of a pair of the band, with slack."""
+    return np.ceil((most_apart(HIGH, TOP) + 1) * slack / (K2 + 1)).astype(np.int64)
+
+
+N1 = first_level()
+
+
+def bands(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The band of each size's cell, and the band below where the size is still in it (else -1)."""
+    own = np.searchsorted(HIGH, n)
+    below = own - 1
+    return own, np.where((own > 0) & (n <= TOP[np.maximum(below, 0)]), below, -1)
+
+
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, index of its set) of non-empty sets, in order of the sets, and the spare of each set: how many shared
+    signatures a linked pair has at least, in any band."""
+    n = np.array([len(s) for s in sets], np.int64)
+    spare = np.full(len(sets), 1 << 30, np.int64)
+    if not len(sets):
+        return np.empty(0, np.uint64), np.empty(0, np.int64), spare
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+    value = mix(flat + np.uint64(0x51ED270B))
+    own, below = bands(n)
+    out_sig, out_owner = [], []
+    for band, partner in ((own, np.minimum(n * DEN // NUM, TOP[own])), (below, np.minimum(n, HIGH[np.maximum(below, 0)]))):
+        here = np.flatnonzero(band >= 0)
+        if not len(here):
+            continue
+        n1 = np.where(band >= 0, N1[band], 0)
+        at = np.cumsum(np.concatenate([[0], n1]))  # first-level parts of set i: at[i] .. at[i + 1]
+        if len(here) < len(sets):
+            mine = (band >= 0)[owner]
+            o, x, v = owner[mine], flat[mine], value[mine]
+        else:
+            o, x, v = owner, flat, value
+        part = (mix(x ^ (np.uint64(0xA5A5A5A5) + band.astype(np.uint64))[o]) % (N2 * n1).astype(np.uint64)[o]).astype(np.int64) + N2 * at[o]
+        total, filled = np.zeros(N2 * at[-1], np.uint64), np.bincount(part, minlength=N2 * at[-1])
+        np.add.at(total, part, v)
+        total, filled = total.reshape(-1, N2), filled.reshape(-1, N2)
+        holder = np.repeat(np.arange(len(sets)), n1)
+        first = np.arange(at[-1]) - at[holder]
+        # A subset of two of the three parts is given by the part that is left out.
+        left_out = mix((first.astype(np.uint64) * np.uint64(4) + (band[holder].astype(np.uint64) + np.uint64(1) << np.uint64(40)))[:, None] + np.arange(N2, dtype=np.uint64)[None, :])
+        sig = mix((total.sum(axis=1, dtype=np.uint64)[:, None] - total) ^ left_out)
+        full = (filled.sum(axis=1)[:, None] - filled) > 0
+        out_sig.append(sig[full])
+        out_owner.append(np.broadcast_to(holder[:, None], full.shape)[full])
+        signed = np.bincount(out_owner[-1], minlength=len(sets))
+        left = 2 * n1 - most_apart(n, partner) - (N2 * n1 - signed)
+        spare[here] = np.minimum(spare[here], left[here])
+    sig, who = np.concatenate(out_sig), np.concatenate(out_owner)
+    order = np.argsort(who, kind="stable")
+    return sig[order], who[order], spare
+
+
+def fingerprint(s: np.ndarray) -> int:
+    """A 64-bit hash of a whole set; size 0 gives 0."""
     if not len(s):
-        return 0, 0
-    n = np.uint64(len(s))
-    both = np.array([mix(s).sum(dtype=np.uint64) ^ n, mix(s ^ np.uint64(0x77)).sum(dtype=np.uint64) + n], np.uint64)
-    a, b = mix(both).view(np.int64).tolist()
-    return a, b
+        return 0
+    return int(mix(np.array([mix(s).sum(dtype=np.uint64) ^ np.uint64(len(s))], np.uint64)).view(np.int64)[0])
 
 
 def parity(s: np.ndarray) -> bytes:
@@ -108,52 +160,149 @@ def parity_distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def signed(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """One pass over the texts: a row (0, spread key, set, doc, n, second hash, spare, text hash, sketch) for each document and rows
-    (1, signature, set) for each distinct set of a task."""
+# ---- signing and grouping ----------------------------------------------------------------------------------
+
+#: What a signing task sends on. Kind 0: a document. Kind 1: a run's signatures of one partition, as sets, the number of each
+#: set's signatures, and six bytes of each signature. Kind 2: (signature, set, least set) of what met within the run.
+SENT = "bucket int, kind byte, doc long, n int, set long, spare long, text_hash long, sketch binary, sets binary, counts binary, keys binary"
+_SENT = pa.schema([
+    ("bucket", pa.int32()), ("kind", pa.int8()), ("doc", pa.int64()), ("n", pa.int32()), ("set", pa.int64()), ("spare", pa.int64()),
+    ("text_hash", pa.int64()), ("sketch", pa.binary()), ("sets", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary()),
+])
+GROUPED = "kind byte, key long, set long, least long, doc long, n int, spare long, text_hash long, sketch binary"
+_GROUPED = pa.schema([
+    ("kind", pa.int8()), ("key", pa.int64()), ("set", pa.int64()), ("least", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()),
+    ("spare", pa.int64()), ("text_hash", pa.int64()), ("sketch", pa.binary()),
+])
+
+
+def rows_of(schema: pa.Schema, rows: int, /, **columns) -> pa.RecordBatch:
+    """A batch of so many rows; columns not given are null."""
+    cols = [columns[f.name] if f.name in columns else pa.nulls(rows, f.type) for f in schema]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+def packed(sig: np.ndarray, who: np.ndarray, ids: np.ndarray, partitions: int, home: int) -> Iterator[pa.RecordBatch]:
+    """One run: its local stars, and for each partition its signatures, each once."""
+    p = np.uint64(partitions)
+    sig = ((sig // p) & SIX) * p + sig % p  # what six bytes and the partition tell
+    order = np.argsort(sig)
+    k, w = sig[order], who[order]
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+    size = np.diff(np.append(first, len(k)))
+    if (size > 1).any():
+        least = np.repeat(np.minimum.reduceat(ids[w], first), size)
+        met = np.repeat(size > 1, size)
+        yield rows_of(_SENT, 1, bucket=[home % partitions], kind=[2], keys=[np.stack([k[met].view(np.int64), ids[w[met]], least[met]]).tobytes()])
+        rep = np.flatnonzero(ids[w] == least)
+        rep = rep[np.concatenate([[True], k[rep][1:] != k[rep][:-1]])]
+        k, w = k[rep], w[rep]
+    bucket = (k % p).astype(np.int64)
+    order = np.argsort(bucket * len(ids) + w)
+    k, w, bucket = k[order], w[order], bucket[order]
+    edges = np.searchsorted(bucket, np.arange(partitions + 1))
+    six = np.ascontiguousarray(((k // p) & SIX).view(np.uint8).reshape(-1, 8)[:, :6])
+    used, sets, counts, keys = [], [], [], []
+    for b in np.flatnonzero(edges[1:] > edges[:-1]):
+        i, j = edges[b], edges[b + 1]
+        at = np.flatnonzero(np.concatenate([[True], w[i + 1 : j] != w[i : j - 1]]))
+        used.append(int(b))
+        sets.append(ids[w[i:j][at]].tobytes())
+        counts.append(np.diff(np.concatenate([at, [j - i]])).astype("<u4").tobytes())
+        keys.append(six[i:j].tobytes())
+    if used:
+        yield rows_of(_SENT, len(used), bucket=used, kind=np.ones(len(used), np.int8), sets=sets, counts=counts, keys=keys)
+
+
+def signed(docs: DataFrame, id: str, text: str, partitions: int) -> DataFrame:
+    """One pass over the texts: SENT rows."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        task, number = TaskContext.get().partitionId(), count()
+        sigs, owners, ids, held = [], [], [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            home = int(mix(np.array([(task << 20) + next(number)], np.uint64))[0] >> np.uint64(16))
+            yield from packed(np.concatenate(sigs), np.concatenate(owners), np.array(ids, np.int64), partitions, home)
+            for x in (sigs, owners, ids):
+                x.clear()
+
         for whole in it:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                ids, hashes = batch.column(0).to_pylist(), batch.column(2)
-                keys, sets, doc_rows, sketches = [], [], [], []
-                for i, s in zip(ids, shingle_sets(batch.column(1).to_pylist(), WIDTH)):
-                    a, b = fingerprint(s)
-                    spare = 1 << 30
-                    sketches.append(None)
+                rows, fresh, which = [], [], []
+                docs_here = batch.column(0).to_pylist()
+                for i, s in zip(docs_here, shingle_sets(batch.column(1).to_pylist(), WIDTH)):
+                    a = fingerprint(s)
                     if len(s) and i is not None and a not in seen:  # a row without an id stands for no set
-                        sketches[-1] = parity(s)
                         if len(seen) >= SEEN:
                             seen.clear()
                         seen.add(a)
-                        band = int(np.searchsorted(UPPER, len(s)))
-                        for x in (band, band + 1):
-                            sig, left = signatures(s, x)
-                            keys.append(sig)
-                            sets.append(np.full(len(sig), a, np.int64))
-                            spare = min(spare, left)
-                    doc_rows.append((i, len(s), a, b, spare))
-                n = len(doc_rows)
-                d, size, a, b, spare = (list(x) for x in zip(*doc_rows)) if n else ([], [], [], [], [])
-                m = sum(map(len, keys))
-                spread = mix(np.array([x or 0 for x in d], np.int64).view(np.uint64) ^ (np.arange(n, dtype=np.uint64) << np.uint64(40))).view(np.int64)
-                cols = [
-                    pa.array(np.concatenate([np.zeros(n, np.int8), np.ones(m, np.int8)])),
-                    pa.array(np.concatenate([spread, *[k.view(np.int64) for k in keys]])),
-                    pa.array(np.concatenate([np.array(a, np.int64), *sets])),
-                    pa.concat_arrays([pa.array(d, pa.int64()), pa.nulls(m, pa.int64())]),
-                    pa.concat_arrays([pa.array(size, pa.int32()), pa.nulls(m, pa.int32())]),
-                    pa.concat_arrays([pa.array(b, pa.int64()), pa.nulls(m, pa.int64())]),
-                    pa.concat_arrays([pa.array(spare, pa.int32()), pa.nulls(m, pa.int32())]),
-                    pa.concat_arrays([hashes.combine_chunks() if isinstance(hashes, pa.ChunkedArray) else hashes, pa.nulls(m, pa.int64())]),
-                    pa.concat_arrays([pa.array(sketches, pa.binary()), pa.nulls(m, pa.binary())]),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, ["kind", "key", "set", "doc", "n", "second", "spare", "text_hash", "sketch"])
+                        which.append(len(rows))
+                        fresh.append(s)
+                    rows.append((len(s), a))
+                n, a = (np.array(x, np.int64) for x in zip(*rows))
+                sig, who, left = signatures(fresh)
+                spare, sketch = np.full(len(rows), 1 << 30, np.int64), [None] * len(rows)
+                spare[which] = left
+                for r, s in zip(which, fresh):
+                    sketch[r] = parity(s)
+                bucket = (mix(np.arange(len(rows), dtype=np.uint64) + np.uint64((task << 32) + (next(number) << 8))) % np.uint64(partitions)).astype(np.int32)
+                yield rows_of(_SENT, len(rows), bucket=bucket, kind=np.zeros(len(rows), np.int8), doc=docs_here, n=n.astype(np.int32), set=a, spare=spare, text_hash=batch.column(2), sketch=sketch)
+                sigs.append(sig)
+                owners.append(who + len(ids))
+                ids += a[which].tolist()
+                held += len(sig)
+                if held >= RUN:
+                    yield from flush()
+                    held = 0
+        if held:
+            yield from flush()
 
     rows = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
-    return rows.mapInArrow(run, "kind byte, key long, set long, doc long, n int, second long, spare int, text_hash long, sketch binary")
+    return rows.mapInArrow(run, SENT)
+
+
+def grouped(sent: DataFrame, partitions: int) -> DataFrame:
+    """GROUPED rows: the documents (kind 0), and (key, set, least) of signatures that more than one set has (kind 1)."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, keys = [], []
+        for batch in it:
+            kind = batch.column(1).to_numpy(zero_copy_only=False)
+            docs = batch.filter(pa.array(kind == 0))
+            if docs.num_rows:
+                yield rows_of(_GROUPED, docs.num_rows, **{c: docs.column(c) for c in ("kind", "doc", "n", "set", "spare", "text_hash", "sketch")})
+            for r in np.flatnonzero(kind == 2):
+                key, who, least = np.frombuffer(batch.column(10)[r].as_py(), np.int64).reshape(3, -1)
+                yield rows_of(_GROUPED, len(key), kind=np.ones(len(key), np.int8), key=key, set=who, least=least)
+            for r in np.flatnonzero(kind == 1):
+                six = np.frombuffer(batch.column(10)[r].as_py(), np.uint8).reshape(-1, 6)
+                wide = np.zeros((len(six), 8), np.uint8)
+                wide[:, :6] = six
+                keys.append(wide.view(np.uint64).ravel() * np.uint64(partitions) + np.uint64(batch.column(0)[r].as_py()))
+                sets.append(np.repeat(np.frombuffer(batch.column(8)[r].as_py(), np.int64), np.frombuffer(batch.column(9)[r].as_py(), "<u4")))
+        if not keys:
+            return
+        key = np.concatenate(keys)
+        keys.clear()
+        order = np.argsort(key)
+        key = key[order]
+        same = key[1:] == key[:-1]
+        more = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        key, who = key[more], np.concatenate(sets)[order[more]]
+        if not len(key):
+            return
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(first, len(key)))
+        least, most = (np.repeat(f.reduceat(who, first), size) for f in (np.minimum, np.maximum))
+        good = np.flatnonzero(least != most)  # not one set that stands in several runs
+        for at in range(0, len(good), 1 << 18):
+            g = good[at : at + (1 << 18)]
+            yield rows_of(_GROUPED, len(g), kind=np.ones(len(g), np.int8), key=key[g].view(np.int64), set=who[g], least=least[g])
+
+    return sent.repartitionById(partitions, F.col("bucket")).mapInArrow(run, GROUPED)
 
 
 # ---- pairs -------------------------------------------------------------------------------------------------
@@ -239,18 +388,22 @@ def labels_of(links: DataFrame) -> DataFrame:
     return components(links).withColumnRenamed("component", "label")
 
 
-def labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, set, label, labels, block, blocks): the distinct members of groups with more than one label, and how many labels
-    and blocks of BLOCK members the group has.
-    One shuffle; within a group rows stream in order of label and set."""
+def labelled(groups: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """(key, set, label, and the groups' other columns): the members of groups with more than one label. Each step is a
+    partial aggregate by key, so no task holds a group."""
     labels = few(labels)
-    g = groups.join(labels, groups["set"] == labels["member"], "left").select("key", "set", F.coalesce("label", "set").alias("label"))
-    whole = W.partitionBy("key")
-    order = whole.orderBy("label", "set")
-    g = g.withColumn("again", F.lag("set").over(order).eqNullSafe(F.col("set"))).withColumn("fresh", (~F.lag("label").over(order).eqNullSafe(F.col("label"))).cast("int"))
-    g = g.withColumn("labels", F.sum("fresh").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
-    g = g.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK)).withColumn("blocks", F.floor((F.count(F.lit(1)).over(whole) - 1) / BLOCK) + 1)
-    return g.where("labels > 1 AND NOT again").select("key", "set", "label", "labels", "block", "blocks")
+    extra = [c for c in groups.columns if c not in ("key", "set", "least")]
+    g = groups.join(labels, groups["set"] == labels["member"], "left").select("key", "set", F.coalesce("label", "set").alias("label"), *extra)
+    ends = g.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(F.col("key").alias("open_key"))
+    ends = few(stage(ends, f"{name}-open"))
+    return stage(g.join(ends, g["key"] == ends["open_key"]).drop("open_key").distinct(), f"{name}-mixed")
+
+
+def with_labels(mixed: DataFrame) -> DataFrame:
+    """Add `labels`, the number of labels of each group."""
+    n = mixed.select("key", "label").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("labels")).withColumnRenamed("key", "n_key")
+    n = few(stage(n, "label-counts"))
+    return mixed.join(n, mixed["key"] == n["n_key"]).drop("n_key")
 
 
 def across(mixed: DataFrame) -> DataFrame:
@@ -260,46 +413,54 @@ def across(mixed: DataFrame) -> DataFrame:
     return left.join(right, "key").where("a < b AND la <> lb").select("a", "b").distinct()
 
 
-def close_pairs(sets: np.ndarray, labels: np.ndarray, sizes: np.ndarray, sketches: list[bytes], first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of members `first` x `second` the pairs with different labels that sizes and sketches leave open."""
+def close_pairs(t: pa.Table, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of members `first` x `second` the pairs with different labels that sizes, reaches and sketches leave open."""
+    sets, labels, n, reach = (t.column(c).to_numpy().astype(np.int64) for c in ("set", "label", "n", "reach"))
+    sketches = t.column("sketch").to_pylist()
     lengths = np.array([len(k) for k in sketches])
     out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for x in np.unique(lengths[first]):
         for y in np.unique(lengths[second]):
             i, j = first[lengths[first] == x], second[lengths[second] == y]
-            p, q = (np.frombuffer(b"".join(sketches[k] for k in at), np.uint8).reshape(len(at), n) for at, n in ((i, x), (j, y)))
+            p, q = (np.frombuffer(b"".join(sketches[k] for k in at), np.uint8).reshape(len(at), m) for at, m in ((i, x), (j, y)))
             while p.shape[1] > q.shape[1]:
                 p = p[:, : p.shape[1] // 2] ^ p[:, p.shape[1] // 2 :]
             while q.shape[1] > p.shape[1]:
                 q = q[:, : q.shape[1] // 2] ^ q[:, q.shape[1] // 2 :]
-            m, n = sizes[i][:, None], sizes[j][None, :]
-            open_ = (np.minimum(m, n) * DEN >= np.maximum(m, n) * NUM) & (labels[i][:, None] != labels[j][None, :])
-            rows, cols = np.nonzero(open_)
-            far = np.bitwise_count(p[rows] ^ q[cols]).sum(axis=1, dtype=np.int64) > (sizes[i][rows] + sizes[j][cols]) * (DEN - NUM) // (DEN + NUM)
-            a, b = sets[i][rows[~far]], sets[j][cols[~far]]
-            out_a.append(np.minimum(a, b))
-            out_b.append(np.maximum(a, b))
+            step = max(1, (1 << 24) // max(1, len(j) * p.shape[1]))
+            for at in range(0, len(i), step):
+                h = i[at : at + step]
+                fit = (n[h][:, None] <= reach[j][None, :]) & (n[j][None, :] <= reach[h][:, None]) & (labels[h][:, None] != labels[j][None, :])
+                rows, cols = np.nonzero(fit)
+                far = np.bitwise_count(p[at + rows] ^ q[cols]).sum(axis=1, dtype=np.int64) > most_apart(n[h][rows], n[j][cols])
+                a, b = sets[h][rows[~far]], sets[j][cols[~far]]
+                out_a.append(np.minimum(a, b))
+                out_b.append(np.maximum(a, b))
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
 def across_blocks(mixed: DataFrame, sets: DataFrame) -> DataFrame:
-    """The same pairs as across(), those already dropped that sketches rule out, for groups of any size: a group is cut into
-    blocks of BLOCK members, each cell of two blocks is a small group of its own, and only open pairs leave it."""
+    """The same pairs as across(), those already dropped that sketches rule out, for groups of any size: a group is dealt by
+    hash into blocks of about BLOCK members, each cell of two blocks is a group of its own, and only open pairs leave it."""
+    blocks = mixed.groupBy("key").agg((F.floor((F.count(F.lit(1)) - 1) / BLOCK) + 1).alias("blocks")).withColumnRenamed("key", "b_key")
     own = sets.select(F.col("set").alias("own"), "n", "sketch")
-    m = mixed.join(own, mixed["set"] == own["own"]).select("key", "set", "label", "n", "sketch", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    m = mixed.join(few(stage(blocks, "blocks")), F.col("key") == F.col("b_key")).join(own, mixed["set"] == F.col("own"))
+    m = m.withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")))
+    m = m.select("key", "set", "label", "reach", "n", "sketch", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     m = m.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
 
     def cell(t: pa.Table) -> pa.Table:
-        s, label, n = (t.column(c).to_numpy().astype(np.int64) for c in ("set", "label", "n"))
+        t = t.combine_chunks()
         block, low, high = t.column("block").to_numpy(), t.column("low")[0].as_py(), t.column("high")[0].as_py()
-        a, b = close_pairs(s, label, n, t.column("sketch").to_pylist(), np.flatnonzero(block == low), np.flatnonzero(block == high))
+        a, b = close_pairs(t, np.flatnonzero(block == low), np.flatnonzero(block == high))
         return pa.table({"a": a, "b": b})
 
     return m.groupBy("key", "low", "high").applyInArrow(cell, "a long, b long").where("a < b").distinct()
 
 
-def loose_groups(loose: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(key, set, least): sets that share a shingle of their prefixes, shingles ordered from the rarest among the loose."""
+def loose_entries(loose: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(key, set, n, rest, reach): the prefixes of loose sets, shingles ordered from the rarest among the loose. `rest` is how
+    many shingles a set can share from here on, `reach` the size of the largest set that it can link with by so many."""
     texts = texts_of(loose, docs, id, text)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,25 +468,42 @@ def loose_groups(loose: DataFrame, docs: DataFrame, id: str, text: str) -> DataF
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 for k, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), WIDTH)):
-                    cols = [pa.array(np.full(len(s), k, np.int64)), pa.array(s.view(np.int64)), pa.array(np.full(len(s), len(s), np.int32))]
-                    yield pa.RecordBatch.from_arrays(cols, ["set", "key", "size"])
+                    cols = [pa.array(np.full(len(s), k, np.int64)), pa.array(s.view(np.int64)), pa.array(np.full(len(s), len(s), np.int64))]
+                    yield pa.RecordBatch.from_arrays(cols, ["set", "key", "n"])
+
+    rows = stage(texts.mapInArrow(run, "set long, key long, n long"), "loose")
+    # A shingle of one loose set alone stands first in the order and cannot be shared; only its number matters.
+    df = few(stage(rows.groupBy(F.col("key").alias("df_key")).agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "loose-df"))
+    known = rows.join(df, rows["key"] == df["df_key"]).drop("df_key")
+    by_set = W.partitionBy("set")
+    ranked = known.withColumn("rest", F.count(F.lit(1)).over(by_set) - F.row_number().over(by_set.orderBy("df", "key")) + 1)
+    reach = F.floor(F.col("rest") * (DEN + NUM) / NUM) - F.col("n")
+    return stage(ranked.select("key", "set", "n", "rest", reach.alias("reach")).where(f"reach * {DEN} >= n * {NUM}"), "entries")
+
+
+def reachable(entries: DataFrame, name: str) -> DataFrame:
+    """Entries without those that no size in their group can reach: a partner is as large as the group's least at least, and
+    reaches at most as far as the group's furthest."""
+    ends = entries.groupBy(F.col("key").alias("r_key")).agg(F.min("n").alias("least_n"), F.max("reach").alias("most_reach"), F.min("set").alias("one"), F.max("set").alias("two")).where("one <> two")
+    ends = few(stage(ends.select("r_key", "least_n", "most_reach"), f"{name}-ends"))
+    out = entries.join(ends, (entries["key"] == ends["r_key"]) & (ends["least_n"] <= entries["reach"]) & (entries["n"] <= ends["most_reach"]))
+    return stage(out.select(*entries.columns), f"{name}-reachable")
+
 
-    rows = stage(texts.mapInArrow(run, "set long, key long, size int"), "loose")
-    # A shingle of one loose set alone stands first in the order; only its number matters.
-    by_key, by_set = W.partitionBy("key"), W.partitionBy("set")
-    known = rows.withColumn("df", F.count(F.lit(1)).over(by_key)).where("df > 1")
-    ranked = known.withColumn("rank", F.row_number().over(by_set.orderBy("df", "key"))).withColumn("shared", F.count(F.lit(1)).over(by_set))
-    prefix = F.col("size") - F.ceil(F.col("size") * NUM / DEN).cast("int") + 1
-    kept = ranked.where(F.col("rank") + F.col("size") - F.col("shared") <= prefix).select("key", "set")
-    kept = kept.withColumn("least", F.min("set").over(by_key)).withColumn("m", F.count(F.lit(1)).over(by_key)).where("m > 1")
-    return stage(kept.select("key", "set", "least"), "loose-groups")
+def entry_stars(entries: DataFrame) -> DataFrame:
+    """(a, b): each entry with that of its group which shares the greatest part of itself, where their sizes fit."""
+    best = F.max(F.struct((F.col("rest") / F.col("n")).alias("part"), F.col("set").alias("set"), F.col("n").alias("n"), F.col("reach").alias("reach")))
+    centre = entries.groupBy(F.col("key").alias("c_key")).agg(best.alias("c"))
+    both = entries.join(few(stage(centre, "centres")), F.col("key") == F.col("c_key")).where("set <> c.set AND n <= c.reach AND c.n <= reach")
+    return both.select(F.least("set", "c.set").alias("a"), F.greatest("set", "c.set").alias("b")).distinct()
 
 
-def components(links: DataFrame, rounds: int = 40) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(member, component): the least member reachable. Alternating large and small stars, each staged."""
     edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     last = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-    for _ in range(rounds):
+    same = False
+    while not same:
         # Large star: every node sends its larger neighbours to the least of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("m", "u").alias("m"))
@@ -337,44 +515,36 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         new = stage(small, "edges")
         mark = new.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         same, last, edges = mark == last, mark, new
-        if same:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.select(F.col("u").alias("member"), F.col("v").alias("component"))
 
 
 def spanning(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, sets, links): (doc, n, set, second), (set, n, rep, spare), and linked pairs (a, b) of distinct sets, as many as
+    """(documents, sets, links): (doc, n, set), (set, n, rep, spare), and linked pairs (a, b) of distinct sets, as many as
     connect every component, not all of them."""
-    w = W.partitionBy("key")
-    rows = signed(docs, id, text)
-    rows = rows.withColumn("least", F.min("set").over(w)).withColumn("hi", F.max("set").over(w)).where("kind = 0 OR least <> hi").drop("hi")
-    rows = stage(rows, "signed")
-    release(docs.sparkSession)  # the signatures' shuffle files are not needed any more
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = stage(grouped(signed(docs, id, text, partitions), partitions), "signed")
     documents = rows.where("kind = 0").select("doc", "n", "set", "spare", "text_hash", "sketch")
     one = F.min(F.struct("doc", "text_hash"))  # a text that has the set
     sets = documents.where("n > 0 AND doc IS NOT NULL").groupBy("set").agg(F.max("n").alias("n"), one.alias("one"), F.min("spare").alias("spare"), F.max("sketch").alias("sketch"))
     sets = stage(sets.select("set", "n", F.col("one.doc").alias("rep"), F.col("one.text_hash").alias("rep_hash"), "spare", "sketch"), "sets")
 
-    groups = rows.where("kind = 1").select("key", "set", "least")  # a set may stand in a group once for each task
-    stars = stage(sizes_fit(star(groups), sets), "stars")
-    first = verify(stars, sets, docs, id, text, "stars")
-    mixed = stage(labelled(groups, labels_of(first)), "mixed")
-    release(docs.sparkSession)
-    more = across(mixed.where(F.col("labels") <= GROUP)).join(stars, ["a", "b"], "left_anti")
-    links = first.unionByName(verify(stage(sizes_fit(more, sets), "across"), sets, docs, id, text, "across"))
-    release(docs.sparkSession)
+    groups = rows.where("kind = 1").select("key", "set", "least")  # a set may stand in a group once for each run
+    around = stage(sizes_fit(star(groups), sets), "stars")
+    links = verify(around, sets, docs, id, text, "stars")
+    mixed = stage(with_labels(labelled(groups, labels_of(links), "groups")), "mixed")
+    more = across(mixed.where(F.col("labels") <= GROUP)).join(around, ["a", "b"], "left_anti")
+    links = links.unionByName(verify(stage(sizes_fit(more, sets), "across"), sets, docs, id, text, "across"))
 
     hot = mixed.where(F.col("labels") > GROUP).groupBy("set").agg(F.count(F.lit(1)).alias("hot")).withColumnRenamed("set", "hot_set")
     loose = sets.join(hot, sets["set"] == hot["hot_set"], "left").where(F.col("spare") - F.coalesce("hot", F.lit(0)) <= 0)
     loose = stage(loose.select("set", "rep", "rep_hash"), "loose-sets")
     if not loose.isEmpty():
-        groups = loose_groups(loose, docs, id, text)
-        fresh = stage(sizes_fit(star(groups).join(links, ["a", "b"], "left_anti"), sets), "loose-stars")
-        links = links.unionByName(verify(fresh, sets, docs, id, text, "loose-stars"))
-        more = across_blocks(stage(labelled(groups, labels_of(links)), "loose-mixed"), sets).join(fresh, ["a", "b"], "left_anti")
-        links = links.unionByName(verify(stage(sizes_fit(more, sets), "loose-across"), sets, docs, id, text, "loose-across"))
+        entries = reachable(loose_entries(loose, docs, id, text), "loose")
+        around = stage(entry_stars(entries).join(links, ["a", "b"], "left_anti"), "loose-stars")
+        links = links.unionByName(verify(around, sets, docs, id, text, "loose-stars"))
+        mixed = reachable(labelled(entries.select("key", "set", "n", "reach"), labels_of(links), "loose"), "loose-mixed")
+        more = across_blocks(mixed.select("key", "set", "label", "reach"), sets).join(around, ["a", "b"], "left_anti")
+        links = links.unionByName(verify(stage(more, "loose-across"), sets, docs, id, text, "loose-across"))
     return documents, sets, links
 
 
