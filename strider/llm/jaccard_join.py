@@ -9,9 +9,10 @@ n1 (k2 + 1) >= k + 1, one first-level part differs in at most k2 = 1 shingle, an
 More than that: a pair at distance d shares at least 2 n1 - d signatures. n1 is SLACK times what is needed, so that some of
 them may be empty (these are not signed) or hot.
 
-Signatures are compared in packed form: a task signs a run of sets, pairs what meets within the run with the run's least
-set, and sends on each signature once, packed by partition. So a signature that a third of all sets has travels once a
-run. A partition is sorted and yields the signatures that more than one run has, again as a star around the least.
+Signatures are compared in packed form: a task signs a run of sets and sends their signatures on packed by partition; of a
+signature that is crowded in the run it sends only the least set, and the others as a star around that. So a signature
+that a third of all sets has travels CROWD times a run at most. A partition is sorted and yields the signatures that several sets
+have; those with the very same sets are one group, of so much weight, as near copies share most of their signatures.
 
 Groups of a signature are never joined with themselves as they come. The stars are settled and labelled first; then only
 pairs of members with different labels remain. They are taken from signatures whose members have at most GROUP labels, so
@@ -59,7 +60,8 @@ STEP, SLACK, GROUP, WIDTH = 1.75, 1.1, 32, 5
 N2, K2 = 3, 1
 SEEN, BLOCK = 200_000, 2048
 SIX = np.uint64((1 << 48) - 1)
-RUN = 1_000_000  # signatures of a run, about
+RUN, CROWD = 1_000_000, 16  # signatures of a run, about; sets of a signature that a run sends on one by one
+SLOTS = 1 << 20  # of each of the two rows of approximate counts of loose shingles
 ELEMENTS = 1_000_000  # shingles of a block of whole texts, about
 BROADCAST_ROWS = 500_000
 
@@ -163,15 +165,15 @@ def parity_distance(a: bytes, b: bytes) -> int:
 # ---- signing and grouping ----------------------------------------------------------------------------------
 
 #: What a signing task sends on. Kind 0: a document. Kind 1: a run's signatures of one partition, as sets, the number of each
-#: set's signatures, and six bytes of each signature. Kind 2: (signature, set, least set) of what met within the run.
+#: set's signatures, and six bytes of each signature; 3: the same, marked. Kind 2: (signature, set, least set) of crowded ones.
 SENT = "bucket int, kind byte, doc long, n int, set long, spare long, text_hash long, sketch binary, sets binary, counts binary, keys binary"
 _SENT = pa.schema([
     ("bucket", pa.int32()), ("kind", pa.int8()), ("doc", pa.int64()), ("n", pa.int32()), ("set", pa.int64()), ("spare", pa.int64()),
     ("text_hash", pa.int64()), ("sketch", pa.binary()), ("sets", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary()),
 ])
-GROUPED = "kind byte, key long, set long, least long, doc long, n int, spare long, text_hash long, sketch binary"
+GROUPED = "kind byte, key long, set long, least long, weight long, doc long, n int, spare long, text_hash long, sketch binary"
 _GROUPED = pa.schema([
-    ("kind", pa.int8()), ("key", pa.int64()), ("set", pa.int64()), ("least", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()),
+    ("kind", pa.int8()), ("key", pa.int64()), ("set", pa.int64()), ("least", pa.int64()), ("weight", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()),
     ("spare", pa.int64()), ("text_hash", pa.int64()), ("sketch", pa.binary()),
 ])
 
@@ -183,35 +185,42 @@ def rows_of(schema: pa.Schema, rows: int, /, **columns) -> pa.RecordBatch:
 
 
 def packed(sig: np.ndarray, who: np.ndarray, ids: np.ndarray, partitions: int, home: int) -> Iterator[pa.RecordBatch]:
-    """One run: its local stars, and for each partition its signatures, each once."""
+    """One run's signatures for each partition. Of a signature with more than CROWD sets in the run only the least set is sent
+    to the signature's partition, marked; its star goes to any partition, as rows that need no further grouping."""
     p = np.uint64(partitions)
     sig = ((sig // p) & SIX) * p + sig % p  # what six bytes and the partition tell
     order = np.argsort(sig)
     k, w = sig[order], who[order]
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
     size = np.diff(np.append(first, len(k)))
-    if (size > 1).any():
+    crowd = np.repeat(size > CROWD, size)
+    parts = [(1, k[~crowd], w[~crowd])]
+    if crowd.any():
         least = np.repeat(np.minimum.reduceat(ids[w], first), size)
-        met = np.repeat(size > 1, size)
-        yield rows_of(_SENT, 1, bucket=[home % partitions], kind=[2], keys=[np.stack([k[met].view(np.int64), ids[w[met]], least[met]]).tobytes()])
-        rep = np.flatnonzero(ids[w] == least)
-        rep = rep[np.concatenate([[True], k[rep][1:] != k[rep][:-1]])]
-        k, w = k[rep], w[rep]
-    bucket = (k % p).astype(np.int64)
-    order = np.argsort(bucket * len(ids) + w)
-    k, w, bucket = k[order], w[order], bucket[order]
-    edges = np.searchsorted(bucket, np.arange(partitions + 1))
-    six = np.ascontiguousarray(((k // p) & SIX).view(np.uint8).reshape(-1, 8)[:, :6])
-    used, sets, counts, keys = [], [], [], []
-    for b in np.flatnonzero(edges[1:] > edges[:-1]):
-        i, j = edges[b], edges[b + 1]
-        at = np.flatnonzero(np.concatenate([[True], w[i + 1 : j] != w[i : j - 1]]))
-        used.append(int(b))
-        sets.append(ids[w[i:j][at]].tobytes())
-        counts.append(np.diff(np.concatenate([at, [j - i]])).astype("<u4").tobytes())
-        keys.append(six[i:j].tobytes())
-    if used:
-        yield rows_of(_SENT, len(used), bucket=used, kind=np.ones(len(used), np.int8), sets=sets, counts=counts, keys=keys)
+        yield rows_of(_SENT, 1, bucket=[home % partitions], kind=[2], keys=[np.stack([k[crowd].view(np.int64), ids[w[crowd]], least[crowd]]).tobytes()])
+        rep = np.flatnonzero(crowd & (ids[w] == least))
+        parts.append((3, k[rep], w[rep]))
+    for kind, k, w in parts:
+        bucket = (k % p).astype(np.int64)
+        order = np.argsort(bucket * len(ids) + w)
+        k, w, bucket = k[order], w[order], bucket[order]
+        edges = np.searchsorted(bucket, np.arange(partitions + 1))
+        six = np.ascontiguousarray(((k // p) & SIX).view(np.uint8).reshape(-1, 8)[:, :6])
+        used, sets, counts, keys = [], [], [], []
+        for b in np.flatnonzero(edges[1:] > edges[:-1]):
+            i, j = edges[b], edges[b + 1]
+            at = np.flatnonzero(np.concatenate([[True], w[i + 1 : j] != w[i : j - 1]]))
+            many = np.diff(np.append(at, j - i))
+            again = 1 + (many - 1) // 255  # a count is one byte; a set with more signatures is written again
+            used.append(int(b))
+            sets.append(np.repeat(ids[w[i:j][at]], again).tobytes())
+            last = np.cumsum(again) - 1
+            one = np.full(last[-1] + 1, 255, np.uint8)
+            one[last] = many - 255 * (again - 1)
+            counts.append(one.tobytes())
+            keys.append(six[i:j].tobytes())
+        if used:
+            yield rows_of(_SENT, len(used), bucket=used, kind=np.full(len(used), kind, np.int8), sets=sets, counts=counts, keys=keys)
 
 
 def signed(docs: DataFrame, id: str, text: str, partitions: int) -> DataFrame:
@@ -264,11 +273,31 @@ def signed(docs: DataFrame, id: str, text: str, partitions: int) -> DataFrame:
     return rows.mapInArrow(run, SENT)
 
 
+def same_groups(key: np.ndarray, who: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(group, set, least, weight) of the signatures that several sets have, or that a run marked. Signatures with the same
+    sets are one group, named by its sets, of so much weight; a marked signature, whose sets are not all here, is its own."""
+    order = np.lexsort((who, key))
+    key, who, marked = key[order], who[order], marked[order]
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (who[1:] != who[:-1])])
+    marked = np.maximum.reduceat(marked, np.flatnonzero(new))
+    key, who = key[new], who[new]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(first, len(key)))
+    least, mark = who[first], np.maximum.reduceat(marked, first).astype(bool)
+    name = mix(np.add.reduceat(mix(who.view(np.uint64)), first) ^ mix(size.astype(np.uint64)))
+    name = np.where(mark, key[first], name)
+    kept = np.flatnonzero((size > 1) | mark)
+    name, at, weight = np.unique(name[kept], return_index=True, return_counts=True)
+    groups = kept[at]
+    rows = np.repeat(first[groups] - np.concatenate([[0], np.cumsum(size[groups])[:-1]]), size[groups]) + np.arange(size[groups].sum())
+    return np.repeat(name, size[groups]).view(np.int64), who[rows], np.repeat(least[groups], size[groups]), np.repeat(weight, size[groups])
+
+
 def grouped(sent: DataFrame, partitions: int) -> DataFrame:
-    """GROUPED rows: the documents (kind 0), and (key, set, least) of signatures that more than one set has (kind 1)."""
+    """GROUPED rows: the documents (kind 0), and (key, set, least, weight) of groups of sets that share signatures (kind 1)."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, keys = [], []
+        sets, keys, marks = [], [], []
         for batch in it:
             kind = batch.column(1).to_numpy(zero_copy_only=False)
             docs = batch.filter(pa.array(kind == 0))
@@ -276,31 +305,28 @@ def grouped(sent: DataFrame, partitions: int) -> DataFrame:
                 yield rows_of(_GROUPED, docs.num_rows, **{c: docs.column(c) for c in ("kind", "doc", "n", "set", "spare", "text_hash", "sketch")})
             for r in np.flatnonzero(kind == 2):
                 key, who, least = np.frombuffer(batch.column(10)[r].as_py(), np.int64).reshape(3, -1)
-                yield rows_of(_GROUPED, len(key), kind=np.ones(len(key), np.int8), key=key, set=who, least=least)
-            for r in np.flatnonzero(kind == 1):
+                yield rows_of(_GROUPED, len(key), kind=np.ones(len(key), np.int8), key=key, set=who, least=least, weight=np.ones(len(key), np.int64))
+            for r in np.flatnonzero((kind == 1) | (kind == 3)):
                 six = np.frombuffer(batch.column(10)[r].as_py(), np.uint8).reshape(-1, 6)
                 wide = np.zeros((len(six), 8), np.uint8)
                 wide[:, :6] = six
                 keys.append(wide.view(np.uint64).ravel() * np.uint64(partitions) + np.uint64(batch.column(0)[r].as_py()))
-                sets.append(np.repeat(np.frombuffer(batch.column(8)[r].as_py(), np.int64), np.frombuffer(batch.column(9)[r].as_py(), "<u4")))
+                sets.append(np.repeat(np.frombuffer(batch.column(8)[r].as_py(), np.int64), np.frombuffer(batch.column(9)[r].as_py(), np.uint8)))
+                marks.append(np.full(len(six), kind[r] == 3, np.uint8))
         if not keys:
             return
         key = np.concatenate(keys)
         keys.clear()
         order = np.argsort(key)
-        key = key[order]
+        key, marked = key[order], np.concatenate(marks)[order]
         same = key[1:] == key[:-1]
-        more = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        key, who = key[more], np.concatenate(sets)[order[more]]
-        if not len(key):
+        more = np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (marked > 0)
+        if not more.any():
             return
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(first, len(key)))
-        least, most = (np.repeat(f.reduceat(who, first), size) for f in (np.minimum, np.maximum))
-        good = np.flatnonzero(least != most)  # not one set that stands in several runs
-        for at in range(0, len(good), 1 << 18):
-            g = good[at : at + (1 << 18)]
-            yield rows_of(_GROUPED, len(g), kind=np.ones(len(g), np.int8), key=key[g].view(np.int64), set=who[g], least=least[g])
+        key, who, least, weight = same_groups(key[more], np.concatenate(sets)[order[more]], marked[more])
+        for at in range(0, len(key), 1 << 18):
+            g = slice(at, at + (1 << 18))
+            yield rows_of(_GROUPED, len(key[g]), kind=np.ones(len(key[g]), np.int8), key=key[g], set=who[g], least=least[g], weight=weight[g])
 
     return sent.repartitionById(partitions, F.col("bucket")).mapInArrow(run, GROUPED)
 
@@ -458,27 +484,57 @@ def across_blocks(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     return m.groupBy("key", "low", "high").applyInArrow(cell, "a long, b long").where("a < b").distinct()
 
 
+def slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a shingle is counted, in each of the two rows."""
+    x = mix(keys ^ np.uint64(0xC0117))
+    return (x % np.uint64(SLOTS)).astype(np.int64), ((x >> np.uint64(32)) % np.uint64(SLOTS)).astype(np.int64) + SLOTS
+
+
 def loose_entries(loose: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
     """(key, set, n, rest, reach): the prefixes of loose sets, shingles ordered from the rarest among the loose. `rest` is how
-    many shingles a set can share from here on, `reach` the size of the largest set that it can link with by so many."""
-    texts = texts_of(loose, docs, id, text)
+    many shingles a set can share from here on, `reach` the size of the largest set that it can link with by so many.
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Any order of shingles that is the same for all sets is right; this one is by approximate counts, the lesser of two in rows
+    of SLOTS counters, whatever the number of shingles. They are never too small: a shingle counted once is in one set alone."""
+    spark = loose.sparkSession
+
+    def shingled(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in it:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                for k, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), WIDTH)):
-                    cols = [pa.array(np.full(len(s), k, np.int64)), pa.array(s.view(np.int64)), pa.array(np.full(len(s), len(s), np.int64))]
-                    yield pa.RecordBatch.from_arrays(cols, ["set", "key", "n"])
+                keys = [s.tobytes() for s in shingle_sets(batch.column(1).to_pylist(), WIDTH)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], ["set", "keys"])
 
-    rows = stage(texts.mapInArrow(run, "set long, key long, n long"), "loose")
-    # A shingle of one loose set alone stands first in the order and cannot be shared; only its number matters.
-    df = few(stage(rows.groupBy(F.col("key").alias("df_key")).agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "loose-df"))
-    known = rows.join(df, rows["key"] == df["df_key"]).drop("df_key")
-    by_set = W.partitionBy("set")
-    ranked = known.withColumn("rest", F.count(F.lit(1)).over(by_set) - F.row_number().over(by_set.orderBy("df", "key")) + 1)
-    reach = F.floor(F.col("rest") * (DEN + NUM) / NUM) - F.col("n")
-    return stage(ranked.select("key", "set", "n", "rest", reach.alias("reach")).where(f"reach * {DEN} >= n * {NUM}"), "entries")
+    def counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * SLOTS, np.int64)
+        for batch in it:
+            for x in slots(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)):
+                total += np.bincount(x, minlength=2 * SLOTS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+
+    sets = stage(texts_of(loose, docs, id, text).mapInArrow(shingled, "set long, keys binary"), "loose")
+    counts = sets.select("keys").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # 2 * SLOTS rows at most
+    table = np.zeros(2 * SLOTS, np.int32)
+    table[counts.column("slot").to_numpy()] = np.minimum(counts.column("n").to_numpy(), 2**31 - 1)
+    sent = spark.sparkContext.broadcast(table)
+
+    def prefixes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for who, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                s = np.frombuffer(blob, np.uint64)
+                one, two = slots(s)
+                df = np.minimum(sent.value[one], sent.value[two])
+                s, df, n = s[df > 1], df[df > 1], len(s)
+                s = s[np.lexsort((s, df))]
+                rest = len(s) - np.arange(len(s), dtype=np.int64)
+                reach = rest * (DEN + NUM) // NUM - n
+                far = reach * DEN >= n * NUM
+                m = int(far.sum())
+                if m:
+                    yield pa.RecordBatch.from_arrays([pa.array(s[far].view(np.int64)), pa.array(np.full(m, who, np.int64)), pa.array(np.full(m, n, np.int64)), pa.array(rest[far]), pa.array(reach[far])], ["key", "set", "n", "rest", "reach"])
+
+    return stage(sets.mapInArrow(prefixes, "key long, set long, n long, rest long, reach long"), "entries")
 
 
 def reachable(entries: DataFrame, name: str) -> DataFrame:
@@ -528,14 +584,15 @@ def spanning(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[D
     sets = documents.where("n > 0 AND doc IS NOT NULL").groupBy("set").agg(F.max("n").alias("n"), one.alias("one"), F.min("spare").alias("spare"), F.max("sketch").alias("sketch"))
     sets = stage(sets.select("set", "n", F.col("one.doc").alias("rep"), F.col("one.text_hash").alias("rep_hash"), "spare", "sketch"), "sets")
 
-    groups = rows.where("kind = 1").select("key", "set", "least")  # a set may stand in a group once for each run
+    groups = rows.where("kind = 1").groupBy("key", "set").agg(F.min("least").alias("least"), F.sum("weight").alias("weight"))
+    groups = stage(groups, "groups")
     around = stage(sizes_fit(star(groups), sets), "stars")
     links = verify(around, sets, docs, id, text, "stars")
     mixed = stage(with_labels(labelled(groups, labels_of(links), "groups")), "mixed")
     more = across(mixed.where(F.col("labels") <= GROUP)).join(around, ["a", "b"], "left_anti")
     links = links.unionByName(verify(stage(sizes_fit(more, sets), "across"), sets, docs, id, text, "across"))
 
-    hot = mixed.where(F.col("labels") > GROUP).groupBy("set").agg(F.count(F.lit(1)).alias("hot")).withColumnRenamed("set", "hot_set")
+    hot = mixed.where(F.col("labels") > GROUP).groupBy("set").agg(F.sum("weight").alias("hot")).withColumnRenamed("set", "hot_set")
     loose = sets.join(hot, sets["set"] == hot["hot_set"], "left").where(F.col("spare") - F.coalesce("hot", F.lit(0)) <= 0)
     loose = stage(loose.select("set", "rep", "rep_hash"), "loose-sets")
     if not loose.isEmpty():
