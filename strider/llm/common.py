@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,11 +16,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a local one only where that is unset."""
+    """The folder all executors share, from spark.checkpoint.dir. Where that is unset there is none: a folder of the driver's
+    own would take each executor's part of a table to another disk."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='strider-')}"
+    if not found and spark.sparkContext.master.startswith("local["):  # one process: its temporary folder is shared by all
+        found = f"file:{spark._jvm.java.lang.System.getProperty('java.io.tmpdir')}/strider-{spark.sparkContext.applicationId}"
         spark.conf.set("spark.checkpoint.dir", found)
+    if not found:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return found.rstrip("/")
 
 
@@ -31,7 +34,8 @@ def new_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Cut lineage: write the frame to the shared folder and read it back."""
     path = new_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    with shuffles_freed(df.sparkSession):  # nothing reads them once the table is there
+        df.write.option("compression", compression).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out
@@ -46,10 +50,16 @@ def unstage(df: DataFrame) -> None:
         p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of frames that nothing refers to any more; it acts when the driver collects garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Executions within drop their shuffle files as they end."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def ascii_lower(c: Column) -> Column:

@@ -24,7 +24,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strider.llm.common import batches, mix, release, span_hashes, stage, unstage
+from strider.llm.common import batches, mix, span_hashes, stage, unstage
 from strider.llm.language_id import held_out
 
 MAX_DOCS = 6_000
@@ -171,7 +171,6 @@ def word_vectors(texts: DataFrame, least: int = 3) -> DataFrame:
     for k in range(RANGES):
         one = stage(rows.where(part % RANGES == k).groupBy(part.alias("g")).applyInArrow(total, "w long, v binary, level int"), "word-vectors")
         out = one if out is None else out.unionByName(one)
-        release(texts.sparkSession)
     unstage(rows)
     return out
 

@@ -4,21 +4,27 @@ Texts become token ids, each text closed by an end mark and cut into sequences o
 number 0..N-1 (tasks count their own; the few counts by task are summed to offsets) and a keyed Feistel network over the
 least even power of two that holds N, walked along its cycle until it falls below N, permutes the numbers: a bijection
 without any table, so slot and number follow from each other anywhere. Slots are dealt in ranges of `per_shard`; each
-range is one file of records of equal size in the order of slots. A reader finds slot s in shard s // per_shard at byte
-(s % per_shard) * stride, so reading is sequential and can go on anywhere.
+range is one partition and one file of records of equal size in the order of slots. A reader finds slot s in shard
+s // per_shard at byte (s % per_shard) * stride, so reading is sequential and can go on anywhere.
 
 A record: slot int64, document id int64, part int32, ids used int32, `length` little-endian uint16 ids (padded with the
 end mark), and the two bytes 0D 0A, which Spark's line writer puts between records and which show a torn record.
-Files are Spark's own output: a lost task is written again, a shard appears only when its job commits, and `resume`
-writes the missing shards only.
+Files are Spark's own output: a lost task is written again, a shard appears only when its job commits.
+
+The numbered sequences are a table in the target folder until all shards are there, and `_manifest.json` beside them says
+what they were made from: length, key, tokens, and a fingerprint of the documents (number and hash of ids and texts). A
+second call on the folder writes the missing shards from that table, so that all shards follow one numbering however the
+documents are split by then; if the documents or the parameters are others, it raises ValueError and changes nothing.
 
 Defined results: a null or empty text is one sequence with the end mark alone; repeated rows are sequences each; a null
-id is stored as the least int64 and read back as null; an empty table makes no shard.
+id is stored as the least int64 and read back as null; an empty table makes no shard; other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import struct
 import uuid
 import zlib
@@ -27,13 +33,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strider.llm.common import mix, new_path, release, stage, unstage
+from strider.llm.common import mix, new_path, shuffles_freed
 
-LENGTH, PER_SHARD, KEY, ROUNDS, SLICES = 512, 4096, 20240229, 6, 8
+LENGTH, PER_SHARD, KEY, ROUNDS, SLICES = 512, 4096, 20240229, 6, 4
 END = 50_256
 RANKS = "byte_bpe_50k.tiktoken"
 HEAD = struct.Struct("<qqii")
@@ -98,36 +104,51 @@ def ranks_path(name: str = RANKS) -> str:
     return public_tokenizers.path(name)
 
 
-def sequences(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, path: str | None = None) -> DataFrame:
-    """(task, number within the task, document, part, ids used, ids as bytes): one narrow pass."""
+def rank_data(path: str | None = None) -> bytes:
     with open(path or ranks_path(), "rb") as f:
-        sent = docs.sparkSession.sparkContext.broadcast(f.read())  # the rank file, under a megabyte
+        return f.read()
+
+
+def sequences(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, path: str | None = None) -> DataFrame:
+    """(task, number within the task, the record but for its slot, a hash of the document at its first part): one narrow pass."""
+    sent = docs.sparkSession.sparkContext.broadcast(rank_data(path))  # the rank file, under a megabyte
     key = uuid.uuid4().hex
+    kind = np.dtype([("doc", "<i8"), ("part", "<i4"), ("used", "<i4"), ("tokens", "<u2", length)])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, task, number = encoder(key, sent), TaskContext.get().partitionId(), 0
         for whole in it:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                ids, rows, used, flat = batch.column(0).to_pylist(), [], [], []
-                parts = []
-                for i, t in zip(ids, batch.column(1).to_pylist()):
-                    x = np.append(own.encode(t), np.array([END], "<u2"))
-                    n = -(-len(x) // length)
-                    padded = np.full(n * length, END, "<u2")
-                    padded[: len(x)] = x
-                    flat.append(padded)
-                    rows += [NULL_ID if i is None else i] * n
-                    parts += range(n)
-                    used += [length] * (n - 1) + [len(x) - (n - 1) * length]
-                data = np.concatenate(flat).view(np.uint8)
-                tokens = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * length), len(rows), [None, pa.py_buffer(data)]).cast(pa.binary())
-                cols = [pa.array(np.full(len(rows), task, np.int32)), pa.array(np.arange(number, number + len(rows))), pa.array(rows, pa.int64()), pa.array(parts, pa.int32()), pa.array(used, pa.int32()), tokens]
-                number += len(rows)
-                yield pa.RecordBatch.from_arrays(cols, ["task", "number", "doc_id", "part", "used", "tokens"])
-
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "task int, number long, doc_id long, part int, used int, tokens binary")
+                ids = [own.encode(t) for t in batch.column(1).to_pylist()]
+                size = np.fromiter(map(len, ids), np.int64, len(ids)) + 1  # with the end mark
+                parts = -(-size // length)
+                first = np.cumsum(parts) - parts
+                doc = np.repeat(np.arange(len(ids)), parts)
+                rec = np.empty(len(doc), kind)
+                rec["doc"] = np.array([NULL_ID if i is None else i for i in batch.column(0).to_pylist()], np.int64)[doc]
+                rec["part"] = np.arange(len(doc)) - first[doc]
+                rec["used"] = np.minimum(size[doc] - rec["part"].astype(np.int64) * length, length)
+                flat = np.full(len(doc) * length, END, "<u2")
+                for x, f in zip(ids, first * length):
+                    flat[f : f + len(x)] = x
+                rec["tokens"] = flat.reshape(-1, length)
+                tail = pa.FixedSizeBinaryArray.from_buffers(pa.binary(kind.itemsize), len(rec), [None, pa.py_buffer(rec.view(np.uint8))]).cast(pa.binary())
+                mark = pa.array(batch.column(2).to_numpy()[doc], pa.int64(), mask=rec["part"] > 0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rec), task, np.int32)), pa.array(np.arange(number, number + len(rec))), tail, mark], ["task", "number", "tail", "mark"])
+                number += len(rec)
+
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"), marked(id, text).alias("mark"))
+    return rows.mapInArrow(run, "task int, number long, tail binary, mark long")
+
+
+def marked(id: str, text: str) -> Column:
+    return F.xxhash64(F.col(id).cast("long"), F.lit(0), F.col(text))
+
+
+def fingerprint(marks: DataFrame) -> list[int]:
+    """The number of documents and two sums of their hashes: the same for the same rows in any order."""
+    return list(marks.agg(F.count("mark"), F.coalesce(F.bit_xor("mark"), F.lit(0).cast("long")), F.coalesce(F.sum(F.pmod("mark", F.lit((1 << 31) - 1))), F.lit(0).cast("long"))).first())
 
 
 # ---- shards ------------------------------------------------------------------------------------------------
@@ -143,78 +164,125 @@ def number(staged: DataFrame) -> tuple[np.ndarray, int]:
     return offsets, total
 
 
-def placed(staged: DataFrame, offsets: np.ndarray, total: int, shards: tuple[int, int], length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
-    """(shard, slot, record) of the staged sequences that belong to a range of shards."""
-    sent = staged.sparkSession.sparkContext.broadcast(offsets)
-    low, high = shards[0] * per_shard, shards[1] * per_shard
-    kind = np.dtype([("slot", "<i8"), ("doc", "<i8"), ("part", "<i4"), ("used", "<i4"), ("tokens", "u1", 2 * length)])
+def slots(spark: SparkSession, offsets: np.ndarray, total: int, key: int):
+    """A column function: the slot of (task, number), and its eight bytes. Only these two columns go to Python."""
+    sent = spark.sparkContext.broadcast(offsets)  # eight bytes a task
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in it:
-            for at in range(0, whole.num_rows, 4096):
-                b = whole.slice(at, 4096)
-                slot = permute(sent.value[b.column(0).to_numpy()] + b.column(1).to_numpy(), total, key)
-                here = (slot >= low) & (slot < high)
-                b, slot = pa.RecordBatch.from_arrays([c.filter(pa.array(here)) for c in b.columns], schema=b.schema), slot[here]
-                rec = np.empty(b.num_rows, kind)
-                rec["slot"], rec["doc"], rec["part"], rec["used"] = slot, b.column(2).to_numpy(), b.column(3).to_numpy(), b.column(4).to_numpy()
-                rec["tokens"] = np.frombuffer(b"".join(b.column(5).to_pylist()), np.uint8).reshape(b.num_rows, 2 * length)
-                record = pa.FixedSizeBinaryArray.from_buffers(pa.binary(kind.itemsize), len(rec), [None, pa.py_buffer(rec.view(np.uint8))]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(slot // per_shard), pa.array(slot), record], ["shard", "slot", "record"])
+    @F.arrow_udf("struct<slot: bigint, head: binary>")
+    def slot(task: pa.Array, n: pa.Array) -> pa.Array:
+        at = permute(sent.value[task.to_numpy()] + n.to_numpy(), total, key)
+        head = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8), len(at), [None, pa.py_buffer(at.astype("<i8").view(np.uint8))]).cast(pa.binary())
+        return pa.StructArray.from_arrays([pa.array(at), head], ["slot", "head"])
 
-    return staged.mapInArrow(run, "shard long, slot long, record binary")
+    return slot.asNondeterministic()  # evaluated once, not again in a filter that is pushed down
+
+
+def files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it takes it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def done_shards(spark: SparkSession, path: str) -> list[int]:
     """Shards that are there whole: a job's output is moved into place only when all of it is written."""
-    jvm, jsc = spark._jvm, spark._jsc
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(jsc.hadoopConfiguration())
+    fs, p = files(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
     return sorted(int(n.partition("=")[2]) for n in names if n.startswith("shard="))
 
 
-def write_shards(staged: DataFrame, path: str, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY, slices: int = SLICES, resume: bool = True) -> None:
-    """One file for each range of slots, its records in order. Shards are written in `slices` ranges one after another, so
-    that only one range's shuffle is on disk at a time; with resume, ranges whose shards are all there are passed over."""
+def write_shards(staged: DataFrame, path: str, per_shard: int = PER_SHARD, key: int = KEY, slices: int = SLICES) -> None:
+    """One file for each range of slots, its records in order; shards that are there already are passed over. They are written
+    in `slices` ranges one after another, so that only one range's shuffle is on disk at a time. A range is dealt by its
+    shards, one partition each, without a sample."""
     spark = staged.sparkSession
     offsets, total = number(staged)
     n = -(-total // per_shard)
-    done = set(done_shards(spark, path)) if resume else set()
-    step = max(1, -(-n // slices))
+    have = np.zeros(n, bool)  # one byte a shard
+    done = np.array(done_shards(spark, path), np.int64)
+    have[done[done < n]] = True
+    slot, step = slots(spark, offsets, total, key), max(1, -(-n // slices))
     for at in range(0, n, step):
         upto = min(n, at + step)
-        if missing := [k for k in range(at, upto) if k not in done]:
-            records = placed(staged, offsets, total, (missing[0], missing[-1] + 1), length, per_shard, key).where(F.col("shard").isin(missing))
-            out = records.repartition(len(missing), "shard").sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
-            out.write.mode("append").option("lineSep", "\r\n").partitionBy("shard").text(path)
-            release(spark)
-
-
-def unpacked(records, size: int, per_shard: int):
-    """The fields of records as bytes."""
-    for r in records:
-        slot, doc, part, used = HEAD.unpack_from(r)
-        if r[-2:] != b"\r\n":
-            raise ValueError(f"torn record at slot {slot}")
-        yield slot, slot // per_shard, slot % per_shard * size, None if doc == NULL_ID else doc, part, used, zlib.crc32(r[HEAD.size : HEAD.size + 2 * used])
-
+        missing = np.flatnonzero(~have[at:upto]) + at
+        if not len(missing):
+            continue
+        low, high = int(missing[0]), int(missing[-1]) + 1
+        rows = staged.select(slot("task", "number").alias("at"), "tail").where(F.col("at.slot").between(low * per_shard, high * per_shard - 1))
+        rows = rows.select(F.floor(F.col("at.slot") / per_shard).alias("shard"), F.col("at.slot").alias("slot"), F.concat("at.head", "tail").cast("string").alias("value"))
+        if len(missing) < high - low:  # after a break inside a range; a list no longer than the range's shards
+            kept = spark.createDataFrame([(int(x),) for x in missing], "kept long")
+            rows = rows.join(F.broadcast(kept), rows["shard"] == kept["kept"], "left_semi")
+        rows = rows.repartitionById(high - low, (F.col("shard") - low).cast("int")).sortWithinPartitions("shard", "slot")
+        with shuffles_freed(spark):
+            rows.select("shard", "value").write.mode("append").option("lineSep", "\r\n").partitionBy("shard").text(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    fs, p = files(spark, f"{path}/_manifest.json")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(stream.readAllBytes()))
+    finally:
+        stream.close()
+
+
+def write_manifest(spark: SparkSession, path: str, manifest: dict) -> None:
+    fs, p = files(spark, f"{path}/_manifest.json")
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+    finally:
+        stream.close()
+
+
+def materialise(
+    docs: DataFrame, path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY,
+    id: str = "doc_id", text: str = "text", ranks: str | None = None,
+) -> str:
+    """Write the shards of a table of texts, or those that are missing of an earlier call; returns their folder."""
+    spark = docs.sparkSession
+    path = (path or new_path(spark, "shards")).rstrip("/")
+    made = {"length": length, "per_shard": per_shard, "key": key, "ranks": zlib.crc32(rank_data(ranks))}
+    found, table = read_manifest(spark, path), f"{path}/_sequences"
+    fs, target = files(spark, table)
+    if found is None:
+        if done_shards(spark, path):
+            raise ValueError(f"{path} holds shards without a manifest")
+        fs.delete(target, True)  # of a call that broke off before its manifest
+        sequences(docs, id, text, length, ranks).write.option("compression", "zstd").parquet(table)
+        found = made | {"documents": fingerprint(spark.read.parquet(table).select("mark"))}
+        write_manifest(spark, path, found)
+    elif found != made | {"documents": fingerprint(docs.select(marked(id, text).alias("mark")))}:
+        raise ValueError(f"{path} was made from other documents or with other parameters")
+    if fs.exists(target):  # else a call before this one was done
+        write_shards(spark.read.schema("task int, number long, tail binary, mark long").parquet(table), path, per_shard, key)
+        fs.delete(target, True)
+    return path
 
-def read_shards(spark: SparkSession, path: str, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
-    """The records of all shards: where each stands, what it holds, and a checksum of its ids."""
-    size = stride(length)
 
-    schema = T.StructType([T.StructField(n, t) for n, t in (("slot", T.LongType()), ("shard", T.LongType()), ("byte_offset", T.LongType()), ("doc_id", T.LongType()), ("part", T.IntegerType()), ("n_tokens", T.IntegerType()), ("token_crc", T.LongType()))])
+def read_shards(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
+    """The records of all shards: where each stands, what it holds, and a checksum of its ids. A file is at most a shard."""
+    schema = "slot long, shard long, byte_offset long, doc_id long, part int, n_tokens int, token_crc long"
     if not done_shards(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.createDataFrame(spark.sparkContext.binaryRecords(f"{path}/shard=*", size).mapPartitions(lambda rows: unpacked(rows, size, per_shard)), schema)
-
+    kind = np.dtype([("slot", "<i8"), ("doc", "<i8"), ("part", "<i4"), ("used", "<i4"), ("tokens", "u1", 2 * length), ("end", "S2")])
 
-def materialise(docs: DataFrame, path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> str:
-    """Write the shards of a table of texts; returns their folder."""
-    spark = docs.sparkSession
-    path = path or new_path(spark, "shards")
-    staged = stage(sequences(docs, length=length), "sequences")
-    write_shards(staged, path, length, per_shard, key)
-    unstage(staged)
-    return path
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = content.as_buffer()
+                if data.size % kind.itemsize:
+                    raise ValueError(f"torn record at the end of {name}")
+                rec = np.frombuffer(data, kind)
+                if len(torn := np.flatnonzero(rec["end"] != b"\r\n")):
+                    raise ValueError(f"torn record at slot {rec['slot'][torn[0]]} in {name}")
+                shard = int(name.rpartition("shard=")[2].partition("/")[0])
+                crc = [zlib.crc32(t[: 2 * u].data) for t, u in zip(rec["tokens"], rec["used"].tolist())]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(rec["slot"]), pa.array(np.full(len(rec), shard, np.int64)), pa.array(np.arange(len(rec), dtype=np.int64) * kind.itemsize),
+                    pa.array(rec["doc"], mask=rec["doc"] == NULL_ID), pa.array(rec["part"]), pa.array(rec["used"]), pa.array(crc, pa.int64()),
+                ], ["slot", "shard", "byte_offset", "doc_id", "part", "n_tokens", "token_crc"])
+
+    return spark.read.format("binaryFile").load(f"{path}/shard=*/part-*").select("path", "content").mapInArrow(run, schema)
