@@ -8,13 +8,19 @@ k = floor((1 - threshold) * u) + 1 minima, so an item whose containment reaches
 shingles and at least one minimum is met: no leak is missed. Candidates are then verified by exact containment of the
 items' shingles, compared as text.
 
+Only items have sketches. A document's side of the containment estimate is all of its shingles, looked up among the items'
+minima: a sketch of the document would have to keep a share of them that depends on its length to the item's, and for short
+items in long documents that is nearly all. So nothing of a document is sampled or kept.
+
 The benchmark's sketch is the small side: it is counted first and broadcast up to BROADCAST_ROWS rows; beyond that the
-join is left to shuffle. Documents are read twice, the second time only candidates are shingled.
+join is left to shuffle. Documents are read twice, the second time only candidates are shingled; which documents are
+candidates is written down in between, so that the search runs once.
 
 Defined results: words are lower-cased (A-Z) runs without white space; an item with fewer than `width` words is one shorter
 shingle, looked for among the documents' runs of that many words; an item or document without words is linked with
 nothing; repeated rows of a document give one row for each item; items with equal ids are told apart by their text and
-reported once, by the larger containment.
+reported once, by the larger containment; a null document id is a document of its own id; other columns are not read by
+leaks() and kept by decontaminate(), whatever their names; of equal containments the larger item is reported.
 """
 
 from __future__ import annotations
@@ -76,6 +82,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75, width:
     found = base.select("d_id", F.explode(all_runs).alias("d_shingle"))
     hits = found.join(minima, found["d_shingle"] == minima["shingle"]).groupBy("d_id", "item_key").agg(F.count(F.lit(1)).alias("met"))
     candidates = hits.groupBy("d_id").agg(F.collect_set("item_key").alias("item_keys"))  # at most one entry for each item
+    candidates = stage(candidates, "candidates")  # the search, the dearest part, runs once
 
     # Exact: the candidates' own words, cut into runs, against the text of every shingle of the item.
     c = candidates.withColumnRenamed("d_id", "c_id")
@@ -112,4 +119,4 @@ def all_runs_at(w: str, widths: list[int]) -> Column:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", **kw) -> DataFrame:
     """The documents that hold no item of the benchmark."""
     bad = stage(leaks(docs, benchmark, id=id, **kw).select(F.col(id).alias("bad_id")).distinct(), "leaks")
-    return docs.join(sized(bad), docs[id].eqNullSafe(bad["bad_id"]), "left_anti")
+    return docs.join(sized(bad), docs[id].eqNullSafe(bad["bad_id"]), "left_anti")  # the left side's columns only

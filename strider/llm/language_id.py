@@ -10,7 +10,7 @@ Scoring is vectorised over runs of about a megabyte of text: n-grams are packed
 
 Defined results: a null text, or one without a letter, gives `und` and score 0; ties between n-grams go to the smaller
 by code points, ties between languages to the smaller name; repeated rows are predicted each; without any labelled
-document every prediction is `und`. score = 1 - distance / worst distance of the document's own profile.
+document every prediction is `und`; documents' other columns are not read, whatever their names. score = 1 - distance / worst distance of the document's own profile.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def _letters() -> np.ndarray:
 
 def _grams(texts: list[str], longest: int):
     """All n-grams of a run of texts: (document, code points packed 21 bits each, count), sorted by document and n-gram."""
-    alpha = _letters()
+    alpha, given = _letters(), texts
     texts = [f"\x00{t.lower()}\x00" for t in texts]
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
@@ -55,6 +55,10 @@ def _grams(texts: list[str], longest: int):
     s = np.where(real > 0, small[np.minimum(real, len(small) - 1)], 0)
     bits = max(1, int(len(seen)).bit_length())
     room = 63 - longest * bits - (longest - 1).bit_length() - 1
+    if len(texts) >= 1 << room:  # too many texts for so large an alphabet: two runs
+        half = len(texts) // 2
+        (d1, (g1, l1), n1), (d2, (g2, l2), n2) = _grams(given[:half], longest), _grams(given[half:], longest)
+        return np.concatenate([d1, d2 + half]), (np.concatenate([g1, g2]), np.concatenate([l1, l2])), np.concatenate([n1, n2])
     out = []
     for n in range(1, longest + 1):
         m = len(s) - n + 1
@@ -71,8 +75,6 @@ def _grams(texts: list[str], longest: int):
         # A longer n-gram sorts after a shorter one; its length stands above its symbols.
         out.append((doc[:m][good] << (63 - room)) | (n << (longest * bits)) | key[good])
     keys = np.sort(np.concatenate(out)) if out else np.empty(0, np.int64)
-    if len(texts) >= 1 << room:
-        raise OverflowError("a run has too many texts for its alphabet")
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
     count = np.diff(np.append(first, len(keys)))
     keys = keys[first]

@@ -11,7 +11,9 @@ network (tanh layer, then logistic) is fitted on labelled rows, and a temperatur
 logit. At most `max_docs` labelled documents are fitted on, those first by a hash of their id; scores use whole texts.
 
 Defined results: null and empty texts have zero vectors and are scored like any other; null labels are not learned
-from; repeated labels count each; with labels of one class only, or none, every score is the smoothed label mean.
+from; of several rows with a labelled id the one whose text comes first by hash is learned from, with the id's first label
+by value, so that no id counts twice; every row is scored; with labels of one class only, or none, every score is the
+smoothed label mean; keep_good() keeps all columns, also such as are named like its own.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from strider.llm.common import batches, mix, span_hashes, stage, unstage
 from strider.llm.language_id import held_out
 
 MAX_DOCS = 6_000
+LEAST = 3  # a token that occurs less often keeps its index vector
 BROADCAST_TOKENS = 1_500_000  # vectors that a model holds; how many there are is not bounded
 HELD, CELL = 200_000, 100_000  # rows that a task sums up at a time, and rows of a group, about
 RANGES = 8  # of tokens, one range's shuffle on disk at a time
@@ -134,7 +137,7 @@ def neighbours(part: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, count.astype(np.int64), np.add.reduceat(near[order], starts, axis=0, dtype=np.int32)
 
 
-def word_vectors(texts: DataFrame, least: int = 3) -> DataFrame:
+def word_vectors(texts: DataFrame, least: int = LEAST) -> DataFrame:
     """(w, v, level), staged: every token of the texts that occurs `least` times or more, its packed sum of vectors, and four times
     the logarithm of its count."""
 
@@ -369,12 +372,15 @@ class Model:
         self.vectors, self.rest, self.network = vectors, rest, network
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, target: str = "quality") -> Model:
-    """Fit on labelled documents: (doc_id, text) and (doc_id, target); at most `max_docs` of them."""
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, target: str = "quality", least: int = LEAST) -> Model:
+    """Fit on labelled documents: (doc_id, text) and (doc_id, target); at most `max_docs` of them. Tokens that occur `least`
+    times or more in the documents have word vectors."""
     wanted = labels.select(F.col("doc_id").alias("l_id"), F.col(target).cast("int").alias("y")).where("y IS NOT NULL AND l_id IS NOT NULL")
-    wanted = wanted.orderBy(F.xxhash64(F.lit(4), "l_id"), "l_id", "y").limit(max_docs)
-    rows = stage(docs.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "y"), "labelled")
-    vectors, rest = held(word_vectors(docs))
+    wanted = wanted.groupBy("l_id").agg(F.min("y").alias("y")).orderBy(F.xxhash64(F.lit(4), "l_id"), "l_id").limit(max_docs)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("l_id"))
+    first = F.min_by("text", F.struct(F.xxhash64("text"), "text"))  # one text an id, so that max_docs bounds what comes to the driver
+    rows = stage(rows.groupBy("doc_id").agg(first.alias("text"), F.min("y").cast("int").alias("y")), "labelled")
+    vectors, rest = held(word_vectors(docs, least))
     if rest is None:
 
         def pool(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,5 +431,6 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with all their columns."""
     model = fit(docs, labels.where(~held_out(F.col("doc_id"), 5, 0)))
-    names = docs.columns
-    return score(docs, model, keep=tuple(names)).where(F.col("predicted") == 1).select(*names)
+    own = {c: f"__{i}" for i, c in enumerate(docs.columns)}  # whatever the documents' columns are called
+    scored = score(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()]), model, text=own["text"], keep=tuple(own.values()))
+    return scored.where(F.col("predicted") == 1).select(*[F.col(n).alias(c) for c, n in own.items()])
