@@ -32,8 +32,8 @@ from strider.llm.language_id import held_out
 MAX_DOCS = 6_000
 LEAST = 3  # a token that occurs less often keeps its index vector
 BROADCAST_TOKENS = 1_500_000  # vectors that a model holds; how many there are is not bounded
-HELD, CELL = 200_000, 100_000  # rows that a task sums up at a time, and rows of a group, about
-RANGES = 8  # of tokens, one range's shuffle on disk at a time
+HELD, CELL = 64_000, 60_000  # rows that a task sums up at a time, and rows of a group, about; a worker's memory goes with them
+RANGES = 8  # of tokens, a power of two, one range's shuffle on disk at a time
 DIM, NONZERO, WINDOW, HIDDEN = 48, 6, 2, 24
 CAPITALS, REPEATED = np.uint64(0xA11CA95), np.uint64(0x2E9EA7)
 
@@ -169,10 +169,13 @@ def word_vectors(texts: DataFrame, least: int = LEAST) -> DataFrame:
         return pa.table({"w": pa.array(w.view(np.int64)), "v": pa.array(pack(v + index_vectors(w).astype(np.int64) * n[:, None]), pa.binary()), "level": np.floor(4 * np.log2(n)).astype(np.int32)})
 
     rows = stage(texts.select("text").mapInArrow(gather, "w long, n long, v binary"), "token-sums")
-    groups = max(1, -(-rows.count() // (CELL * RANGES)))
-    part, out = F.pmod(F.col("w"), F.lit(groups * RANGES)), None
+    groups, out = max(1, -(-rows.count() // (CELL * RANGES))), None
     for k in range(RANGES):
-        one = stage(rows.where(part % RANGES == k).groupBy(part.alias("g")).applyInArrow(total, "w long, v binary, level int"), "word-vectors")
+        # A range of the tokens' order, in which tasks write them, so that most pages of the others are not read.
+        low = (k << 64) // RANGES
+        low -= 1 << 64 if low >= 1 << 63 else 0
+        mine = rows.where(F.col("w").between(low, low + (1 << 64) // RANGES - 1))
+        one = stage(mine.groupBy(F.pmod(F.col("w"), F.lit(groups)).alias("g")).applyInArrow(total, "w long, v binary, level int"), "word-vectors")
         out = one if out is None else out.unionByName(one)
     unstage(rows)
     return out
