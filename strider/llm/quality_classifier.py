@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strider.llm.common import batches, mix, span_hashes, stage, unstage
@@ -137,6 +137,13 @@ def neighbours(part: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, count.astype(np.int64), np.add.reduceat(near[order], starts, axis=0, dtype=np.int32)
 
 
+def in_range(k: int) -> Column:
+    """Whether token `w` is in a range of the tokens' order, in which tasks write them: most pages of the others are not read."""
+    low = (k << 64) // RANGES
+    low -= 1 << 64 if low >= 1 << 63 else 0
+    return F.col("w").between(low, low + (1 << 64) // RANGES - 1)
+
+
 def word_vectors(texts: DataFrame, least: int = LEAST) -> DataFrame:
     """(w, v, level), staged: every token of the texts that occurs `least` times or more, its packed sum of vectors, and four times
     the logarithm of its count."""
@@ -171,11 +178,7 @@ def word_vectors(texts: DataFrame, least: int = LEAST) -> DataFrame:
     rows = stage(texts.select("text").mapInArrow(gather, "w long, n long, v binary"), "token-sums")
     groups, out = max(1, -(-rows.count() // (CELL * RANGES))), None
     for k in range(RANGES):
-        # A range of the tokens' order, in which tasks write them, so that most pages of the others are not read.
-        low = (k << 64) // RANGES
-        low -= 1 << 64 if low >= 1 << 63 else 0
-        mine = rows.where(F.col("w").between(low, low + (1 << 64) // RANGES - 1))
-        one = stage(mine.groupBy(F.pmod(F.col("w"), F.lit(groups)).alias("g")).applyInArrow(total, "w long, v binary, level int"), "word-vectors")
+        one = stage(rows.where(in_range(k)).groupBy(F.pmod(F.col("w"), F.lit(groups)).alias("g")).applyInArrow(total, "w long, v binary, level int"), "word-vectors")
         out = one if out is None else out.unionByName(one)
     unstage(rows)
     return out
@@ -189,35 +192,44 @@ def held(vectors: DataFrame) -> tuple["Vectors", DataFrame | None]:
         if total > BROADCAST_TOKENS:
             cut, more = r["level"], True
             break
-    got = vectors.where(F.col("level") > cut).select("w", "v").toArrow().combine_chunks()  # bounded by BROADCAST_TOKENS
-    own = Vectors(got.column("w").to_numpy(), pa.concat_arrays(got.column("v").chunks) if len(got) else pa.array([], pa.binary()))
+    often, parts = vectors.where(F.col("level") > cut).select("w", "v"), []  # bounded by BROADCAST_TOKENS
+    for k in range(RANGES):  # one after another, so that the driver holds the arrays and a part of what they come from
+        got = often.where(in_range(k)).toArrow().combine_chunks()
+        w, v = got.column("w").to_numpy().view(np.uint64), pa.concat_arrays(got.column("v").chunks) if len(got) else pa.array([], pa.binary())
+        order = np.argsort(w)
+        wide, v = (pa.compute.binary_length(v).to_numpy() != DIM)[order], v.take(pa.array(order))
+        small = np.frombuffer(b"".join(v.filter(pa.array(~wide)).to_pylist()), np.int8).reshape(-1, DIM)
+        large = unit(np.frombuffer(b"".join(v.filter(pa.array(wide)).to_pylist()), np.int64).reshape(-1, DIM))
+        parts.append((w[order], wide, small, large))
+    known, wide, small, large = (np.concatenate(x) for x in zip(*parts))
+    own = Vectors(vectors.sparkSession, known, wide, small, large)
     return own, vectors.where(F.col("level") <= cut).select("w", "v") if more else None
 
 
 class Vectors:
-    """Unit vectors of the tokens of a collected (w, v), kept as the integers they came as."""
+    """Unit vectors of tokens, kept as the integers they came as and broadcast once; a copy of this is only a handle."""
+
+    def __init__(self, spark: SparkSession, known: np.ndarray, wide: np.ndarray, small: np.ndarray, large: np.ndarray):
+        place = np.where(wide, np.cumsum(wide), np.cumsum(~wide)).astype(np.int32) - 1
+        self.sent = spark.sparkContext.broadcast((known, wide, place, small, large))
 
-    def __init__(self, w: np.ndarray, v: pa.Array):
-        order = np.argsort(w.view(np.uint64))
-        self.known, size = w.view(np.uint64)[order], pa.compute.binary_length(v).to_numpy()[order]
-        packed = v.take(pa.array(order))
-        self.wide = size != DIM
-        self.place = np.where(self.wide, np.cumsum(self.wide), np.cumsum(~self.wide)).astype(np.int32) - 1
-        self.small = np.frombuffer(b"".join(packed.filter(pa.array(~self.wide)).to_pylist()), np.int8).reshape(-1, DIM)
-        self.large = unit(np.frombuffer(b"".join(packed.filter(pa.array(self.wide)).to_pylist()), np.int64).reshape(-1, DIM))
+    @property
+    def known(self) -> np.ndarray:
+        return self.sent.value[0]
 
     def __len__(self) -> int:
         return len(self.known)
 
     def of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(known, vectors) of distinct tokens; those that are not known have their index vector."""
-        spot = np.minimum(np.searchsorted(self.known, h), max(0, len(self) - 1))
-        known = self.known[spot] == h if len(self) else np.zeros(len(h), bool)
+        tokens_, wide_, place, small, large = self.sent.value
+        spot = np.minimum(np.searchsorted(tokens_, h), max(0, len(tokens_) - 1))
+        known = tokens_[spot] == h if len(tokens_) else np.zeros(len(h), bool)
         out = index_vectors(h).astype(np.float32) / np.sqrt(NONZERO)
-        at, wide = spot[known], self.wide[spot[known]] if len(self) else np.zeros(0, bool)
+        at, wide = spot[known], wide_[spot[known]] if len(tokens_) else np.zeros(0, bool)
         rows = np.empty((len(at), DIM), np.float32)
         if len(at):
-            rows[~wide], rows[wide] = unit(self.small[self.place[at[~wide]]]), self.large[self.place[at[wide]]]
+            rows[~wide], rows[wide] = unit(small[place[at[~wide]]]), large[place[at[wide]]]
         out[known] = rows
         return known, out
 
