@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: White space as the contracts define it: space and \x09-\x0D. A word is a run of anything else.
 WORD_GAP = r"[\x20\x09-\x0D]+"
+BATCH_BYTES = 8 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,14 +53,16 @@ def unstage(df: DataFrame) -> None:
 
 @contextlib.contextmanager
 def shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Executions within drop their shuffle files as they end."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
+    """Executions within drop their shuffle files as they end, and pass texts to Python in batches of a few megabytes."""
+    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+    before = {k: spark.conf.get(k) for k in own}
     try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set(name, before)
+        for k, v in before.items():
+            spark.conf.set(k, v.removesuffix("b") if k.endswith("Batch") else v)
 
 
 def ascii_lower(c: Column) -> Column:

@@ -60,7 +60,7 @@ STEP, SLACK, GROUP, WIDTH = 1.75, 1.1, 32, 5
 N2, K2 = 3, 1
 SEEN, BLOCK = 200_000, 2048
 SIX = np.uint64((1 << 48) - 1)
-RUN, CROWD = 1_000_000, 16  # signatures of a run, about; sets of a signature that a run sends on one by one
+RUN, CROWD = 500_000, 16  # signatures of a run, about; sets of a signature that a run sends on one by one
 SLOTS = 1 << 20  # of each of the two rows of approximate counts of loose shingles
 ELEMENTS = 1_000_000  # shingles of a block of whole texts, about
 BROADCAST_ROWS = 500_000
