@@ -61,7 +61,7 @@ N2, K2 = 3, 1
 SEEN, BLOCK = 200_000, 2048
 SIX = np.uint64((1 << 48) - 1)
 RUN, CROWD = 500_000, 16  # signatures of a run, about; sets of a signature that a run sends on one by one
-SLOTS = 1 << 20  # of each of the two rows of approximate counts of loose shingles
+SLOTS, MOST = 1 << 20, 65_535  # of each of the two rows of approximate counts of loose shingles, and how far these go
 ELEMENTS = 1_000_000  # shingles of a block of whole texts, about
 BROADCAST_ROWS = 500_000
 
@@ -506,17 +506,27 @@ def loose_entries(loose: DataFrame, docs: DataFrame, id: str, text: str) -> Data
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], ["set", "keys"])
 
     def counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * SLOTS, np.int64)
+        total, task = np.zeros(2 * SLOTS, np.uint32), TaskContext.get().partitionId()
         for batch in it:
             for x in slots(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)):
-                total += np.bincount(x, minlength=2 * SLOTS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+                np.add.at(total, x, np.uint32(1))
+        blocks = np.minimum(total, MOST).astype(np.uint16).reshape(-1, 1 << 16)
+        used = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(np.full(len(used), task // 256)), pa.array([blocks[i].tobytes() for i in used], pa.binary())], ["block", "part", "counts"])
+
+    def together(t: pa.Table) -> pa.Table:
+        total = np.zeros(1 << 16, np.uint32)
+        for x in t.column("counts"):
+            total = np.minimum(total + np.frombuffer(x.as_buffer(), np.uint16), MOST)
+        return pa.table({"block": t.column("block")[:1], "part": t.column("part")[:1], "counts": pa.array([total.astype(np.uint16).tobytes()], pa.binary())})
 
     sets = stage(texts_of(loose, docs, id, text).mapInArrow(shingled, "set long, keys binary"), "loose")
-    counts = sets.select("keys").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # 2 * SLOTS rows at most
-    table = np.zeros(2 * SLOTS, np.int32)
-    table[counts.column("slot").to_numpy()] = np.minimum(counts.column("n").to_numpy(), 2**31 - 1)
+    schema = "block long, part long, counts binary"  # parts of a table of counters; few come together in one task
+    counts = sets.select("keys").mapInArrow(counted, schema).groupBy("block", "part").applyInArrow(together, schema).groupBy("block").applyInArrow(together, schema)
+    table = np.zeros((2 * SLOTS >> 16, 1 << 16), np.uint16)
+    for r in stage(counts, "loose-counts").toArrow().to_pylist():  # 4 * SLOTS bytes in all
+        table[r["block"]] = np.frombuffer(r["counts"], np.uint16)
+    table = table.ravel()
     sent = spark.sparkContext.broadcast(table)
 
     def prefixes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,8 +4,7 @@ Tokens are runs of letters, digits or other signs (lower-cased A-Z), plus marks
 that repeats the one before. Each token has a fixed sparse ternary index vector drawn from its hash; a token's word
 vector is its index vector plus the sum of its neighbours' index vectors over all texts, scaled to length one: these are
 counts without labels, so every document adds to them, and the vocabulary is every token that occurs `least` times or more.
-The sums are integers, so they are the same in whatever order tasks finish. A first pass counts tokens roughly, never too
-few, in counters of a fixed size, so that most tokens that are too rare never have sums. Tokens outside the vocabulary use their index
+The sums are integers, so they are the same in whatever order tasks finish. Tokens outside the vocabulary use their index
 vector. Up to BROADCAST_TOKENS vectors are broadcast, those of the most frequent tokens where there are more; the texts' other
 tokens are joined with the rest. A document pools the mean and the root mean square of its tokens' vectors, with a few shape numbers; a numpy
 network (tanh layer, then logistic) is fitted on labelled rows, and a temperature fitted on a part kept aside scales its
@@ -24,7 +23,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +30,9 @@ from strider.llm.common import batches, mix, span_hashes, stage, unstage
 from strider.llm.language_id import held_out
 
 MAX_DOCS = 6_000
-SLOTS = 1 << 22  # of each of the two rows of rough counters of tokens
 LEAST = 3  # a token that occurs less often keeps its index vector
 BROADCAST_TOKENS = 1_500_000  # vectors that a model holds; how many there are is not bounded
-HELD, CELL = 64_000, 60_000  # rows that a task sums up at a time, and rows of a group, about; a worker's memory goes with them
+HELD, LATE, CELL = 160_000, 32_000, 60_000  # tokens that a task sums up at a time, those that wait, and rows of a group, about
 RANGES = 8  # of tokens, a power of two, one range's shuffle on disk at a time
 DIM, NONZERO, WINDOW, HIDDEN = 48, 6, 2, 24
 CAPITALS, REPEATED = np.uint64(0xA11CA95), np.uint64(0x2E9EA7)
@@ -100,71 +97,52 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 
 class Sums:
-    """Counts and vectors by token, summed as parts come in."""
+    """Counts and vectors by token, summed as parts come in: in place for tokens that are there, the others wait in parts of
+    LATE rows until they are put among them."""
 
-    def __init__(self):
-        self.parts, self.rows, self.tokens = [], 0, 0
+    def __init__(self, kind: type = np.int32):
+        self.w, self.n, self.v = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, DIM), kind)
+        self.late, self.waiting, self.tokens = [], 0, 0
 
     def add(self, w: np.ndarray, n: np.ndarray, v: np.ndarray) -> None:
-        self.parts.append((w, n, v))
-        self.rows += len(w)
+        """A part; a token stands in it once."""
         self.tokens += int(n.sum())
-
-    def merge(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        w, n, v = (np.concatenate(x) for x in zip(*self.parts)) if self.parts else (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, DIM), np.int64))
-        if len(self.parts) > 1:
+        if len(self.w):
+            spot = np.minimum(np.searchsorted(self.w, w), len(self.w) - 1)
+            there = self.w[spot] == w
+            self.n[spot[there]] += n[there]
+            self.v[spot[there]] += v[there].astype(self.v.dtype)
+            w, n, v = w[~there], n[~there], v[~there]
+        if len(w):
+            self.late.append((w, n, v))
+            self.waiting += len(w)
+            if self.waiting > LATE:
+                self.settle()
+
+    def settle(self) -> int:
+        """Put what waits among the rest; returns how many tokens there are."""
+        if self.late:
+            w, n, v = (np.concatenate(x) for x in zip(*self.late))
+            self.late, self.waiting = [], 0
             order = np.argsort(w, kind="stable")
             w = w[order]
             first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-            w, n, v = w[first], np.add.reduceat(n[order], first), np.add.reduceat(v[order], first, axis=0)
-        self.parts, self.rows = [(w, n, v)], len(w)
-        return w, n, v
-
-
-def slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where tokens are counted, in each of two rows of SLOTS counters."""
-    x = mix(h ^ np.uint64(0x70CE4))
-    return (x % np.uint64(SLOTS)).astype(np.int64), ((x >> np.uint64(32)) % np.uint64(SLOTS)).astype(np.int64) + SLOTS
+            n, v, w = np.add.reduceat(n[order], first), np.add.reduceat(v[order], first, axis=0, dtype=self.v.dtype), w[first]
+            at = np.searchsorted(self.w, w)
+            self.w, self.n, self.v = np.insert(self.w, at, w), np.insert(self.n, at, n), np.insert(self.v, at, v, axis=0)
+        return len(self.w)
 
+    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.settle()
+        return self.w, self.n, self.v
 
-def rough_counts(texts: DataFrame, least: int) -> np.ndarray:
-    """Counters of all tokens, each up to `least`: the lesser of a token's two is never below its count, up to that. Of a fixed
-    size whatever the texts are; they come together in two steps, so that no task gets more than about the root of the tasks' parts."""
-    block = 1 << 16
 
-    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, task = np.zeros(2 * SLOTS, np.uint32), TaskContext.get().partitionId()
-        for batch in it:
-            for _, part in batches(batch.column(0).to_pylist(), 1 << 20):
-                words, n = np.unique(tokens(part)[0], return_counts=True)
-                for x in slots(words):
-                    np.add.at(total, x, n.astype(np.uint32))
-        blocks = np.minimum(total, least).astype(np.uint8).reshape(-1, block)
-        used = np.flatnonzero(blocks.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(np.full(len(used), task // 256)), pa.array([blocks[i].tobytes() for i in used], pa.binary())], ["block", "part", "counts"])
-
-    def together(t: pa.Table) -> pa.Table:
-        total = np.zeros(block, np.uint8)
-        for x in t.column("counts"):
-            total = np.minimum(total.astype(np.int32) + np.frombuffer(x.as_buffer(), np.uint8), least).astype(np.uint8)
-        return pa.table({"block": t.column("block")[:1], "part": t.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "block long, part long, counts binary"
-    rows = texts.select("text").mapInArrow(count, schema).groupBy("block", "part").applyInArrow(together, schema).groupBy("block").applyInArrow(together, schema)
-    out = np.zeros((2 * SLOTS // block, block), np.uint8)
-    for r in stage(rows, "rough-counts").toArrow().to_pylist():  # 2 * SLOTS bytes
-        out[r["block"]] = np.frombuffer(r["counts"], np.uint8)
-    return out.ravel()
-
-
-def neighbours(part: list[bytes], counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, counts, summed index vectors of the tokens within WINDOW) of a run of texts, without tokens that are surely rare."""
+def neighbours(part: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens, counts, summed index vectors of the tokens within WINDOW) of a run of texts."""
     h, at, *_ = tokens(part)
     words, spot = np.unique(h, return_inverse=True)
-    one, two = slots(words)
-    often = np.minimum(counts[one], counts[two]) >= least
-    if not often.any():
-        return words[:0], np.empty(0, np.int64), np.empty((0, DIM), np.int32)
+    if not len(h):
+        return words, np.empty(0, np.int64), np.empty((0, DIM), np.int32)
     index = index_vectors(words)[spot]
     doc = np.repeat(np.arange(len(part)), np.diff(at))
     near = np.zeros((len(h), DIM), np.int8)  # 2 * WINDOW terms of -1, 0 or 1
@@ -172,9 +150,8 @@ def neighbours(part: list[bytes], counts: np.ndarray, least: int) -> tuple[np.nd
         same = (doc[gap:] == doc[:-gap]).astype(np.int8)[:, None]
         near[gap:] += index[:-gap] * same
         near[:-gap] += index[gap:] * same
-    here = np.flatnonzero(often[spot])
-    order = here[np.argsort(spot[here], kind="stable")]
-    words, count = words[often], np.bincount(spot, minlength=len(words))[often]
+    order = np.argsort(spot, kind="stable")
+    count = np.bincount(spot, minlength=len(words))
     starts = np.concatenate([[0], np.cumsum(count)[:-1]])
     return words, count.astype(np.int64), np.add.reduceat(near[order], starts, axis=0, dtype=np.int32)
 
@@ -190,8 +167,6 @@ def word_vectors(texts: DataFrame, least: int = LEAST) -> DataFrame:
     """(w, v, level), staged: every token of the texts that occurs `least` times or more, its packed sum of vectors, and four times
     the logarithm of its count."""
 
-    rough = min(max(least, 1), 255)  # counters are bytes; the exact counts decide in the end
-    sent = texts.sparkSession.sparkContext.broadcast(rough_counts(texts, rough))
 
     def rows_of(w: np.ndarray, n: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(w), 20_000):
@@ -201,21 +176,21 @@ def word_vectors(texts: DataFrame, least: int = LEAST) -> DataFrame:
     def gather(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums()
         for batch in it:
-            for _, part in batches(batch.column(0).to_pylist(), 1 << 20):
-                sums.add(*neighbours(part, sent.value, rough))
-                if sums.rows > 2 * HELD and len(sums.merge()[0]) > HELD or sums.tokens > 1 << 28:  # so that int32 holds the sums
-                    yield from rows_of(*sums.merge())
+            for _, part in batches(batch.column(0).to_pylist(), 1 << 18):
+                sums.add(*neighbours(part))
+                if len(sums.w) > HELD or sums.tokens > 1 << 28:  # so that int32 holds the sums
+                    yield from rows_of(*sums.all())
                     sums = Sums()
-        yield from rows_of(*sums.merge())
+        yield from rows_of(*sums.all())
 
     def total(t: pa.Table) -> pa.Table:
-        sums = Sums()
-        for b in t.to_batches(max_chunksize=50_000):
-            sums.add(b.column("w").to_numpy().view(np.uint64), b.column("n").to_numpy(), unpack(b.column("v")))
-            if sums.rows > HELD:
-                sums.merge()
-        sums.add(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, DIM), np.int64))
-        w, n, v = sums.merge()
+        sums = Sums(np.int64)
+        for b in t.to_batches(max_chunksize=20_000):
+            w, n, v = b.column("w").to_numpy().view(np.uint64), b.column("n").to_numpy(), unpack(b.column("v"))
+            order = np.argsort(w, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], w[order][1:] != w[order][:-1]]))
+            sums.add(w[order][first], np.add.reduceat(n[order], first), np.add.reduceat(v[order], first, axis=0))
+        w, n, v = sums.all()
         often = n >= least
         w, n, v = w[often], n[often], v[often]
         return pa.table({"w": pa.array(w.view(np.int64)), "v": pa.array(pack(v + index_vectors(w).astype(np.int64) * n[:, None]), pa.binary()), "level": np.floor(4 * np.log2(n)).astype(np.int32)})
