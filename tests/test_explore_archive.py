@@ -75,9 +75,9 @@ def test_airport_reduction(spark):
     assert [r.ident for r in got.collect()] == ["A"] and len(got.columns) == 8
 
 
-def tar(*members):
+def tar(*members, kind=tarfile.PAX_FORMAT):
     out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w") as t:
+    with tarfile.open(fileobj=out, mode="w", format=kind) as t:
         for name, data in members:
             info = tarfile.TarInfo(name)
             info.size = len(data)
@@ -86,21 +86,30 @@ def tar(*members):
 
 
 def test_archive(tmp_path):
-    data = tar(("./heatmap/x", b"h" * 700), ("./README.txt", b"r"), ("./traces/1c/trace_full_a.json", b"A" * 600), ("./traces/../../evil.json", b"e"), ("./traces/2d/trace_full_b.json", b"B" * 5000))
-    at = archive.find_member(lambda a, b: data[a : b + 1])
-    assert data[at:].startswith(b"./traces/1c")
-    done = archive.extract_traces(data[at : at + 512 + 1024 + 1024 + 1500], tmp_path / "t")
-    assert [p.name for p in done] == ["trace_full_a.json.gz"] and not (tmp_path.parent / "evil.json.gz").exists()
+    long = "./traces/3e/" + "deep/" * 25 + "trace_full_c.json"
+    data = tar(("./heatmap/x", b"h" * 700), ("./README.txt", b"r"), ("./traces/1c/trace_full_a.json", b"A" * 600), ("./traces/../../evil.json", b"e"), (long, b"C"), ("./traces/2d/trace_full_b.json", b"B" * 5000))
+    found = list(archive.members(archive.in_memory(data)))
+    assert [m.name for m in found][1:4:2] == ["./README.txt", "./traces/../../evil.json"] and long in [m.name for m in found]
+    assert [m.name for m in archive.members(archive.in_memory(tar((long, b"C"), kind=tarfile.GNU_FORMAT)))] == [long]
+    assert all(len(data[m.start : m.start + m.size]) == m.size and m.regular for m in found)
+    tag = "v2025.12.30-planes-readsb-prod-0"
+    release, read = archive.Release(tag, (("u", len(data)), ("v", 1000))), archive.in_memory(data)
+    at = release.traces_at(read)
+    assert data[at:].startswith(b"./traces/1c") and release.size == len(data) + 1000
+    cut = found[-1].start + 1500  # inside the last member
+    assert [p.name for p in archive.unpack(data[at:cut], tmp_path / "t")] == ["trace_full_a.json.gz", "trace_full_c.json.gz"]
+    assert (tmp_path / "t/1c/trace_full_a.json.gz").read_bytes() == b"A" * 600 and not [*tmp_path.parent.glob("evil*")]
+    assert archive.unpack(data[at : at + 100], tmp_path / "t") == [] == archive.unpack(b"x" * 2000, tmp_path / "t")
     with pytest.raises(ValueError):
-        archive.find_member(lambda a, b: tar(("./README.txt", b"r"))[a : b + 1])
+        release.traces_at(archive.in_memory(tar(("./README.txt", b"r"))))
     sizes = {archive.asset_url("t", s): n for s, n in ((".tar.aa", 5), (".tar.ab", 3))}
-    assert [n for _, n in archive.asset_parts("t", sizes.get)] == [5, 3]
-    assert [n for _, n in archive.asset_parts("t", {archive.asset_url("t", ".tar"): 9}.get)] == [9]
+    assert [n for _, n in archive.Release.find("t", sizes.get).parts] == [5, 3]
+    assert [n for _, n in archive.Release.find("t", {archive.asset_url("t", ".tar"): 9}.get).parts] == [9]
     with pytest.raises(ValueError):
-        archive.asset_parts("t", {}.get)
-    tag = "v2025.12.30-planes-readsb-prod-0"
-    region = archive.traces_region(tag, [("u", len(data)), ("v", 1000)], lambda a, b: data[a : b + 1])
-    said = archive.download_sample(tag, tmp_path / "d", fraction=0.5, region=region, read=lambda a, b: data[a : b + 1])
+        archive.Release.find("t", {}.get)
+    with pytest.raises(ValueError):
+        archive.sample(release, tmp_path / "d", share=1.5, read=read)
+    said = archive.sample(release, tmp_path / "d", share=0.5, read=read)
     assert said["release_date"] == "2025-12-30" and (tmp_path / "d" / tag / "manifest.json").exists() and said["trace_files"] >= 1
     put = []
     keys = archive.upload_raw(lambda p, k: put.append(k), tmp_path / "d", "raw", tag)
