@@ -70,20 +70,16 @@ def process_day(spark: SparkSession, raw: DataFrame, airports: DataFrame, root:
         how = {"full_rebuild": True} if full_rebuild else {"day": day}
         for name, df in build_tables(candidates, airports, own, limits).items():
             timed(name, lambda name=name, df=df: storage.publish(name, df, root, **how))
-            results = quality.validate(name, readers.read_table(spark, root, name, [day]))
-            quality.assert_valid(name, results)
-            said.tables[name] = len(results)
+            said.tables[name] = quality.require(quality.of_table(name, readers.read_table(spark, root, name, [day])))
         said.candidates = candidates.count()
     finally:
         candidates.unpersist()
     return said
 
 
-def cross_checks(spark: SparkSession, root: str) -> list[quality.CheckResult]:
-    """Conservation of observations, and children's references to flights."""
-    t = {name: readers.read_table(spark, root, name) for name in ("observations", "flights", "movements", "flight_phases", "flight_holds")}
-    children = ("observations", "movements", "flight_phases", "flight_holds")
-    return [quality.check_observations_conserved(t["observations"], t["flights"]), *[quality.check_references(t[c], t["flights"]) for c in children]]
+def cross_checks(spark: SparkSession, root: str) -> DataFrame:
+    """Findings between the published tables."""
+    return quality.between_tables({name: readers.read_table(spark, root, name) for name in ("observations", "flights", "movements", "flight_phases", "flight_holds")})
 
 
 def run(spark: SparkSession, raw_root: str, airports: DataFrame, root: str, own: scope.Scope) -> dict[str, Volumes]:
@@ -91,6 +87,6 @@ def run(spark: SparkSession, raw_root: str, airports: DataFrame, root: str, own:
     out = {}
     for i, (tag, day) in enumerate(own.releases):
         out[day] = process_day(spark, readers.read_aircraft(spark, f"{raw_root}/{tag}"), airports, root, day, own, full_rebuild=i == 0)
-    quality.assert_valid("referential integrity", cross_checks(spark, root))
+    quality.require(cross_checks(spark, root))
     storage.vacuum(spark, root)
     return out
