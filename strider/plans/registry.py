@@ -284,9 +284,9 @@ def thin_time_bucket(spark, d):
 # ---- explorer and reports ----------------------------------------------------------------------------------
 
 
-@query(f"WITH {fx.HOLDS_SQL}, h AS (SELECT CAST(unnest(range(24)) AS INTEGER) AS hour) SELECT h.hour, (SELECT COUNT(*) FROM flights WHERE departure_airport_iata = 'CAN' AND hour(departure_time) = h.hour) AS departures, (SELECT COUNT(*) FROM flights WHERE arrival_airport_iata = 'CAN' AND hour(arrival_time) = h.hour) AS arrivals FROM h")
+@query(f"WITH {fx.HOLDS_SQL}, h AS (SELECT CAST(unnest(range(24)) AS INTEGER) AS hour) SELECT h.hour, (SELECT COUNT(*) FROM flights WHERE departure_airport_iata = 'NAT' AND hour(departure_time) = h.hour) AS departures, (SELECT COUNT(*) FROM flights WHERE arrival_airport_iata = 'NAT' AND hour(arrival_time) = h.hour) AS arrivals FROM h")
 def hourly_spine(spark, d):
-    return explore.hourly_traffic(_flights(spark, d), "CAN")
+    return explore.hourly_traffic(_flights(spark, d), "NAT")
 
 
 @query(f"""WITH {fx.BASE_SQL}, c AS (SELECT registration AS value, COUNT(*) AS flights FROM base WHERE registration IS NOT NULL GROUP BY 1), r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY flights DESC, value) AS rn FROM c)
@@ -305,9 +305,9 @@ def filter_options(spark, d):
     return explore.options_for(_flights(spark, d), "departure_airport_ident", ("A007", "A003")).select("value", "rank")
 
 
-@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id FROM flights WHERE departure_airport_iata = 'CAN' OR arrival_airport_iata = 'CAN'")
+@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id FROM flights WHERE departure_airport_iata = 'NAT' OR arrival_airport_iata = 'NAT'")
 def airport_touching_flights(spark, d):
-    return explore.airport_flights(_flights(spark, d), "CAN").select("flight_id")
+    return explore.airport_flights(_flights(spark, d), "NAT").select("flight_id")
 
 
 @query(f"WITH {fx.HOLDS_SQL} SELECT COUNT(*) AS flights, COUNT(DISTINCT icao) AS aircraft, COUNT(DISTINCT airline_icao) AS airlines, COUNT(DISTINCT aircraft_type) AS aircraft_types, COUNT(*) FILTER (WHERE has_detected_hold) AS with_holds FROM flights")
