@@ -257,20 +257,47 @@ def test_audit_finds_exactly_the_damage(spark):
 def test_tree_matches_plain_python(spark):
     import hashlib
 
-    recs = warc.records(pages(spark, 40))
-    own, tree = warc.build(recs, "t", fanout=4)
-    level = [hashlib.sha256(b"\x00" + bytes(r.record)).digest() for r in recs.orderBy("id").collect()]
+    recs = warc.records(pages(spark, 40), per_file=64)
+    own, tree = warc.build(recs, "t", fanout=4, per_file=64)
+    sha = lambda kind, data: hashlib.sha256(kind + data).digest()
+    leaf = [sha(b"\x00", bytes(r.record)) for r in recs.orderBy("id").collect()]
+    level = [sha(b"\x01", sha(b"\x01", h + (1).to_bytes(8, "big"))) for h in leaf]
     while len(level) > 1:
-        level = [hashlib.sha256(b"\x01" + b"".join(level[i : i + 4])).digest() for i in range(0, len(level), 4)]
+        level = [sha(b"\x01", b"".join(level[i : i + 4])) for i in range(0, len(level), 4)]
     root = tree.orderBy(F.desc("level")).first()
     assert root.hash == level[0].hex() and root.from_offset == 0 and root.to_offset == own.agg(F.sum("length")).first()[0]
 
 
+def findings(own, other):
+    return sorted((r.page_id is None, r.page_id, r.status) for r in warc.fixity(own, other).collect() if r.status != "same")
+
+
+def test_one_loss_one_insertion_or_one_swap_is_one_finding(spark):
+    p = pages(spark, 50)
+    less = p.where("page_id <> 7")
+    assert findings(p, less) == [(False, 7, "only_own")]
+    assert findings(less, p) == [(False, 7, "only_other")]
+    got = {r.page_id: r.moved for r in warc.fixity(p, less).collect()}
+    assert all(got[i] == (i > 7) for i in range(50) if i != 7)
+    swapped = p.withColumn("page_id", F.expr("CASE page_id WHEN 3 THEN 4 WHEN 4 THEN 3 ELSE page_id END"))
+    assert findings(p, swapped) == [(False, 3, "differs"), (False, 4, "differs")]
+    assert findings(p, p.unionByName(p.where("page_id = 9"))) == [(False, 9, "copies_differ")]
+    assert findings(p, p.limit(0)) == [(False, i, "only_own") for i in range(50)]
+
+
+def test_many_records_of_one_id(spark):
+    p = spark.range(6000).select(F.lit(5).cast("long").alias("page_id"), F.lit("u").alias("url"), F.col("id").cast("string").alias("html"))
+    got = warc.fixity(p, p.where("html <> '77'")).collect()
+    assert len(got) == 6000 and [r.status for r in got if r.status != "same"] == ["only_own"]
+    ends = sorted((r.offset, r.offset + r.length) for r in got)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+
+
 def test_audit_edges(spark):
     p = spark.createDataFrame([(1, None, None), (None, "u", "x"), (None, "u", "x"), (2, "v", "y"), (2, "v", "y")], "page_id long, url string, html string").withColumn("file", F.lit("clash"))
-    assert {r.status for r in warc.fixity(p, p).collect()} == {"same"}
-    less = warc.fixity(p, p.where("page_id <> 1")).collect()
-    assert len(less) == 5 and "only_own" in {r.status for r in less}
+    got = warc.fixity(p, p).collect()
+    assert {r.status for r in got} == {"same"} and sorted(r.copies for r in got) == [1, 2, 2]
+    assert findings(p, p.where("page_id <> 1")) == [(False, 1, "only_own"), (True, None, "only_own")]
     assert warc.fixity(p.limit(0), p.limit(0)).count() == 0
 
 
