@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,10 +33,12 @@ def to_states(raw: DataFrame) -> DataFrame:
 
 
 def load_data(spark, path: str, **filters) -> DataFrame:
-    """Parquet with IN filters pushed down; an unreadable path gives an empty frame."""
+    """Parquet with IN filters pushed down; a missing path gives an empty frame."""
     try:
         df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001  as the first dashboard did: whatever is wrong, show nothing
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "timestamp timestamp")
     for column, values in filters.items():
         df = df.where(F.col(column).isin(list(values)))

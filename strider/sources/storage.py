@@ -1,7 +1,7 @@
 """Published tables as Parquet by day. Overwriting a day replaces its partition and no other.
 
-Plain Parquet has no transactions: what a transactional table would check for free is checked here before a write, and a
-full rebuild is written beside the table and moved into place. Readers during a move may see neither version.
+Plain Parquet has no transactions: what a transactional table would check for free is checked here, and every write goes
+beside the table first and is then moved into place. Readers during a move may see neither version.
 """
 
 from __future__ import annotations
@@ -41,30 +41,53 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _swap(spark: SparkSession, new: str, target: str, aside: str) -> None:
+    """Move `new` to `target`; what was there waits aside until that is done and comes back where it fails."""
+    fs, to = _fs(spark, target)
+    old = _fs(spark, aside)[1]
+    had = fs.exists(to)
+    if had:
+        fs.delete(old, True)
+        if not fs.rename(to, old):
+            raise OSError(f"{target} cannot be moved")
+    if not fs.rename(_fs(spark, new)[1], to):
+        if had:
+            fs.rename(old, to)
+        raise OSError(f"{new} cannot be moved to {target}")
+    fs.delete(old, True)
+
+
 def write_table(df: DataFrame, path: str, day: str | None = None, full_rebuild: bool = False, files_per_day: int = 1) -> None:
     """Replace one day, or, only when asked, everything. A wrong or missing day, and a changed schema, are refused.
 
-    files_per_day: days are small by scope; raise it for days that one file (and one task) cannot hold.
+    The rows are computed once, written beside the table and moved into place when the written days have been checked; no
+    rows for a day leave it as it is. files_per_day: days are small by scope; raise it for days that one file (and one task) cannot hold.
     """
     if full_rebuild == (day is not None):
         raise ValueError("give either a day or full_rebuild=True")
     spark = df.sparkSession
-    spread = (DAY,) if files_per_day == 1 else (DAY, F.floor(F.rand(7) * files_per_day))
-    if full_rebuild:
-        fs, target = _fs(spark, path)
-        _, beside = _fs(spark, f"{path}.new")
-        df.repartition(*spread).write.mode("overwrite").partitionBy(DAY).option("partitionOverwriteMode", "static").parquet(f"{path}.new")
-        fs.delete(target, True)
-        fs.rename(beside, target)
+    if day is not None:
+        day_literal(day)
+        there = live_files(spark, path)[0] and spark.read.parquet(path).schema
+        if there and not _same_fields(there, df.schema):
+            raise ValueError("the schema differs from the table's; only a full rebuild may change it")
+    tag = day or "all"
+    beside, aside = f"{path}.new-{tag}", f"{path}.old-{tag}"
+    hashed = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    spread = (DAY,) if files_per_day == 1 else (DAY, F.pmod(F.xxhash64(*hashed), F.lit(files_per_day)))
+    df.repartition(*spread).write.mode("overwrite").partitionBy(DAY).option("partitionOverwriteMode", "static").parquet(beside)
+    fs, new = _fs(spark, beside)
+    if day is None:
+        _swap(spark, beside, path, aside)
         return
-    other = df.where(~F.col(DAY).eqNullSafe(day_literal(day)))
-    if not other.isEmpty():
+    parts = [s.getPath().getName() for s in fs.listStatus(new) if s.isDirectory()]
+    if any(part != f"{DAY}={day}" for part in parts):
+        fs.delete(new, True)
         raise WrongDay(f"rows outside {day}")
-    if live_files(spark, path)[0]:
-        there = spark.read.parquet(path).schema
-        if not _same_fields(there, df.schema):
-            raise ValueError("the schema differs from the table's; only a full rebuild may change it")
-    df.repartition(*spread).write.mode("overwrite").partitionBy(DAY).option("partitionOverwriteMode", "dynamic").parquet(path)
+    fs.mkdirs(_fs(spark, path)[1])
+    for part in parts:
+        _swap(spark, f"{beside}/{part}", f"{path}/{part}", aside)
+    fs.delete(new, True)
 
 
 def publish(name: str, df: DataFrame, root: str, **how) -> None:

@@ -37,6 +37,10 @@ def test_guards(spark, tmp_path):
         with pytest.raises(ValueError):
             storage.write_table(df, path, **wrong)
     storage.write_table(df, path, day="2025-12-30")
+    with pytest.raises(storage.WrongDay):
+        storage.write_table(days(spark, ("a", 7, "2025-12-30"), ("b", 8, "2025-12-31")), path, day="2025-12-30", files_per_day=2)
+    storage.write_table(df.limit(0), path, day="2025-12-30")
+    assert [r.value for r in spark.read.parquet(path).collect()] == [1] and os.listdir(tmp_path) == ["t"]
     with pytest.raises(ValueError, match="schema"):
         storage.write_table(df.withColumn("more", F.lit(1)), path, day="2025-12-30")
     storage.write_table(df.withColumn("more", F.lit(1)), path, full_rebuild=True)
