@@ -102,7 +102,6 @@ def spans_of(text: Column, rank: int, kind: Kind, window: int, threshold: float)
         span = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("m"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<start:int,end:int,m:string>>").alias("out"))
     zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,m:string>>)").alias("out"))
     placed = F.aggregate(F.filter(joined, lambda x: x["m"].isNotNull()), zero, step)["out"]
     near = "(?i)(?<![a-z])(?:" + "|".join(kind.context) + ")(?![a-z])"
@@ -165,7 +164,7 @@ def redact(docs: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """The contract's columns: counts of the base kinds, a hash of the base spans, and all spans."""
+    """The contract's columns: counts of the base kinds, a hash of the base spans, and all spans; then the spans' scores, in their order."""
     found = find(docs.select("doc_id", "text")).select("doc_id", "pii")
     names = [k.name for k in KINDS if k.base]
     count = lambda n: F.size(F.filter("pii", lambda x: x["kind"] == n)).cast("long")
@@ -174,6 +173,7 @@ def digest(docs: DataFrame) -> DataFrame:
         *[count(n).alias(f"n_{n}") for n in names],
         F.sha2(listed(F.filter("pii", lambda x: x["kind"].isin(names))).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("pii")).alias("spans"),
+        F.array_join(F.transform("pii", lambda x: x["score"].cast("decimal(3,2)").cast("string")), ",").alias("scores"),
     )
 
 
