@@ -28,10 +28,31 @@ SELECT {parent}, CASE WHEN mm * (1 - mm) > 0 AND nn / g > 1 THEN ((ss / nn) * (n
 SELECT {parent}, SUM(n * (bad / n - m) * (bad / n - m)) AS ss, SUM(n) AS nn, COUNT(*) AS g, MAX(m) AS mm FROM ({source}) GROUP BY 1))"""
 
 
+_WORDS_BAD = "['adult', 'ads', 'bets', 'casino', 'pills', 'poker', 'porn', 'spam', 'viagra', 'xxx']"
+_SHARED, _ADDRESS = r"'(^|\.)(ac|co|com|edu|gov|net|org)\.[a-z]{2}$'", r"'^[0-9]+(\.[0-9]+){3}$|^\['"
+
+
+def _bad_words(column: str) -> str:
+    return f"len(list_intersect(list_distinct(regexp_split_to_array(translate(coalesce({column}, ''), {_LOWER}), '[^a-z]+')), {_WORDS_BAD}))"
+
+
+def _last(n: int) -> str:
+    return f"array_to_string(string_split(name, '.')[-{n}:], '.')"
+
+
+#: The standard normal distribution's 0.1 quantile.
+_Z = "CAST(-1.2815515655446008 AS DOUBLE)"
+_BOUND = f"""greatest(0, least(a / n, a / n + sqrt(a * b / (n + 1)) / n * ({_Z} + ({_Z} * {_Z} - 1) / 6 * skew
+  + (pow({_Z}, 3) - 3 * {_Z}) / 24 * (6 * ((a - b) * (a - b) * (n + 1) - a * b * (n + 2)) / (a * b * (n + 2) * (n + 3))) - (2 * pow({_Z}, 3) - 5 * {_Z}) / 36 * skew * skew)))"""
+
 _POST = "(h.bad + m * s) AS alpha, (h.n - h.bad + (1 - m) * s) AS beta"
-OP3 = rf"""WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {_LOWER}) AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+OP3 = rf"""WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {_LOWER}) AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+  CASE WHEN {_bad_words("url")} > 0 OR {_bad_words("html")} >= 3 THEN 1 ELSE 0 END AS bad FROM pages),
+v AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), '\.*(:[0-9]*)?$', '') AS name FROM u),
+p AS (SELECT *, CASE WHEN regexp_matches(name, {_ADDRESS}) THEN name WHEN regexp_matches(name, {_SHARED}) THEN {_last(3)} ELSE {_last(2)} END AS domain,
+  CASE WHEN regexp_matches(name, {_ADDRESS}) THEN '(address)' WHEN regexp_matches(name, {_SHARED}) THEN {_last(2)} ELSE {_last(1)} END AS suffix FROM v),
 r AS (SELECT *, {_case(lambda h, p, v: h + p)} AS rule, {_case(lambda h, p, v: v)} AS ruled FROM p),
-hosts AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix, CAST(COUNT(*) FILTER (WHERE ruled = 'block') AS DOUBLE) AS bad, CAST(COUNT(*) AS DOUBLE) AS n FROM r WHERE ruled IS NOT NULL GROUP BY 1),
+hosts AS (SELECT name, domain, suffix, CAST(SUM(bad) AS DOUBLE) AS bad, CAST(COUNT(*) AS DOUBLE) AS n FROM r GROUP BY 1, 2, 3),
 domains AS (SELECT domain, suffix, SUM(bad) AS bad, SUM(n) AS n FROM hosts GROUP BY 1, 2), suffixes AS (SELECT suffix, SUM(bad) AS bad, SUM(n) AS n FROM domains GROUP BY 1),
 root AS (SELECT (coalesce(SUM(bad), 0) + 1.0::DOUBLE) / (coalesce(SUM(n), 0) + 2.0::DOUBLE) AS m FROM suffixes),
 rs AS ({_strength("k", "SELECT 0 AS k, bad, n, m FROM suffixes, root")}),
@@ -39,12 +60,10 @@ ps AS (SELECT suffix, {_POST} FROM suffixes h, root, rs), ms AS (SELECT suffix,
 ss AS ({_strength("suffix", "SELECT d.suffix, bad, n, m FROM domains d JOIN ms USING (suffix)")}), sp AS (SELECT suffix, m, s FROM ms JOIN ss USING (suffix)),
 pd AS (SELECT domain, {_POST} FROM domains h JOIN sp USING (suffix)), md AS (SELECT domain, alpha / (alpha + beta) AS m FROM pd),
 ds AS ({_strength("domain", "SELECT h.domain, bad, n, m FROM hosts h JOIN md USING (domain)")}), dp AS (SELECT domain, m, s FROM md JOIN ds USING (domain)),
-ph AS (SELECT host, {_POST} FROM hosts h JOIN dp USING (domain)),
-q AS (SELECT r.*, coalesce(ph.alpha, dp.m * dp.s, sp.m * sp.s, root.m * coalesce(rs.s, 2.0)) AS alpha, coalesce(ph.beta, (1 - dp.m) * dp.s, (1 - sp.m) * sp.s, (1 - root.m) * coalesce(rs.s, 2.0)) AS beta
-  FROM r LEFT JOIN ph USING (host) LEFT JOIN dp ON dp.domain = array_to_string(string_split(r.host, '.')[-2:], '.') LEFT JOIN sp ON sp.suffix = string_split(r.host, '.')[-1] CROSS JOIN root LEFT JOIN rs ON true),
-z AS (SELECT *, alpha / (alpha + beta) AS mean FROM q),
-y AS (SELECT *, round(mean, 6) AS rate, round(mean - sqrt(mean * (1 - mean) / (alpha + beta + 1)), 6) AS bound FROM z)
-SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN bound > 0.6 THEN 'block' ELSE 'allow' END) AS verdict, CASE WHEN ruled IS NULL THEN rate END AS bad_rate, CASE WHEN ruled IS NULL THEN bound END AS bad_bound FROM y"""
+ph AS (SELECT name, {_POST} FROM hosts h JOIN dp USING (domain)),
+z AS (SELECT name, alpha AS a, beta AS b, alpha + beta AS n, 2 * (beta - alpha) * sqrt(alpha + beta + 1) / ((alpha + beta + 2) * sqrt(alpha * beta)) AS skew FROM ph),
+y AS (SELECT name, round(a / n, 6) AS rate, round({_BOUND}, 6) AS bound FROM z)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN bound > 0.6 THEN 'block' ELSE 'allow' END) AS verdict, CASE WHEN ruled IS NULL THEN rate END AS bad_rate, CASE WHEN ruled IS NULL THEN bound END AS bad_bound FROM r JOIN y USING (name)"""
 
 OP9 = f"""WITH RECURSIVE s AS ({_shingles("documents", "doc_id")}), n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY 1),
 c AS (SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.width = b.width AND a.doc_id < b.doc_id GROUP BY 1, 2),

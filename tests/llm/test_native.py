@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -144,3 +145,42 @@ def test_reputation_without_labels(spark, pairs):
     pages = spark.createDataFrame([(1, "http://q.net/")], "page_id long, url string")
     labelled = spark.createDataFrame(pairs, "host string, bad int").where("bad IS NOT NULL")
     assert url_filters.judge(pages, labelled=labelled).first().verdict == "allow"
+
+
+@pytest.mark.parametrize(("a", "b"), [(6.0, 1.0), (20.5, 1.2), (12.0, 9.0), (3.0, 40.0), (400.0, 100.0), (0.05, 3.0)])
+def test_bound_against_a_summed_density(spark, a, b):
+    """The quantile of beta(a, b) from its density, summed over a fine grid in the log-odds, where it has no pole."""
+    t = np.linspace(-60, 60, 400_001)
+    x = 1 / (1 + np.exp(-t))
+    logs = -a * np.logaddexp(0, -t) - b * np.logaddexp(0, t)
+    mass = np.cumsum(np.exp(logs - logs.max()))
+    want = x[np.searchsorted(mass, 0.1 * mass[-1])]
+    got = spark.range(1).select(url_filters.lower_bound(F.lit(a), F.lit(b), 0.9).alias("q")).first().q
+    assert abs(got - want) < 0.03
+
+
+def test_names_domains_and_suffixes(spark):
+    hosts = ["u:p@a.x.com:8080", "shop.b.co.uk.", "co.uk", "10.0.0.1:80", "[::1]:443", "", "localhost", "a.b.org"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").select(url_filters.name_of(F.col("host")).alias("n"))
+    got = [tuple(r) for r in df.select("n", url_filters.domain_of(F.col("n")), url_filters.suffix_of(F.col("n"))).collect()]
+    assert got == [
+        ("a.x.com", "x.com", "com"), ("shop.b.co.uk", "b.co.uk", "co.uk"), ("co.uk", "co.uk", "co.uk"), ("10.0.0.1", "10.0.0.1", "(address)"),
+        ("[::1]", "[::1]", "(address)"), ("", "", ""), ("localhost", "localhost", "localhost"), ("a.b.org", "b.org", "org"),
+    ]
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_outcomes_of_pages_decide_without_rules(spark, monkeypatch, most):
+    """Both ways of joining; a host of many unwanted pages is blocked, copies and null columns are judged, other columns go."""
+    monkeypatch.setattr(url_filters, "BROADCAST_HOSTS", most)
+    monkeypatch.setattr(url_filters, "HOT_SHARE", 3)
+    rows = [(i, "http://casino-x.site.net/en/1", "<p>fine</p>") for i in range(40)] + [(40 + i, f"http://h{i % 7}.good.net/en/", "casino <p>" + "word " * 50_000) for i in range(14)]
+    rows += [(60 + i, "http://odd.page.net/", "<b>Casino</b> poker, PILLS") for i in range(30)] + [(99, None, None), (99, None, None)]
+    pages = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, name string, `count` int")
+    got = sorted((r.page_id, r.verdict) for r in url_filters.judge(pages).collect())
+    assert got == sorted((i, "block" if i < 40 or 60 <= i < 90 else "allow") for i, *_ in rows)
+
+
+def test_scores_follow_spans(spark):
+    row = pii.digest(frame(spark, ["mail a@b.cd or +49 30 1234567 89"])).first()
+    assert row.spans.split(",")[0].startswith("email:") and len(row.scores.split(",")) == len(row.spans.split(",")) and row.scores.split(",")[0] == "1.00"
