@@ -103,10 +103,10 @@ def _minutes():
     return (F.max(at) - F.min(at)) / 60e6
 
 
-def taxi_minutes(df: DataFrame) -> DataFrame:
-    """Taxi stretches of more than one and under 120 minutes."""
+def taxi_minutes(df: DataFrame, gap_seconds: int = 300, below: int = 120) -> DataFrame:
+    """Taxi stretches of more than one and under `below` minutes."""
     known = df.dropna(subset=["timestamp", "callsign", "phase"])
-    return segments(known).where("phase = 'TAXI'").groupBy("callsign", "segment_id").agg(F.round(_minutes(), 6).alias("minutes")).where("minutes > 1 AND minutes < 120")
+    return segments(known, gap_seconds).where("phase = 'TAXI'").groupBy("callsign", "segment_id").agg(F.round(_minutes(), 6).alias("minutes")).where((F.col("minutes") > 1) & (F.col("minutes") < below))
 
 
 def longest_level_offs(df: DataFrame, n: int = 15) -> DataFrame:

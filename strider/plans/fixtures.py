@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from strider.operators import decode
 #: The events are hours apart, so the windows are wide; every other threshold is the default.
 WIDE = Thresholds(gap_seconds=86_400, smoothing_seconds=43_200, turn_window_seconds=86_400, max_step_gap_seconds=86_400, max_span_km=1e6, max_altitude_range_ft=1e9)
 
+#: The same with limits that some of the events' holds exceed.
+NARROW = replace(WIDE, max_span_km=9.0, max_altitude_range_ft=5000.0)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -144,7 +149,7 @@ changes AS (SELECT *, CASE WHEN phase = LAG(phase) OVER (PARTITION BY flight_id
 runs AS (SELECT *, SUM(fresh) OVER (PARTITION BY flight_id ORDER BY observation_seq ROWS UNBOUNDED PRECEDING) AS run_no FROM changes),
 phases AS (SELECT flight_id, run_no, MAX(phase) AS phase, MIN(event_time) AS start_time, MAX(event_time) AS end_time, MAX(sec) - MIN(sec) AS duration_seconds, COUNT(*) AS n_observations,
   arg_min_null(altitude_ft, event_time) AS start_altitude_ft, arg_max_null(altitude_ft, event_time) AS end_altitude_ft, MIN(altitude_ft) AS min_altitude_ft, MAX(altitude_ft) AS max_altitude_ft,
-  MAX(release_date) AS release_date FROM runs GROUP BY 1, 2)"""
+  round(AVG(ground_speed_kt), 1) AS avg_ground_speed_kt, round(AVG(climb), 1) AS avg_vertical_rate_fpm, MAX(release_date) AS release_date FROM runs GROUP BY 1, 2)"""
 
 HOLDS_SQL = f"""{MOVES_SQL},
 steps AS (SELECT flight_id, event_time, sec, observation_seq, latitude, longitude, altitude_ft, track_deg, release_date,
@@ -155,10 +160,13 @@ circling AS (SELECT *, CASE WHEN abs(turned) >= 360 THEN 1 ELSE 0 END AS c FROM
 c_runs AS (SELECT *, SUM(fresh) OVER (PARTITION BY flight_id ORDER BY observation_seq ROWS UNBOUNDED PRECEDING) AS run_no FROM
   (SELECT *, CASE WHEN c = LAG(c) OVER (PARTITION BY flight_id ORDER BY observation_seq) THEN 0 ELSE 1 END AS fresh FROM circling)),
 candidates AS (SELECT flight_id, MIN(event_time) AS hold_start, MAX(event_time) AS hold_end, MAX(sec) - MIN(sec) AS duration_seconds, COUNT(*) AS n_observations,
-  MIN(altitude_ft) AS min_altitude_ft, MAX(altitude_ft) AS max_altitude_ft, round(MAX(abs(turned)) / 360, 4) AS circuits, MAX(step) AS max_sample_gap_seconds, MAX(release_date) AS release_date
+  MIN(altitude_ft) AS min_altitude_ft, MAX(altitude_ft) AS max_altitude_ft, round(AVG(altitude_ft)) AS mean_altitude_ft, round(AVG(latitude), 5) AS centroid_latitude, round(AVG(longitude), 5) AS centroid_longitude,
+  round(sqrt(pow((MAX(latitude) - MIN(latitude)) * 111.32::DOUBLE, 2) + pow((MAX(longitude) - MIN(longitude)) * 111.32::DOUBLE * cos(radians(AVG(latitude))), 2)), 2) AS span_km,
+  round(arg_max(turned, abs(turned) * 1e6 + turned)::DOUBLE, 1) AS turn_degrees, round(MAX(abs(turned)) / 360.0::DOUBLE, 1) AS circuits, MAX(step) AS max_sample_gap_seconds, MAX(release_date) AS release_date
   FROM c_runs WHERE c = 1 GROUP BY flight_id, run_no),
-holds AS (SELECT c.*, CAST(ROW_NUMBER() OVER (PARTITION BY c.flight_id ORDER BY hold_start) AS INTEGER) AS hold_seq, p.arrival_airport_ident, p.arrival_airport_iata
-  FROM candidates c LEFT JOIN pivoted p USING (flight_id) WHERE duration_seconds >= 240),
+long_enough AS (SELECT c.*, p.arrival_airport_ident, p.arrival_airport_iata, round({km_sql("c.centroid_latitude", "c.centroid_longitude", "a.latitude_deg", "a.longitude_deg")}, 1) AS distance_to_arrival_airport_km
+  FROM candidates c LEFT JOIN pivoted p USING (flight_id) LEFT JOIN airports a ON a.ident = p.arrival_airport_ident WHERE duration_seconds >= 240),
+holds AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY flight_id ORDER BY hold_start) AS INTEGER) AS hold_seq FROM long_enough),
 rollup_h AS (SELECT flight_id, COUNT(*) AS n, CAST(SUM(duration_seconds) AS BIGINT) AS s FROM holds GROUP BY 1),
 flights AS (SELECT b.*, CAST(b.first_seen_time AS DATE) AS flight_date, CASE WHEN regexp_matches(b.callsign, '^[A-Z]{{3}}[0-9][0-9A-Z]*$') THEN b.callsign[1:3] END AS airline_icao,
   p.* EXCLUDE (flight_id), COALESCE(h.n, 0) AS n_detected_holds, COALESCE(h.n, 0) > 0 AS has_detected_hold, COALESCE(h.s, 0) AS total_hold_seconds

@@ -6,6 +6,7 @@ the feature. Doubles are rounded where two engines may add in another order.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -101,9 +102,8 @@ SELECT icao, CAST(hour AS BIGINT) AS event_epoch, latitude, on_ground, altitude_
 """
 
 
-@query(_TRACES)
-def dedup_winner(spark, d):
-    """Raw traces, one row for each aircraft, through decode(): points fall on whole hours, so that many collide."""
+def _raw(spark, d) -> DataFrame:
+    """Raw traces, one row for each aircraft: points fall on whole hours, so that many collide."""
     k = F.get_json_object("props", "$.k").cast("int")
     text = lambda c: c.cast("string")
     point = F.array(
@@ -114,11 +114,34 @@ def dedup_winner(spark, d):
     e = fx.table(spark, d, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("icao"), "event_id", point.alias("p"))
     raw = e.groupBy("icao").agg(F.array_sort(F.collect_list(F.struct("event_id", "p"))).alias("t"))
     none = F.lit(None).cast("string")
-    raw = raw.select("icao", none.alias("r"), none.alias("t"), none.alias("ownOp"), F.lit(0.0).alias("timestamp"), F.col("t.p").alias("trace"))
-    out = decode.decode(raw, path=F.lit("s/v2024.01.01-x/traces/00/a.json.gz"))
+    return raw.select("icao", none.alias("r"), none.alias("t"), none.alias("ownOp"), F.lit(0.0).alias("timestamp"), F.col("t.p").alias("trace"))
+
+
+_PATH = "s/v2024.01.01-x/traces/00/a.json.gz"
+
+
+@query(_TRACES)
+def dedup_winner(spark, d):
+    out = decode.decode(_raw(spark, d), path=F.lit(_PATH))
     return out.select("icao", F.unix_timestamp("event_time").alias("event_epoch"), "latitude", "on_ground", "altitude_ft", "ground_speed_kt", "track_deg", "callsign")
 
 
+@query("SELECT COUNT(*) AS raw_points, COUNT(DISTINCT (user_id, CAST(floor(epoch(ts)) AS BIGINT) // 3600)) AS observations, COUNT(*) - COUNT(DISTINCT (user_id, CAST(floor(epoch(ts)) AS BIGINT) // 3600)) AS dropped FROM events")
+def points_dropped(spark, d):
+    raw = _raw(spark, d)
+    return quality.points_dropped(raw, decode.decode(raw, path=F.lit(_PATH)))
+
+
+@query(f"""WITH t AS ({_TRACES}), g AS (SELECT *, CASE WHEN event_epoch - LAG(event_epoch) OVER w <= 86400 THEN 0 ELSE 1 END AS fresh FROM t WINDOW w AS (PARTITION BY icao ORDER BY event_epoch)),
+n AS (SELECT *, SUM(fresh) OVER (PARTITION BY icao ORDER BY event_epoch ROWS UNBOUNDED PRECEDING) AS segment_no FROM g)
+SELECT icao || '_' || strftime(make_timestamp(MIN(event_epoch) * 1000000), '%Y%m%d%H%M%S') AS flight_id, icao, COUNT(*) AS n_observations, MAX(event_epoch) - MIN(event_epoch) AS duration_seconds,
+  arg_min(callsign, event_epoch) FILTER (WHERE callsign IS NOT NULL) AS callsign, MAX(altitude_ft) AS max_altitude_ft, MAX(ground_speed_kt) AS max_ground_speed_kt, bool_or(on_ground) AS saw_ground FROM n GROUP BY icao, segment_no""")
+def decoded_flights(spark, d):
+    """From raw traces to flights: decode, segment, number, aggregate."""
+    observed = decode.assign_flights(decode.decode(_raw(spark, d), path=F.lit(_PATH)), fx.WIDE.gap_seconds)
+    return flights.aggregate_flights(observed).select("flight_id", "icao", "n_observations", "duration_seconds", "callsign", "max_altitude_ft", "max_ground_speed_kt", "saw_ground")
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CASE WHEN event_type = 'click' THEN 'SWR' END AS airline FROM events")
 def json_props_extract(spark, d):
     e = fx.table(spark, d, "events")
@@ -137,9 +160,22 @@ def exists_array_filter(spark, d):
 # ---- flights and movements ---------------------------------------------------------------------------------
 
 
-@query(f"WITH {fx.BASE_SQL} SELECT * EXCLUDE (first_latitude, first_longitude, last_latitude, last_longitude) FROM base")
+def rounded(df: DataFrame, *names: str) -> DataFrame:
+    """The frame with these doubles rounded, beyond what the order of additions or a library's sine changes."""
+    return df.withColumns({n: F.round(n, 6) for n in names})
+
+
+def rounded_sql(*names: str) -> str:
+    return "* REPLACE (" + ", ".join(f"round({n}, 6) AS {n}" for n in names) + ")"
+
+
+_ENDS = ("first_latitude", "first_longitude", "last_latitude", "last_longitude")
+_KM = ("departure_distance_km", "arrival_distance_km")
+
+
+@query(f"WITH {fx.BASE_SQL} SELECT {rounded_sql(*_ENDS)} FROM base")
 def session_aggregate(spark, d):
-    return _base(spark, d).drop("first_latitude", "first_longitude", "last_latitude", "last_longitude")
+    return rounded(_base(spark, d), *_ENDS)
 
 
 @query(f"WITH {fx.BASE_SQL} SELECT flight_id, callsign, n_callsigns, CASE WHEN regexp_matches(callsign, '^[A-Z]{{3}}[0-9][0-9A-Z]*$') THEN callsign[1:3] END AS airline_icao FROM base")
@@ -165,17 +201,14 @@ def union_all_endpoints(spark, d):
     return movements.endpoints(_base(spark, d)).groupBy("movement_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("flight_id").alias("flights"))
 
 
-@query(f"WITH {fx.MOVES_SQL} SELECT * EXCLUDE (departure_distance_km, arrival_distance_km) FROM pivoted")
+@query(f"WITH {fx.MOVES_SQL} SELECT {rounded_sql(*_KM)} FROM pivoted")
 def movement_pivot(spark, d):
-    return flights.movement_pivot(_moves(spark, d)).drop("departure_distance_km", "arrival_distance_km")
+    return rounded(flights.movement_pivot(_moves(spark, d)), *_KM)
 
 
-_FLIGHT = [c for c in flights.FLIGHT if not c.endswith(("latitude", "longitude", "distance_km"))]
-
-
-@query(f"WITH {fx.HOLDS_SQL} SELECT {', '.join(_FLIGHT)} FROM flights")
+@query(f"WITH {fx.HOLDS_SQL}, f AS (SELECT {', '.join(flights.FLIGHT)} FROM flights) SELECT {rounded_sql(*_ENDS, *_KM)} FROM f")
 def flights_table(spark, d):
-    return _flights(spark, d).select(*_FLIGHT)
+    return rounded(_flights(spark, d), *_ENDS, *_KM)
 
 
 _OPS = "operations_date, airport_ident, airport_iata, airport_name, airport_type, iso_country, arrivals, departures, total_operations, unique_aircraft, first_operation_time, last_operation_time, release_tag, release_date, metric_source"
@@ -214,7 +247,7 @@ def phase_labels(spark, d):
 
 @query(f"WITH {fx.PHASES_SQL} SELECT * EXCLUDE (run_no), CAST(ROW_NUMBER() OVER (PARTITION BY flight_id ORDER BY start_time) AS INTEGER) AS phase_seq FROM phases")
 def phase_intervals(spark, d):
-    return _phases(spark, d).drop("avg_ground_speed_kt", "avg_vertical_rate_fpm")
+    return _phases(spark, d)
 
 
 @query(f"WITH {fx.PHASES_SQL} SELECT phase, COUNT(*) AS intervals, COUNT(DISTINCT flight_id) AS flights, quantile_disc(duration_seconds, 0.5) AS median_seconds, round(avg(n_observations), 1) AS avg_observations FROM phases GROUP BY 1")
@@ -232,20 +265,45 @@ def turn_window(spark, d):
     return holds.turn_in_window(_obs(spark, d), fx.WIDE).select("flight_id", "observation_seq", "counted_turn", "turn_in_window_degrees")
 
 
-@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id, hold_start, hold_end, duration_seconds, n_observations, min_altitude_ft, max_altitude_ft, max_sample_gap_seconds, release_date FROM candidates")
+@query(f"WITH {fx.HOLDS_SQL} SELECT * FROM candidates")
 def hold_candidates(spark, d):
-    df = holds.detect_hold_candidates(_obs(spark, d), fx.WIDE)
-    return df.select("flight_id", "hold_start", "hold_end", "duration_seconds", "n_observations", "min_altitude_ft", "max_altitude_ft", "max_sample_gap_seconds", "release_date")
+    return holds.detect_hold_candidates(_obs(spark, d), fx.WIDE)
 
 
-@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id, hold_seq, hold_start, hold_end, duration_seconds, arrival_airport_ident, arrival_airport_iata FROM holds")
+@query(f"WITH {fx.HOLDS_SQL} SELECT {', '.join(holds.HOLD)} FROM holds")
 def flight_holds(spark, d):
-    return _holds(spark, d).select("flight_id", "hold_seq", "hold_start", "hold_end", "duration_seconds", "arrival_airport_ident", "arrival_airport_iata")
+    return _holds(spark, d)
+
+
+_LIMITED = f"WHERE span_km <= {fx.NARROW.max_span_km} AND max_altitude_ft - min_altitude_ft <= {fx.NARROW.max_altitude_range_ft}"
+
 
+@query(f"WITH {fx.HOLDS_SQL} SELECT flight_id, CAST(ROW_NUMBER() OVER (PARTITION BY flight_id ORDER BY hold_start) AS INTEGER) AS hold_seq, hold_start, span_km, min_altitude_ft, max_altitude_ft FROM long_enough {_LIMITED}")
+def hold_limits(spark, d):
+    """Holds within limits of span and level that others exceed."""
+    found = holds.to_flight_holds(_obs(spark, d), flights.movement_pivot(_moves(spark, d)), fx.airports(spark, d), fx.NARROW)
+    return found.select("flight_id", "hold_seq", "hold_start", "span_km", "min_altitude_ft", "max_altitude_ft")
 
-@query(f"WITH {fx.HOLDS_SQL} SELECT CASE WHEN arrival_airport_ident IS NULL THEN 'airport unknown' ELSE 'terminal area (<50 km)' END AS where_held, COUNT(*) AS holds FROM holds GROUP BY 1")
+
+def _quantiles(column: str, name: str) -> str:
+    return ", ".join(f"quantile_disc({column}, {q}) AS {name}_p{int(q * 100)}" for q in (0.5, 0.9))
+
+
+_SHAPE = {"duration": "duration_seconds", "span": "span_km", "circuits": "circuits", "altitude": "mean_altitude_ft"}
+
+
+@query(f"WITH {fx.HOLDS_SQL} SELECT COUNT(*) AS holds, {', '.join(_quantiles(c, n) for n, c in _SHAPE.items())}, round(100.0 * COUNT(arrival_airport_ident) / COUNT(*), 1) AS with_arrival_pct FROM holds")
+def hold_shape(spark, d):
+    q = [F.col(n)[i].alias(f"{n}_p{p}") for n in _SHAPE for i, p in enumerate((50, 90))]
+    return holds.hold_shape(_holds(spark, d)).select("holds", *q, "with_arrival_pct")
+
+
+@query(f"""WITH {fx.HOLDS_SQL}, far AS (SELECT distance_to_arrival_airport_km + CAST(hour(hold_start) % 3 * 75 AS DOUBLE) AS km FROM holds)
+SELECT CASE WHEN km IS NULL THEN 'airport unknown' WHEN km < 50 THEN 'terminal area (<50 km)' WHEN km < 150 THEN 'near (50-150 km)' ELSE 'en route (>150 km)' END AS where_held, COUNT(*) AS holds FROM far GROUP BY 1""")
 def hold_distance_buckets(spark, d):
-    return holds.hold_distance_buckets(_holds(spark, d))
+    """The fixture's holds all lie near their airport, so that some are moved away from it first."""
+    moved = _holds(spark, d).withColumn("distance_to_arrival_airport_km", F.col("distance_to_arrival_airport_km") + F.hour("hold_start") % 3 * 75)
+    return holds.hold_distance_buckets(moved)
 
 
 @query("""WITH g AS (SELECT user_id, event_type, ts, event_id, CASE WHEN event_type = LAG(event_type) OVER w THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
@@ -315,9 +373,9 @@ def explorer_kpis(spark, d):
     return explore.explorer_kpis(_flights(spark, d))
 
 
-@query(f"WITH {fx.HOLDS_SQL} SELECT CAST(SUM(total_operations) AS BIGINT) AS operations, CAST(SUM(arrivals) AS BIGINT) AS arrivals, CAST(SUM(departures) AS BIGINT) AS departures, CAST(SUM(flights_with_detected_holds) AS BIGINT) AS holding_flights, round(SUM(flights_with_detected_holds) / SUM(arrivals), 6) AS hold_share FROM ops_h WHERE airport_ident = 'A003'")
+@query(f"WITH {fx.HOLDS_SQL} SELECT CAST(SUM(total_operations) AS BIGINT) AS operations, CAST(SUM(arrivals) AS BIGINT) AS arrivals, CAST(SUM(departures) AS BIGINT) AS departures, CAST(SUM(flights_with_detected_holds) AS BIGINT) AS holding_flights, round(SUM(flights_with_detected_holds) / SUM(arrivals), 6) AS hold_share, round(AVG(round(ad)), 6) AS mean_hold_seconds FROM ops_h WHERE airport_ident = 'A003'")
 def airport_kpis(spark, d):
-    return explore.airport_kpis(movements.to_airport_operations(_moves(spark, d), _holds(spark, d)), "A003").drop("mean_hold_seconds")
+    return explore.airport_kpis(movements.to_airport_operations(_moves(spark, d), _holds(spark, d)), "A003")
 
 
 @query(f"""WITH {fx.HOLDS_SQL} SELECT flight_id, COALESCE(callsign, icao) AS callsign, COALESCE(departure_airport_iata, '—') AS dep,
@@ -339,16 +397,16 @@ def trajectory_fetch(spark, d):
     return load_trajectories(o, list(ends), ["2024-01-03", "2024-01-04"]).select("flight_id", "observation_seq", "event_time")
 
 
-@query(f"WITH {fx.MOVES_SQL} SELECT flight_id, movement_type, event_time AS movement_time, ident AS airport_ident, iata_code AS airport_iata, airport_name, iso_country, release_date, '{explore.TRACK_DATA_SOURCE}' AS data_source FROM moves")
+@query(f"WITH {fx.MOVES_SQL} SELECT flight_id, movement_type, event_time AS movement_time, ident AS airport_ident, iata_code AS airport_iata, airport_name, iso_country, round(distance_km, 2) AS distance_km, release_date, '{explore.TRACK_DATA_SOURCE}' AS data_source FROM moves")
 def report_movements(spark, d):
-    return explore.with_source(explore.report_movements(_moves(spark, d)).drop("distance_km"))
+    return explore.with_source(explore.report_movements(_moves(spark, d)))
 
 
 @query(f"""WITH {fx.HOLDS_SQL} SELECT (SELECT COUNT(*) FROM moves) AS operations, (SELECT COUNT(*) FROM moves WHERE movement_type = 'arrival') AS arrivals, (SELECT COUNT(*) FROM moves WHERE movement_type = 'departure') AS departures,
 (SELECT COUNT(DISTINCT icao) FROM flights) AS unique_aircraft, (SELECT COUNT(*) FROM flights) AS flights, COUNT(*) AS detected_holds, COUNT(DISTINCT flight_id) AS flights_with_holds, round(AVG(duration_seconds), 6) AS avg_hold_seconds,
-CAST(SUM(duration_seconds) AS BIGINT) AS total_hold_seconds, round(COUNT(DISTINCT flight_id) / (SELECT COUNT(*) FROM moves WHERE movement_type = 'arrival'), 6) AS hold_rate FROM holds""")
+CAST(SUM(duration_seconds) AS BIGINT) AS total_hold_seconds, round(AVG(circuits), 6) AS avg_circuits, round(COUNT(DISTINCT flight_id) / (SELECT COUNT(*) FROM moves WHERE movement_type = 'arrival'), 6) AS hold_rate FROM holds""")
 def report_measures(spark, d):
-    return explore.measures(_moves(spark, d), _flights(spark, d), _holds(spark, d)).drop("avg_circuits")
+    return explore.measures(_moves(spark, d), _flights(spark, d), _holds(spark, d))
 
 
 @query(f"WITH {fx.MOVES_SQL} SELECT CAST(hour(event_time) AS INTEGER) AS hour, COUNT(*) FILTER (WHERE movement_type = 'departure') AS departure, COUNT(*) FILTER (WHERE movement_type = 'arrival') AS arrival FROM moves GROUP BY 1")
@@ -376,9 +434,9 @@ def duration_histogram(spark, d):
     return explore.duration_histogram(_holds(spark, d), 3600)
 
 
-@query(f"WITH {fx.HOLDS_SQL} SELECT arrival_airport_ident, COUNT(*) AS holds, round(avg(duration_seconds), 6) AS avg_seconds FROM holds GROUP BY 1")
+@query(f"WITH {fx.HOLDS_SQL} SELECT arrival_airport_ident, COUNT(*) AS holds, round(avg(circuits), 6) AS avg_circuits, round(avg(duration_seconds), 6) AS avg_seconds FROM holds GROUP BY 1")
 def circuits_by_airport(spark, d):
-    return explore.circuits_by_airport(_holds(spark, d)).drop("avg_circuits")
+    return explore.circuits_by_airport(_holds(spark, d))
 
 
 @query(f"WITH {fx.OBS_SQL} SELECT COUNT(DISTINCT icao) AS aircraft, COUNT(DISTINCT callsign) AS callsigns, MIN(event_time) AS first_seen, MAX(event_time) AS last_seen FROM obs")
@@ -386,9 +444,14 @@ def profile_totals(spark, d):
     return explore.profile_totals(_obs(spark, d))
 
 
-@query(f"WITH {fx.OBS_SQL} SELECT on_ground, COUNT(*) AS reports FROM obs GROUP BY 1")
+@query(f"WITH {fx.OBS_SQL} SELECT on_ground, COUNT(*) AS reports, round(AVG(altitude_ft), 0) AS avg_altitude_ft FROM obs GROUP BY 1")
 def profile_by_ground(spark, d):
-    return explore.profile_by_ground(_obs(spark, d)).select("on_ground", "reports")
+    return explore.profile_by_ground(_obs(spark, d))
+
+
+@query(f"WITH {fx.OBS_SQL} SELECT {', '.join(f'round({e}, 6) AS {n}' for e, n in (('MIN(latitude)', 'south'), ('MAX(latitude)', 'north'), ('MIN(longitude)', 'west'), ('MAX(longitude)', 'east'), ('(MIN(latitude) + MAX(latitude)) / 2', 'mid_latitude'), ('(MIN(longitude) + MAX(longitude)) / 2', 'mid_longitude')))} FROM obs")
+def map_frame(spark, d):
+    return rounded(explore.map_frame(_obs(spark, d)), "south", "north", "west", "east", "mid_latitude", "mid_longitude")
 
 
 @query(f"WITH {fx.OBS_SQL} SELECT aircraft_type, COUNT(*) AS reports, COUNT(DISTINCT icao) AS aircraft, MAX(altitude_ft) AS max_altitude_ft FROM obs GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
@@ -420,21 +483,100 @@ def box_filter(spark, d):
 def _rules_sql(rules: dict, source: str, with_sql: str) -> str:
     def duck(rule: str) -> str:
         rule = rule.replace("flight_id LIKE CONCAT(icao, '_%')", "flight_id LIKE icao || '_%'").replace("DATE(", "date_trunc('day', ")
-        rule = rule.replace("UNIX_TIMESTAMP(last_seen_time) - UNIX_TIMESTAMP(first_seen_time)", "CAST(floor(epoch(last_seen_time)) AS BIGINT) - CAST(floor(epoch(first_seen_time)) AS BIGINT)")
+        rule = re.sub(r"UNIX_TIMESTAMP\((\w+)\)", r"CAST(floor(epoch(\1)) AS BIGINT)", rule)
         return rule.replace("airline_icao RLIKE '^[A-Z]{3}$'", "regexp_matches(airline_icao, '^[A-Z]{3}$')")
 
     each = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", COUNT(*) FILTER (WHERE {duck(r)}) AS failures FROM {source}" for n, r in rules.items())
     return f"WITH {with_sql}, s AS (SELECT * FROM {source}) {each.replace(f'FROM {source}', 'FROM s')}"
 
 
-@query(_rules_sql(quality.OBSERVATION_RULES, "obs", fx.OBS_SQL))
+def _spoiled(df: DataFrame, spoil: dict) -> DataFrame:
+    """The frame with some columns given by expressions that both engines read, each over the columns as they were."""
+    return df.select(*[F.expr(spoil[c]).alias(c) if c in spoil else F.col(c) for c in df.columns])
+
+
+def _spoiled_sql(source: str, spoil: dict) -> str:
+    return f"SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in spoil.items())}) FROM ({source})"
+
+
+def _some(column: str, every: str, **bad: str) -> str:
+    """A column that takes the values `bad` (v0, v1, ...) in the rows where `every` is 0, 1, ..., and stays elsewhere."""
+    return f"CASE {every} " + " ".join(f"WHEN {n[1:]} THEN {v}" for n, v in bad.items()) + f" ELSE {column} END"
+
+
+# What is broken in each table, so that every rule has rows to find.
+_N = "observation_seq % 13"
+_BAD_OBSERVATIONS = {
+    "flight_id": _some("flight_id", _N, v0="''", v1="NULL", v2="'zz'"), "icao": _some("icao", _N, v3="''", v4="NULL"), "is_icao_address": _some("is_icao_address", _N, v5="NULL"),
+    "event_time": _some("event_time", _N, v6="NULL"), "observation_seq": _some("observation_seq", _N, v7="0"), "latitude": _some("latitude", _N, v8="95", v9="NULL", v10="0"),
+    "longitude": _some("longitude", _N, v8="-181", v10="0"), "ground_speed_kt": _some("ground_speed_kt", _N, v11="701"), "vertical_rate_fpm": _some("vertical_rate_fpm", _N, v11="-20001"),
+    "callsign": _some("callsign", _N, v12="''"), "release_tag": _some("release_tag", _N, v0="''", v1="NULL"), "release_date": _some("release_date", _N, v1="NULL", v2="DATE '2001-01-01'"),
+}
+_N = "minute(event_time) % 7"
+_BAD_MOVEMENTS = {
+    "flight_id": _some("flight_id", _N, v0="''"), "movement_type": _some("movement_type", _N, v1="'both'"), "ident": _some("ident", _N, v2="NULL"), "event_time": _some("event_time", _N, v3="NULL"),
+    "distance_km": _some("distance_km", _N, v4="50.5"), "latitude": _some("latitude", _N, v5="-90.5"), "longitude": _some("longitude", _N, v6="180.5"),
+}
+_N = "minute(first_seen_time) % 15"
+_BAD_FLIGHTS = {
+    "flight_id": _some("flight_id", _N, v0="NULL"), "flight_date": _some("flight_date", _N, v1="NULL", v2="DATE '2001-01-01'"), "icao": _some("icao", _N, v3="''"), "last_seen_time": _some("last_seen_time", _N, v4="TIMESTAMP '2001-01-01 00:00:00'"),
+    "duration_seconds": _some("duration_seconds", _N, v5="-1"), "n_observations": _some("n_observations", _N, v6="0"), "first_latitude": _some("first_latitude", _N, v7="91"), "last_latitude": _some("last_latitude", _N, v8="-91"),
+    "first_longitude": _some("first_longitude", _N, v7="181"), "last_longitude": _some("last_longitude", _N, v8="-181"), "airline_icao": _some("airline_icao", _N, v9="'sw'"),
+    "departure_distance_km": _some("departure_distance_km", _N, v10="51"), "arrival_time": _some("arrival_time", _N, v11="NULL"), "arrival_airport_ident": _some("arrival_airport_ident", _N, v11="'A001'"),
+    "has_detected_hold": _some("has_detected_hold", _N, v12="NOT has_detected_hold"), "n_detected_holds": _some("n_detected_holds", _N, v13="-1"), "total_hold_seconds": _some("total_hold_seconds", _N, v14="CASE WHEN n_detected_holds = 0 THEN 5 ELSE -5 END"),
+}
+_N = "minute(start_time) % 9"
+_BAD_PHASES = {
+    "flight_id": _some("flight_id", _N, v0="''"), "phase": _some("phase", _N, v1="'hover'", v8="'taxi'"), "start_time": _some("start_time", _N, v2="NULL"), "end_time": _some("end_time", _N, v3="NULL", v4="TIMESTAMP '2001-01-01 00:00:00'"),
+    "duration_seconds": _some("duration_seconds", _N, v5="-1"), "n_observations": _some("n_observations", _N, v6="0"), "phase_seq": _some("phase_seq", _N, v7="0"), "max_altitude_ft": _some("max_altitude_ft", _N, v8="100"),
+}
+_N = "minute(hold_start) % 11"
+_BAD_HOLDS = {
+    "flight_id": _some("flight_id", _N, v0="NULL"), "hold_start": _some("hold_start", _N, v1="NULL"), "hold_end": _some("hold_end", _N, v2="NULL", v3="TIMESTAMP '2001-01-01 00:00:00'"), "duration_seconds": _some("duration_seconds", _N, v4="239"),
+    "span_km": _some("span_km", _N, v5="25.5"), "circuits": _some("circuits", _N, v6="0.9"), "max_altitude_ft": _some("max_altitude_ft", _N, v7="min_altitude_ft + 4001"),
+    "centroid_latitude": _some("centroid_latitude", _N, v8="91"), "centroid_longitude": _some("centroid_longitude", _N, v9="-181"), "hold_seq": _some("hold_seq", _N, v10="0"),
+}
+_N = "minute(first_operation_time) % 12"
+_BAD_OPERATIONS = {
+    "operations_date": _some("operations_date", _N, v0="NULL", v1="DATE '2001-01-01'"), "airport_ident": _some("airport_ident", _N, v2="''"), "total_operations": _some("total_operations", _N, v3="0"), "arrivals": _some("arrivals", _N, v4="-1"),
+    "unique_aircraft": _some("unique_aircraft", _N, v5="0", v6="1000000"), "airport_latitude": _some("airport_latitude", _N, v7="91"), "airport_longitude": _some("airport_longitude", _N, v7="-181"),
+    "last_operation_time": _some("last_operation_time", _N, v8="TIMESTAMP '2001-01-01 00:00:00'"), "metric_source": _some("metric_source", _N, v9="'official'"),
+    "flights_with_detected_holds": _some("flights_with_detected_holds", _N, v10="1000000"), "hold_rate": _some("hold_rate", _N, v11="1.5"),
+}
+
+
+@query(_rules_sql(quality.OBSERVATION_RULES, "bad", f"{fx.OBS_SQL}, bad AS ({_spoiled_sql('FROM obs', _BAD_OBSERVATIONS)})"))
 def quality_violations(spark, d):
-    return quality.violations(_obs(spark, d), quality.OBSERVATION_RULES)
+    return quality.violations(_spoiled(_obs(spark, d), _BAD_OBSERVATIONS), quality.OBSERVATION_RULES)
+
+
+@query(_rules_sql(quality.MOVEMENT_RULES, "bad", f"{fx.MOVES_SQL}, bad AS ({_spoiled_sql('FROM moves', _BAD_MOVEMENTS)})"))
+def quality_movements(spark, d):
+    return quality.violations(_spoiled(_moves(spark, d), _BAD_MOVEMENTS), quality.MOVEMENT_RULES)
 
 
-@query(_rules_sql(quality.FLIGHT_RULES, "flights", fx.HOLDS_SQL))
+@query(_rules_sql(quality.FLIGHT_RULES, "bad", f"{fx.HOLDS_SQL}, bad AS ({_spoiled_sql('FROM flights', _BAD_FLIGHTS)})"))
 def quality_flights(spark, d):
-    return quality.violations(_flights(spark, d), quality.FLIGHT_RULES)
+    return quality.violations(_spoiled(_flights(spark, d), _BAD_FLIGHTS), quality.FLIGHT_RULES)
+
+
+_NUMBERED = "SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY flight_id ORDER BY start_time) AS INTEGER) AS phase_seq FROM phases"
+
+
+@query(_rules_sql(quality.FLIGHT_PHASE_RULES, "bad", f"{fx.PHASES_SQL}, bad AS ({_spoiled_sql(_NUMBERED, _BAD_PHASES)})"))
+def quality_phases(spark, d):
+    return quality.violations(_spoiled(_phases(spark, d), _BAD_PHASES), quality.FLIGHT_PHASE_RULES)
+
+
+@query(_rules_sql(quality.FLIGHT_HOLD_RULES, "bad", f"{fx.HOLDS_SQL}, bad AS ({_spoiled_sql('FROM holds', _BAD_HOLDS)})"))
+def quality_holds(spark, d):
+    return quality.violations(_spoiled(_holds(spark, d), _BAD_HOLDS), quality.FLIGHT_HOLD_RULES)
+
+
+@query(_rules_sql(quality.AIRPORT_OPERATION_RULES, "bad", f"{fx.HOLDS_SQL}, bad AS ({_spoiled_sql('FROM ops_h', _BAD_OPERATIONS)})"))
+def quality_operations(spark, d):
+    ops = movements.to_airport_operations(_moves(spark, d), _holds(spark, d))
+    return quality.violations(_spoiled(ops, _BAD_OPERATIONS), quality.AIRPORT_OPERATION_RULES)
 
 
 @query("SELECT CAST(SUM(n - 1) AS BIGINT) AS surplus FROM (SELECT COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)")
@@ -454,11 +596,12 @@ def coverage_pct(spark, d):
     return flights.attribute_coverage(_flights(spark, d), ("callsign", "arrival_airport_ident"))
 
 
-@query(f"WITH {fx.BASE_SQL} SELECT flight_id, 'both' AS side FROM base WHERE n_observations % 7 = 0")
+@query(f"WITH {fx.BASE_SQL} SELECT flight_id, 'both' AS side, 'max_altitude_ft' AS columns FROM base WHERE n_observations % 7 = 0 UNION ALL SELECT flight_id, 'left', NULL FROM base WHERE n_observations % 7 = 1")
 def table_diff(spark, d):
     b = _base(spark, d).select("flight_id", "n_observations", "max_altitude_ft")
     other = b.withColumn("max_altitude_ft", F.when(F.col("n_observations") % 7 == 0, F.coalesce("max_altitude_ft", F.lit(0.0)) + 1).otherwise(F.col("max_altitude_ft")))
-    return explore.table_diff(b, other, ("flight_id",)).select("flight_id", "side")
+    other = other.where("n_observations % 7 <> 1")
+    return explore.table_diff(b, other, ("flight_id",)).select("flight_id", "side", F.array_join("columns", ",").alias("columns"))
 
 
 # ---- the first dashboard -----------------------------------------------------------------------------------
@@ -515,6 +658,11 @@ def airline_efficiency(spark, d):
     return legacy.airline_efficiency(legacy.detect_phases(_states(spark, d)))
 
 
+@query(f"WITH {_STATES_SQL}, m AS (SELECT callsign, CAST(segment_id AS BIGINT) AS segment_id, round((epoch_us(MAX(timestamp)) - epoch_us(MIN(timestamp))) / 60e6, 6) AS minutes FROM segs WHERE phase = 'TAXI' GROUP BY 1, 2) SELECT * FROM m WHERE minutes > 1 AND minutes < 1440")
+def legacy_taxi_minutes(spark, d):
+    return legacy.taxi_minutes(legacy.detect_phases(_states(spark, d)), gap_seconds=86_400, below=1440)
+
+
 @query(f"WITH {_STATES_SQL} SELECT callsign, COUNT(*) AS seconds FROM states WHERE phase = 'LEVEL_OFF' GROUP BY 1 HAVING COUNT(*) > 30 ORDER BY 2 DESC, 1 LIMIT 15")
 def legacy_level_offs(spark, d):
     return legacy.longest_level_offs(legacy.detect_phases(_states(spark, d)))
