@@ -29,6 +29,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The public vocabulary has no scores, so this is the automaton's pass in merge order; unigram models take Viterbi."""
     return pieces.encode(table(spark, sf_dir, "documents"))
 
 
