@@ -9,8 +9,9 @@ from strider.llm.common import stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
-    return quality_classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents that the quality classifier rejects go. Staged here, since whole texts pass through Python in small batches only
+    while stage() writes."""
+    return stage(quality_classifier.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), "quality-classifier")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +30,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts' piece ids."""
-    return pieces.encode(docs, keep=("doc_id", "lang", "source"))
+    """The texts' piece ids; staged here as in quality()."""
+    return stage(pieces.encode(docs, keep=("doc_id", "lang", "source")), "SentencePiece-encoding")
 
 
 STAGES = [
@@ -49,5 +50,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; each stage's rows are written and read again before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        out = step(spark, docs, sf_dir)
+        docs = out if hasattr(out, "_staged_path") else stage(out, name.replace(" ", "-"))
     return docs

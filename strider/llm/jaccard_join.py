@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strider.llm.common import mix, shingle_sets, stage, unstage
+from strider.llm.common import lean, mix, shingle_sets, stage, unstage
 
 NUM, DEN = 75, 100  # link when DEN * intersection >= NUM * union
 STEP, SLACK, GROUP, WIDTH = 1.75, 1.1, 32, 5
@@ -270,7 +270,7 @@ def signed(docs: DataFrame, id: str, text: str, partitions: int) -> DataFrame:
             yield from flush()
 
     rows = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
-    return rows.mapInArrow(run, SENT)
+    return rows.mapInArrow(lean(run), SENT)
 
 
 def same_groups(key: np.ndarray, who: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -328,7 +328,7 @@ def grouped(sent: DataFrame, partitions: int) -> DataFrame:
             g = slice(at, at + (1 << 18))
             yield rows_of(_GROUPED, len(key[g]), kind=np.ones(len(key[g]), np.int8), key=key[g], set=who[g], least=least[g], weight=weight[g])
 
-    return sent.repartitionById(partitions, F.col("bucket")).mapInArrow(run, GROUPED)
+    return sent.repartitionById(partitions, F.col("bucket")).mapInArrow(lean(run), GROUPED)
 
 
 # ---- pairs -------------------------------------------------------------------------------------------------
@@ -369,7 +369,7 @@ def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id: str, text: st
                 keep = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    out = stage(both.mapInArrow(run, "a long, b long"), f"{name}-links")
+    out = stage(both.mapInArrow(lean(run), "a long, b long"), f"{name}-links")
     unstage(texts)
     return out
 
@@ -393,7 +393,7 @@ def maybe(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = pa.array([parity_distance(x, y) <= most_apart(m, n) for (m, n), x, y in zip(sizes, batch.column(4).to_pylist(), batch.column(5).to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    return p.mapInArrow(run, "a long, b long")
+    return p.mapInArrow(lean(run), "a long, b long")
 
 
 def sizes_fit(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -520,9 +520,9 @@ def loose_entries(loose: DataFrame, docs: DataFrame, id: str, text: str) -> Data
             total = np.minimum(total + np.frombuffer(x.as_buffer(), np.uint16), MOST)
         return pa.table({"block": t.column("block")[:1], "part": t.column("part")[:1], "counts": pa.array([total.astype(np.uint16).tobytes()], pa.binary())})
 
-    sets = stage(texts_of(loose, docs, id, text).mapInArrow(shingled, "set long, keys binary"), "loose")
+    sets = stage(texts_of(loose, docs, id, text).mapInArrow(lean(shingled), "set long, keys binary"), "loose")
     schema = "block long, part long, counts binary"  # parts of a table of counters; few come together in one task
-    counts = sets.select("keys").mapInArrow(counted, schema).groupBy("block", "part").applyInArrow(together, schema).groupBy("block").applyInArrow(together, schema)
+    counts = sets.select("keys").mapInArrow(lean(counted), schema).groupBy("block", "part").applyInArrow(together, schema).groupBy("block").applyInArrow(together, schema)
     table = np.zeros((2 * SLOTS >> 16, 1 << 16), np.uint16)
     for r in stage(counts, "loose-counts").toArrow().to_pylist():  # 4 * SLOTS bytes in all
         table[r["block"]] = np.frombuffer(r["counts"], np.uint16)
@@ -544,7 +544,7 @@ def loose_entries(loose: DataFrame, docs: DataFrame, id: str, text: str) -> Data
                 if m:
                     yield pa.RecordBatch.from_arrays([pa.array(s[far].view(np.int64)), pa.array(np.full(m, who, np.int64)), pa.array(np.full(m, n, np.int64)), pa.array(rest[far]), pa.array(reach[far])], ["key", "set", "n", "rest", "reach"])
 
-    return stage(sets.mapInArrow(prefixes, "key long, set long, n long, rest long, reach long"), "entries")
+    return stage(sets.mapInArrow(lean(prefixes), "key long, set long, n long, rest long, reach long"), "entries")
 
 
 def reachable(entries: DataFrame, name: str) -> DataFrame:

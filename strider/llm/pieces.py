@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strider.llm.common import KEPT, lean
+
 MARK = "▁"
 CACHE = 300_000
 MODEL = "piece_bpe_32k.model"
@@ -175,15 +177,12 @@ class Codec:
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
-_CODECS: dict = {}
-
-
 def codec(key: str, sent) -> Codec:
-    """This process's codec for a broadcast model."""
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(sent.value)
-    return _CODECS[key]
+    """This process's codec for a broadcast model, kept until another operator works here."""
+    if KEPT.get("pieces", ("",))[0] != key:
+        KEPT.pop("pieces", None)
+        KEPT["pieces"] = key, Codec(sent.value)
+    return KEPT["pieces"][1]
 
 
 def _sent(spark: SparkSession, path: str | None):
@@ -212,7 +211,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, keep: t
                 yield pa.RecordBatch.from_arrays(cols, [*keep, "n_tokens", "ids", "round_trip"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields[: len(keep)])
-    return df.mapInArrow(run, f"{fields}n_tokens long, ids array<int>, round_trip boolean")
+    return df.mapInArrow(lean(run, "pieces"), f"{fields}n_tokens long, ids array<int>, round_trip boolean")
 
 
 def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -227,4 +226,4 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None, keep:
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], [*keep, "text"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields[: len(keep)])
-    return df.mapInArrow(run, f"{fields}text string")
+    return df.mapInArrow(lean(run, "pieces"), f"{fields}text string")

@@ -26,7 +26,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strider.llm.common import batches, mix, span_hashes, stage, unstage
+from strider.llm.common import batches, give_back, lean, mix, span_hashes, stage, unstage
 from strider.llm.language_id import held_out
 
 MAX_DOCS = 6_000
@@ -191,11 +191,13 @@ def word_vectors(texts: DataFrame, least: int = LEAST) -> DataFrame:
             first = np.flatnonzero(np.concatenate([[True], w[order][1:] != w[order][:-1]]))
             sums.add(w[order][first], np.add.reduceat(n[order], first), np.add.reduceat(v[order], first, axis=0))
         w, n, v = sums.all()
+        del sums
+        give_back()
         often = n >= least
         w, n, v = w[often], n[often], v[often]
         return pa.table({"w": pa.array(w.view(np.int64)), "v": pa.array(pack(v + index_vectors(w).astype(np.int64) * n[:, None]), pa.binary()), "level": np.floor(4 * np.log2(n)).astype(np.int32)})
 
-    rows = stage(texts.select("text").mapInArrow(gather, "w long, n long, v binary"), "token-sums")
+    rows = stage(texts.select("text").mapInArrow(lean(gather), "w long, n long, v binary"), "token-sums")
     groups, out = max(1, -(-rows.count() // (CELL * RANGES))), None
     for k in range(RANGES):
         one = stage(rows.where(in_range(k)).groupBy(F.pmod(F.col("w"), F.lit(groups)).alias("g")).applyInArrow(total, "w long, v binary, level int"), "word-vectors")
@@ -322,7 +324,7 @@ def joined_features(docs: DataFrame, vectors: Vectors, rest: DataFrame, text: st
                 yield pa.RecordBatch.from_arrays([pa.array(k[:, 0]), pa.array(k[:, 1]), w, pa.array(sizes), flat], ["t1", "t2", "w", "n", "sums"])
 
     # Copies of a text give the same rows; one of each is enough, and keeps what comes together small.
-    rows = docs.select(*keyed(text), F.col(text).alias("t")).mapInArrow(run, "t1 long, t2 long, w long, n long, sums binary")
+    rows = docs.select(*keyed(text), F.col(text).alias("t")).mapInArrow(lean(run), "t1 long, t2 long, w long, n long, sums binary")
     staged = stage(rows, "text-tokens")
     groups = max(1, -(-staged.count() // CELL))
     rows = staged.groupBy("t1", "t2", "w").agg(F.max("n").alias("n"), F.first("sums").alias("sums"))
@@ -424,7 +426,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, target: st
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), flat], ["doc_id", "y", "x"])
 
-        pooled_rows = rows.mapInArrow(pool, "doc_id long, y int, x array<float>")
+        pooled_rows = rows.mapInArrow(lean(pool), "doc_id long, y int, x array<float>")
     else:
         found = joined_features(rows, vectors, rest, "text", lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32())), "array<float>")
         pooled_rows = rows.select("doc_id", "y", *keyed("text")).join(found, ["t1", "t2"]).select("doc_id", "y", "x")
@@ -445,16 +447,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
         t1, t2 = keyed(text)
         out = docs.select(*keep, t1.alias("__k1"), t2.alias("__k2")).join(found, (F.col("__k1") == F.col("__t1")) & (F.col("__k2") == F.col("__t2")))
         return out.select(*keep, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
-    df = docs.select(*keep, F.col(text).alias("__text"))
+    at = keep.index(text) if text in keep else len(keep)  # a text that is kept goes to Python once
+    df = docs.select(*keep, *([F.col(text).alias("__text")] if at == len(keep) else []))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            p = network.probability(features(batch.column(len(keep)).to_pylist(), vectors).astype(np.float64))
+            p = network.probability(features(batch.column(at).to_pylist(), vectors).astype(np.float64))
             cols = [*batch.columns[: len(keep)], pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cols, [*keep, "score", "predicted"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[: len(keep)])
-    return df.mapInArrow(run, f"{fields}, score double, predicted int")
+    return df.mapInArrow(lean(run), f"{fields}, score double, predicted int")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
