@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strider.config import DEFAULTS, HOLD_KM_PER_DEGREE, Thresholds
 from strider.functions.columns import haversine_km, seconds, signed_turn
+from strider.operators.percentiles import percentile, ranked
 from strider.operators.timewin import around, number_runs
 
 
@@ -58,13 +59,20 @@ def to_flight_holds(observations: DataFrame, flights: DataFrame, airports: DataF
     return df.withColumns({"hold_seq": seq, "distance_to_arrival_airport_km": F.round(km, 1)}).select(*HOLD)
 
 
+SHAPE = {"duration": "duration_seconds", "span": "span_km", "circuits": "circuits", "altitude": "mean_altitude_ft"}
+
+
 def hold_shape(holds: DataFrame) -> DataFrame:
-    """Percentiles of what holds look like."""
-    q = lambda c: F.percentile_approx(c, F.array(F.lit(0.5), F.lit(0.9)))
-    return holds.agg(
-        F.count(F.lit(1)).alias("holds"), q("duration_seconds").alias("duration"), q("span_km").alias("span"), q("circuits").alias("circuits"), q("mean_altitude_ft").alias("altitude"),
-        F.round(100.0 * F.count("arrival_airport_ident") / F.count(F.lit(1)), 1).alias("with_arrival_pct"),
-    )
+    """Percentiles of what holds look like: each hold gives its four values, and each value once is counted and ranked."""
+    shape = F.array(*[F.struct(F.lit(k).alias("name"), *[(F.col(c) if c == own else F.lit(None).cast(holds.schema[c].dataType)).alias(c) for c in SHAPE.values()]) for k, own in SHAPE.items()])
+    values = holds.select("arrival_airport_ident", F.explode(shape).alias("v")).select("arrival_airport_ident", "v.*")
+    counted = values.groupBy("name", *SHAPE.values()).agg(F.count(F.lit(1)).alias("n"), F.count("arrival_airport_ident").alias("arrived"))
+    df = ranked(counted, "name", F.coalesce(*[F.col(c).cast("double") for c in SHAPE.values()]))
+    of = lambda k, c: F.when(F.col("name") == k, F.col(c))
+    whole = lambda c: F.coalesce(F.sum(of("duration", c)), F.lit(0).cast("long"))
+    q = lambda k, c: F.array(*[percentile(of(k, c), p) for p in (50, 90)]).alias(k)
+    pct = F.round(100.0 * whole("arrived") / F.nullif(whole("n"), F.lit(0)), 1)
+    return df.agg(whole("n").alias("holds"), *[q(k, c) for k, c in SHAPE.items()], pct.alias("with_arrival_pct"))
 
 
 def hold_distance_buckets(holds: DataFrame) -> DataFrame:

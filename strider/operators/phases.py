@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strider.config import DEFAULTS, Thresholds
 from strider.functions.columns import seconds
+from strider.operators.percentiles import percentile, ranked
 from strider.operators.timewin import around, number_runs
 
 
@@ -44,13 +45,20 @@ def to_flight_phases(observations: DataFrame, limits: Thresholds = DEFAULTS) ->
 
 
 def phase_mix(phases: DataFrame) -> DataFrame:
-    return phases.groupBy("phase").agg(
-        F.count(F.lit(1)).alias("intervals"), F.count_distinct("flight_id").alias("flights"), F.percentile_approx("duration_seconds", 0.5).alias("median_seconds"), F.round(F.avg("n_observations"), 1).alias("avg_observations")
-    )
+    """Phases in numbers; a flight counts at its first interval of a phase, so that counts by duration add up to all of it."""
+    first = F.row_number().over(W.partitionBy("flight_id", "phase").orderBy("start_time")) == 1
+    counted = phases.withColumn("__first", first).groupBy("phase", "duration_seconds").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("__first") & F.col("flight_id").isNotNull()).alias("flights"),
+        F.sum("n_observations").alias("observations"), F.count("n_observations").alias("counts"),
+    )
+    return ranked(counted, "phase", "duration_seconds").groupBy("phase").agg(
+        F.sum("n").alias("intervals"), F.sum("flights").alias("flights"), percentile("duration_seconds", 50).alias("median_seconds"),
+        F.round(F.sum("observations") / F.nullif(F.sum("counts"), F.lit(0)), 1).alias("avg_observations"),
+    )
 
 
 def fragmentation(phases: DataFrame) -> DataFrame:
     """How many phases flights fall into."""
-    n = phases.groupBy("flight_id").agg(F.count(F.lit(1)).alias("n"))
-    q = F.percentile_approx("n", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
-    return n.agg(q.alias("q"), F.max("n").alias("most")).select(F.col("q")[0].alias("p50"), F.col("q")[1].alias("p90"), F.col("q")[2].alias("p99"), "most")
+    sizes = phases.groupBy("flight_id").agg(F.count(F.lit(1)).alias("phases"))
+    df = ranked(sizes.groupBy("phases").agg(F.count(F.lit(1)).alias("n")), F.lit(0), "phases")
+    return df.agg(*[percentile("phases", p).alias(f"p{p}") for p in (50, 90, 99)], F.max("phases").alias("most"))
