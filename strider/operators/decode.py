@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strider.config import DEFAULTS, Thresholds
 from strider.functions.columns import flight_id, over_limit_to_null
-from strider.operators.timewin import segment_by_gap
+from strider.operators.timewin import running, segment_by_gap
 
 
 def number_at(point: Column, i: int) -> Column:
@@ -82,11 +82,16 @@ OBSERVATION = (
 
 
 def assign_flights(observations: DataFrame, gap_seconds: int = DEFAULTS.gap_seconds) -> DataFrame:
-    """Stamp each observation with its flight and its place in it; one exchange, by aircraft."""
-    df = segment_by_gap(observations, "icao", "event_time", gap_seconds)
-    whole = W.partitionBy("icao", "segment_no")
-    df = df.withColumn("flight_id", flight_id(F.col("icao"), F.min("event_time").over(whole)))
-    df = df.withColumn("observation_seq", F.row_number().over(whole.orderBy("event_time", "latitude", "longitude")))
+    """Stamp each observation with its flight and its place in it; one exchange, by aircraft, and one sort, by time.
+
+    A flight's first time and row are carried forward from where it starts: a window of the flight would sort all rows again.
+    """
+    ties = ("latitude", "longitude")
+    w = W.partitionBy("icao").orderBy("event_time", *ties)
+    carried = lambda c: F.max(F.when(F.col("__starts"), F.col(c))).over(running("icao", ["event_time", *ties]))
+    df = segment_by_gap(observations, "icao", "event_time", gap_seconds, ties=ties)
+    df = df.withColumns({"__starts": ~F.col("segment_no").eqNullSafe(F.lag("segment_no").over(w)), "__row": F.row_number().over(w)})
+    df = df.withColumns({"flight_id": flight_id(F.col("icao"), carried("event_time")), "observation_seq": F.col("__row") - carried("__row") + 1})
     return df.select(*OBSERVATION)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,17 +34,21 @@ def grid_radius_join(points: DataFrame, airports: DataFrame, radius_km: float) -
 
 
 def endpoints(flights: DataFrame) -> DataFrame:
-    """Both ends of every flight that moved; a flight with an unknown end position did not, as far as is known."""
+    """Both ends of every flight that moved; a flight with an unknown end position did not, as far as is known.
+
+    One pass gives both: a union of two selections would make the flights twice, in the same tasks.
+    """
     moved = flights.where(~((F.col("first_latitude") == F.col("last_latitude")) & (F.col("first_longitude") == F.col("last_longitude"))))
     about = ("flight_id", "icao", "aircraft_type", "registered_owner", "callsign", "release_tag", "release_date")
 
-    def end(kind: str, side: str) -> DataFrame:
-        return moved.select(
-            *about, F.lit(kind).alias("movement_type"), F.col(f"{side}_seen_time").alias("event_time"), F.col(f"{side}_latitude").alias("latitude"),
+    def end(kind: str, side: str) -> Column:
+        return F.struct(
+            F.lit(kind).alias("movement_type"), F.col(f"{side}_seen_time").alias("event_time"), F.col(f"{side}_latitude").alias("latitude"),
             F.col(f"{side}_longitude").alias("longitude"), F.col(f"{side}_altitude_ft").alias("altitude_ft"),
         )
 
-    return end("departure", "first").unionByName(end("arrival", "last"))
+    ends = F.explode(F.array(end("departure", "first"), end("arrival", "last")))
+    return moved.select(*about, ends.alias("end")).select(*about, "end.*")
 
 
 MOVEMENT = (

@@ -20,12 +20,16 @@ def running(partition, order):
     return W.partitionBy(*_list(partition)).orderBy(*_list(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
-def segment_by_gap(df: DataFrame, partition, time: str, gap_seconds: int, out: str = "segment_no") -> DataFrame:
-    """Number the stretches of a series: a gap of more than `gap_seconds` whole seconds starts the next."""
-    w = W.partitionBy(*_list(partition)).orderBy(time)
+def segment_by_gap(df: DataFrame, partition, time: str, gap_seconds: int, out: str = "segment_no", ties=()) -> DataFrame:
+    """Number the stretches of a series: a gap of more than `gap_seconds` whole seconds starts the next.
+
+    The numbers do not depend on `ties`, an order of equal times; windows that need it then find the rows sorted.
+    """
+    order = [time, *ties]
+    w = W.partitionBy(*_list(partition)).orderBy(*order)
     gap = seconds(time) - seconds(F.lag(time).over(w))
     starts = F.when(gap <= gap_seconds, 0).otherwise(1)
-    return df.withColumn("__starts", starts).withColumn(out, F.sum("__starts").over(running(partition, time))).drop("__starts")
+    return df.withColumn("__starts", starts).withColumn(out, F.sum("__starts").over(running(partition, order))).drop("__starts")
 
 
 def number_runs(df: DataFrame, partition, order, value: str, out: str = "run_no") -> DataFrame:
